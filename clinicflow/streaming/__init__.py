@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+Every report is a one-shot batch read between two bounds; the source has no
+watermark, event-time window, state or late-data rule, so nothing here.
+"""
