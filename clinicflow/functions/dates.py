@@ -68,7 +68,7 @@ def parse_be_date(col) -> Column:
     m = F.try_element_at(parts, F.lit(2)).try_cast("int")
     y = F.try_element_at(parts, F.lit(3)).try_cast("int")
     iso = F.format_string("%04d-%02d-%02d", y - BE_YEARS, m, d)
-    return F.when(F.size(parts) == 3, F.try_to_date(iso, F.lit("yyyy-MM-dd")))
+    return F.when(F.size(parts) == 3, F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 def iso_date_part(col) -> Column:

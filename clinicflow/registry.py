@@ -15,8 +15,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicflow.plans import scheme
+from clinicflow.functions import dates as D
+from clinicflow.functions import expr as X
+from clinicflow.functions.jsonx import diagnosis_elements
+from clinicflow.functions.labels import SCHEME_KEYS_TH
+from clinicflow.operators.arrays import explode_keep_empty, first_element, membership_join
+from clinicflow.operators.history import first_visits, flag_new_inner, flag_new_no_earlier
+from clinicflow.operators.joins import enrich_patient, lookup
+from clinicflow.operators.ordering import global_row_number
+from clinicflow.operators.spine import date_spine, fill_spine
+from clinicflow.params import closed, half_open, is_true, not_deleted, shifted
+from clinicflow.plans import (
+    appointment,
+    cashier,
+    clinic_type,
+    completed_visits,
+    department,
+    diagnosis,
+    plan_summary,
+    scheme,
+    service_time,
+)
 from clinicflow.sources import standins
+from clinicflow.sources.sinks import json_rows, ordered_json_array
 
 # Report windows covering all test rows.
 VISIT_START, VISIT_END = "1995-01-01 00:00:00", "2002-01-01 00:00:00"
@@ -59,3 +80,513 @@ def q_scheme_total(spark, sf_dir):
 def q_scheme_report(spark, sf_dir):
     r = scheme.scheme_report(_t(spark, sf_dir), VISIT_START, VISIT_END)
     return r.content.select(F.col("sort_order").cast("bigint").alias("sort_order"), "date_text", *_counts(r.content))
+
+
+def _dx(spark, sf_dir):
+    return standins.diagnosis_tables(spark, sf_dir)
+
+
+def _ts_text(col):
+    return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+
+
+def _dbl(col):
+    return F.col(col).cast("double").alias(col)
+
+
+@register("json_rows")
+def q_json_rows(spark, sf_dir):
+    """R1 rows as JSON objects with the Thai presentation keys."""
+    r = scheme.scheme_report(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    keys = dict(zip(["date_text", "ucs", "sss", "ofc", "cash"], SCHEME_KEYS_TH))
+    return json_rows(r.content, ["date_text", "ucs", "sss", "ofc", "cash"], keys)
+
+
+@register("content_date_range")
+def q_content_date_range(spark, sf_dir):
+    d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    return scheme.content_date_range(d)
+
+
+@register("date_spine")
+def q_date_spine(spark, sf_dir):
+    """S3 + J9: every day of the window with its visit count (0 kept)."""
+    t = _t(spark, sf_dir)
+    v = t.visit.where(half_open("created_at", VISIT_START, VISIT_END))
+    per_day = v.groupBy(F.to_date("created_at").alias("visit_date")).agg(F.count(F.lit(1)).alias("visits"))
+    spine = date_spine(spark, VISIT_START, VISIT_END, "visit_date")
+    out = fill_spine(spine, per_day, "visit_date", ["visits"])
+    return out.select(F.date_format("visit_date", "yyyy-MM-dd").alias("visit_date"), "visits")
+
+
+@register("param_optional_filter")
+def q_param_optional_filter(spark, sf_dir):
+    """R1 totals with both optional filters set."""
+    d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END, patient_category="SSS", dept_name="NATION_1")
+    return scheme.scheme_total(d)
+
+
+@register("category_map")
+def q_category_map(spark, sf_dir):
+    """Qualifying visits (before fan-out) per derived category."""
+    t = _t(spark, sf_dir)
+    v = scheme.with_plan(scheme.completed_visits_closed(t.visit, VISIT_START, VISIT_END), t.insurance_plan)
+    return v.groupBy(X.plan_category("plan_code", "plan_name").alias("category")).agg(
+        F.count(F.lit(1)).alias("visits")
+    )
+
+
+@register("scan_visit_range")
+def q_scan_visit_range(spark, sf_dir):
+    """Completed visits in the window (pushed-down range + status)."""
+    t = _t(spark, sf_dir)
+    v = t.visit.where((F.col("latest_status_code") == "completed") & half_open("created_at", VISIT_START, VISIT_END))
+    return v.select("vn", "hn", _ts_text("created_at").alias("created_at"))
+
+
+@register("range_half_open")
+def q_range_half_open(spark, sf_dir):
+    """appointments with ``start <= ts < end`` per status."""
+    a = _t(spark, sf_dir).appointment.where(half_open("start", EVENT_START, EVENT_END))
+    return a.groupBy("current_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("range_closed")
+def q_range_closed(spark, sf_dir):
+    """visits with ``start <= created_at <= end`` per status."""
+    v = _t(spark, sf_dir).visit.where(closed("created_at", VISIT_START, VISIT_END))
+    return v.groupBy("latest_status_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("range_shifted")
+def q_range_shifted(spark, sf_dir):
+    """Diagnosis visits in the window moved back 7 hours, per status."""
+    v = _dx(spark, sf_dir).visit.where(shifted("created_at", EVENT_START, EVENT_END, 7))
+    return v.groupBy("latest_status_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("soft_delete_filter")
+def q_soft_delete_filter(spark, sf_dir):
+    """active, not deleted visits per status."""
+    v = _t(spark, sf_dir).visit.where(is_true("active") & not_deleted())
+    return v.groupBy("latest_status_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("dim_active_departments")
+def q_dim_active_departments(spark, sf_dir):
+    """Departments that are active and not deleted."""
+    return department.active_departments(_t(spark, sf_dir))
+
+
+@register("sort_names")
+def q_sort_names(spark, sf_dir):
+    """O3: active department names in order, NULLS LAST (the R2 list)."""
+    d = department.active_departments(_t(spark, sf_dir))
+    # Bounded by the department dimension: a plain window is fine here.
+    from pyspark.sql import Window
+
+    w = Window.orderBy(F.col("name").asc_nulls_last(), F.col("id"))
+    return d.select(F.row_number().over(w).cast("bigint").alias("pos"), F.col("name").alias("department"))
+
+
+# ---------------------------------------------------------------- joins / arrays
+@register("join_first_array_elem")
+def q_join_first_array_elem(spark, sf_dir):
+    """LEFT JOIN plan ON id = insurance_plan_ids[1] (NULL when empty)."""
+    t = _t(spark, sf_dir)
+    v = t.visit.select("vn", "insurance_plan_ids")
+    v = scheme.with_plan(v, t.insurance_plan)
+    return v.select("vn", "plan_id", "plan_name")
+
+
+@register("explode_outer_departments")
+def q_explode_outer_departments(spark, sf_dir):
+    """One row per department id, NULL row for no departments."""
+    v = _t(spark, sf_dir).visit.select("vn", "department_ids")
+    return explode_keep_empty(v, "department_ids", "department_id").select("vn", "department_id")
+
+
+@register("array_membership_join")
+def q_array_membership_join(spark, sf_dir):
+    """Clinic.id = ANY(visit.clinic_ids), once per distinct id."""
+    t = _t(spark, sf_dir)
+    j = membership_join(t.visit.select("vn", "clinic_ids"), "clinic_ids", t.clinic, "id", out="clinic_id")
+    return j.select("vn", "clinic_id")
+
+
+@register("left_join_dims")
+def q_left_join_dims(spark, sf_dir):
+    """Appointment LEFT JOIN clinic, LEFT JOIN practitioner."""
+    t = _t(spark, sf_dir)
+    a = lookup(t.appointment, "clinic_id", t.clinic, "id", {"name": "clinic_name"})
+    a = lookup(a, "practitioner_id", t.practitioner, "id", {"display": "doctor_name"})
+    return a.select("id", "clinic_name", "doctor_name")
+
+
+@register("inner_join_chain")
+def q_inner_join_chain(spark, sf_dir):
+    """Encounter JOIN visit JOIN clinic."""
+    t = _t(spark, sf_dir)
+    j = t.encounter.select("en", "vn", "clinic_id").join(t.visit.select("vn", "hn"), "vn", "inner")
+    j = lookup(j, "clinic_id", t.clinic, "id", {"name": "clinic_name"}, how="inner")
+    return j.select("en", "vn", "hn", "clinic_name")
+
+
+@register("enrich_patient")
+def q_enrich_patient(spark, sf_dir):
+    """R7 rows with the patient's name and gender attached (left join)."""
+    t = _t(spark, sf_dir)
+    rows = completed_visits.completed_rows(t, VISIT_START, VISIT_END)
+    e = enrich_patient(rows, t.patient, "hn", ("gender", "info"))
+    return e.select("clinic_id", "hn", F.col("patient.info.th.name").alias("patient_name"), F.col("patient.gender").alias("gender"))
+
+
+# ---------------------------------------------------------------- R2 department
+def _r2(spark, sf_dir):
+    return department.department_summary(_t(spark, sf_dir), VISIT_START, VISIT_END)
+
+
+@register("department_summary")
+def q_department_summary(spark, sf_dir):
+    return _r2(spark, sf_dir)
+
+
+@register("pct_of_total")
+def q_pct_of_total(spark, sf_dir):
+    c = department.department_content(_r2(spark, sf_dir))
+    return c.select("department", "total_visits", _dbl("percent"))
+
+
+@register("cumulative_pct")
+def q_cumulative_pct(spark, sf_dir):
+    c = department.department_content(_r2(spark, sf_dir))
+    return c.select("department", _dbl("percent"), _dbl("commulative_view"))
+
+
+@register("department_report")
+def q_department_report(spark, sf_dir):
+    c = department.department_content(_r2(spark, sf_dir))
+    return c.select("department", *department.COUNT_COLS, _dbl("percent"), _dbl("commulative_view"))
+
+
+@register("department_foot")
+def q_department_foot(spark, sf_dir):
+    return department.department_foot(department.department_content(_r2(spark, sf_dir)))
+
+
+@register("distinct_conditional")
+def q_distinct_conditional(spark, sf_dir):
+    """Distinct people (R2 rule) next to new + old (R5 / template rule)."""
+    s = _r2(spark, sf_dir)
+    return s.select(
+        "department",
+        "new_patients",
+        "old_patients",
+        "total_patients",
+        (F.col("new_patients") + F.col("old_patients")).alias("new_plus_old"),
+    )
+
+
+@register("new_old_by_history")
+def q_new_old_by_history(spark, sf_dir):
+    """NEW when no earlier visit of the same patient exists (full history)."""
+    t = _t(spark, sf_dir)
+    v = scheme.completed_visits_closed(t.visit, VISIT_START, VISIT_END).select("vn", "hn", "created_at")
+    v = flag_new_no_earlier(v, t.visit)
+    return v.select("vn", "hn", F.when(F.col("is_new"), "NEW").otherwise("OLD").alias("p_type"))
+
+
+@register("new_old_by_first_visit")
+def q_new_old_by_first_visit(spark, sf_dir):
+    """J12/P3: 'ใหม่' when the visit time equals the patient's first visit (inner join)."""
+    t = _t(spark, sf_dir)
+    v = t.visit.where((F.col("latest_status_code") == "completed") & half_open("created_at", VISIT_START, VISIT_END))
+    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.visit)
+    return v.select("vn", "hn", F.when(F.col("is_new"), "ใหม่").otherwise("เก่า").alias("patient_type"))
+
+
+@register("first_visit")
+def q_first_visit(spark, sf_dir):
+    """MIN(created_at) per patient over all visits."""
+    v = _t(spark, sf_dir).visit
+    fv = first_visits(v, v)
+    return fv.select("hn", _ts_text("first_created_at").alias("first_created_at"))
+
+
+# ---------------------------------------------------------------- R5 clinic new/old
+@register("new_old_by_clinic")
+def q_new_old_by_clinic(spark, sf_dir):
+    rows = clinic_type.clinic_visit_rows(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    return clinic_type.clinic_summary(rows)
+
+
+@register("clinic_report")
+def q_clinic_report(spark, sf_dir):
+    r = clinic_type.clinic_report(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    return r.content.select(F.col("sort_order").cast("bigint").alias("sort_order"), "clinic_name", *clinic_type.COUNT_COLS)
+
+
+@register("union_total_row")
+def q_union_total_row(spark, sf_dir):
+    """Clinic rows + Total row, printed label."""
+    c = clinic_type.clinic_content(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    return c.select(
+        F.col("sort_order").cast("bigint").alias("sort_order"),
+        clinic_type.print_label().alias("label"),
+        *clinic_type.COUNT_COLS,
+    )
+
+
+@register("grand_total")
+def q_grand_total(spark, sf_dir):
+    """Sums over summaries (R5 total of per-clinic distincts)."""
+    rows = clinic_type.clinic_visit_rows(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    s = clinic_type.clinic_summary(rows)
+    return s.agg(*[F.sum(c).cast("bigint").alias(c) for c in clinic_type.COUNT_COLS])
+
+
+@register("json_array_ordered")
+def q_json_array_ordered(spark, sf_dir):
+    """R5 content as one JSON array ordered by (sort_order, clinic_name);
+    bounded by the number of clinics."""
+    c = clinic_type.clinic_content(_t(spark, sf_dir), VISIT_START, VISIT_END)
+    value = F.struct("clinic_name", *clinic_type.COUNT_COLS)
+    return ordered_json_array(c, value, ["sort_order", "clinic_name"])
+
+
+@register("json_empty_policy")
+def q_json_empty_policy(spark, sf_dir):
+    """Per department, the ordered JSON array of weekdays (1-7) with completed
+    visits: '[]' fallback vs JSON null when it has none. Arrays hold <= 7 items."""
+    t = _t(spark, sf_dir)
+    v = scheme.completed_visits_closed(t.visit, VISIT_START, VISIT_END).select("department_ids", "created_at")
+    v = explode_keep_empty(v, "department_ids", "department_id").where(F.col("department_id").isNotNull())
+    days = v.select("department_id", F.dayofweek("created_at").alias("dow")).distinct()
+    per = days.groupBy("department_id").agg(F.sort_array(F.collect_list("dow")).alias("dows"))
+    d = t.department.select("id", "name")
+    j = d.join(per, d["id"] == per["department_id"], "left")
+    arr = F.to_json(F.col("dows"))
+    return j.select(
+        F.col("id").alias("department_id"),
+        F.coalesce(arr, F.lit("[]")).alias("with_fallback"),
+        arr.alias("as_null"),
+    )
+
+
+# ---------------------------------------------------------------- R3 appointment
+@register("appointment_report")
+def q_appointment_report(spark, sf_dir):
+    return appointment.appointment_content(_t(spark, sf_dir), EVENT_START, EVENT_END).withColumn(
+        "seq_no", F.col("seq_no").cast("bigint")
+    )
+
+
+@register("global_row_number")
+def q_global_row_number(spark, sf_dir):
+    """ROW_NUMBER() OVER (ORDER BY start, id) over all appointments, distributed."""
+    a = _t(spark, sf_dir).appointment.select("id", "start")
+    return global_row_number(a, ["start"], ["id"], out="seq_no").select(F.col("seq_no").cast("bigint"), "id")
+
+
+@register("tz_wall_clock")
+def q_tz_wall_clock(spark, sf_dir):
+    """Stored UTC wall clock -> Asia/Bangkok wall clock."""
+    a = _t(spark, sf_dir).appointment
+    return a.select("id", _ts_text(D.to_report_tz("start")).alias("local_start"))
+
+
+@register("fmt_date")
+def q_fmt_date(spark, sf_dir):
+    a = _t(spark, sf_dir).appointment
+    return a.select("id", D.fmt_date(D.to_report_tz("start")).alias("appointment_date"))
+
+
+@register("fmt_time")
+def q_fmt_time(spark, sf_dir):
+    a = _t(spark, sf_dir).appointment
+    return a.select("id", D.fmt_time(D.to_report_tz("start")).alias("appointment_time"))
+
+
+# ---------------------------------------------------------------- R4 diagnosis
+@register("diagnosis_rows")
+def q_diagnosis_rows(spark, sf_dir):
+    return diagnosis.diagnosis_rows(_dx(spark, sf_dir), EVENT_START, EVENT_END)
+
+
+@register("json_explode_diagnosis")
+def q_json_explode_diagnosis(spark, sf_dir):
+    """Every diagnosis element with a code, over all visits."""
+    v = _dx(spark, sf_dir).visit
+    dx = v.select("vn", F.explode(diagnosis_elements("diagnosis")).alias("dx"))
+    return dx.where(F.col("dx.code").isNotNull()).select(
+        "vn", F.col("dx.code").alias("diagnosis_code"), F.col("dx.display").alias("diagnosis_name")
+    )
+
+
+@register("diagnosis_by_gender")
+def q_diagnosis_by_gender(spark, sf_dir):
+    t = _dx(spark, sf_dir)
+    rows = diagnosis.diagnosis_rows(t, EVENT_START, EVENT_END)
+    return diagnosis.diagnosis_by_gender(rows, t.patient)
+
+
+@register("sort_text_date")
+def q_sort_text_date(spark, sf_dir):
+    """O1: position in (hn, DD/MM/YYYY text) order, text compared as text."""
+    rows = diagnosis.diagnosis_rows(_dx(spark, sf_dir), EVENT_START, EVENT_END)
+    n = global_row_number(rows, ["hn", "visit_date"], ["diagnosis_code", "diagnosis_name"], out="pos")
+    return n.select(F.col("pos").cast("bigint"), "hn", "visit_date", "diagnosis_code")
+
+
+@register("meta_row")
+def q_meta_row(spark, sf_dir):
+    """The R4 meta row (``generated_at`` left out of comparisons)."""
+    r = diagnosis.diagnosis_report(_dx(spark, sf_dir), EVENT_START, EVENT_END)
+    return r.meta.select(
+        "report_name",
+        _ts_text("start_datetime").alias("start_datetime"),
+        _ts_text("end_datetime").alias("end_datetime"),
+        F.col("total_records").cast("bigint").alias("total_records"),
+    )
+
+
+@register("gender_normalise")
+def q_gender_normalise(spark, sf_dir):
+    p = _t(spark, sf_dir).patient
+    return p.select("hn", X.gender_normalise("gender").alias("gender_group"))
+
+
+# ---------------------------------------------------------------- R6 service time
+def _r6(spark, sf_dir):
+    return service_time.service_content(_t(spark, sf_dir), VISIT_START, VISIT_END)
+
+
+@register("service_time")
+def q_service_time(spark, sf_dir):
+    return _r6(spark, sf_dir).withColumn("seq_no", F.col("seq_no").cast("bigint"))
+
+
+@register("service_time_runs")
+def q_service_time_runs(spark, sf_dir):
+    r = service_time.service_runs(_r6(spark, sf_dir))
+    return r.select(F.col("display_index").cast("bigint"), F.col("seq_no").cast("bigint"), "hn")
+
+
+@register("null_placeholders")
+def q_null_placeholders(spark, sf_dir):
+    """P9: '-' for missing times, '' for a NULL or 0 turnaround."""
+    r = service_time.service_runs(_r6(spark, sf_dir))
+    return r.select(
+        F.col("display_index").cast("bigint"),
+        "register_time",
+        "screening_time",
+        "doctor_time",
+        "completed_time",
+        "tat_text",
+    )
+
+
+@register("service_time_run_count")
+def q_service_time_run_count(spark, sf_dir):
+    return service_time.service_run_count(_r6(spark, sf_dir))
+
+
+@register("turnaround_minutes")
+def q_turnaround_minutes(spark, sf_dir):
+    """Rounded minutes from visit creation to encounter completion."""
+    t = _t(spark, sf_dir)
+    j = t.visit.select("vn", "created_at").join(t.encounter.select("vn", "en", "completed_at"), "vn")
+    return j.select("vn", "en", X.minutes_between("completed_at", "created_at").alias("tat_minutes"))
+
+
+@register("count_records")
+def q_count_records(spark, sf_dir):
+    """A1: COUNT(*) of the R4, R6 and R7 row sets."""
+    t = _t(spark, sf_dir)
+    dx = diagnosis.diagnosis_rows(_dx(spark, sf_dir), EVENT_START, EVENT_END)
+    st = service_time.service_rows(t, VISIT_START, VISIT_END)
+    cv = completed_visits.completed_rows(t, VISIT_START, VISIT_END)
+    return spark.range(1).select(
+        dx.agg(F.count(F.lit(1))).scalar().alias("diagnosis_records"),
+        st.agg(F.count(F.lit(1))).scalar().alias("service_records"),
+        cv.agg(F.count(F.lit(1))).scalar().alias("completed_records"),
+    )
+
+
+# ---------------------------------------------------------------- R7 completed visits
+@register("completed_visits")
+def q_completed_visits(spark, sf_dir):
+    return completed_visits.completed_rows(_t(spark, sf_dir), VISIT_START, VISIT_END)
+
+
+@register("clinic_by_gender")
+def q_clinic_by_gender(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    rows = completed_visits.completed_rows(t, VISIT_START, VISIT_END)
+    return completed_visits.clinic_by_gender(rows, t.patient)
+
+
+@register("buddhist_date")
+def q_buddhist_date(spark, sf_dir):
+    """Buddhist-era date text of each visit (29 Feb clamps)."""
+    v = _t(spark, sf_dir).visit
+    return v.select("vn", D.buddhist_date_text("created_at").alias("be_date"))
+
+
+@register("thai_short_date")
+def q_thai_short_date(spark, sf_dir):
+    """X22/X23: 'd MMM YY' of each visit day and of the next day."""
+    v = _t(spark, sf_dir).visit
+    return v.select(
+        "vn",
+        D.thai_short_date("created_at").alias("thai_date"),
+        D.thai_short_date(D.next_day("created_at"), pad_year=False).alias("thai_next_day"),
+    )
+
+
+@register("parse_be_date")
+def q_parse_be_date(spark, sf_dir):
+    """BE 'DD/MM/YYYY' text back to a date; ISO date part of a text."""
+    v = _t(spark, sf_dir).visit.select("vn", D.buddhist_date_text("created_at").alias("be"), _ts_text("created_at").alias("iso"))
+    return v.select(
+        "vn",
+        F.date_format(D.parse_be_date("be"), "yyyy-MM-dd").alias("parsed"),
+        D.iso_date_part(F.regexp_replace("iso", " ", "T")).alias("iso_date"),
+    )
+
+
+# ---------------------------------------------------------------- R8 plan summary
+def _r8(spark, sf_dir):
+    return plan_summary.plan_content(_t(spark, sf_dir), VISIT_START, VISIT_END)
+
+
+@register("plan_summary")
+def q_plan_summary(spark, sf_dir):
+    s = plan_summary.plan_summary(_r8(spark, sf_dir))
+    return s.select("insurance_plan", "new_people", "old_visits", "people", "visits", _dbl("percent"))
+
+
+@register("plan_summary_total")
+def q_plan_summary_total(spark, sf_dir):
+    c = _r8(spark, sf_dir)
+    return plan_summary.plan_summary_total(c, plan_summary.plan_summary(c))
+
+
+# ---------------------------------------------------------------- R9 cashier
+@register("cashier_detail")
+def q_cashier_detail(spark, sf_dir):
+    d = cashier.cashier_detail(standins.cashier(spark, sf_dir))
+    return d.select("patient_type", "visit_time", "insurance_name", _dbl("amount"), "amount_text")
+
+
+@register("cashier_rollup")
+def q_cashier_rollup(spark, sf_dir):
+    r = cashier.cashier_rollup(standins.cashier(spark, sf_dir))
+    return r.select("level", "patient_type", "visit_time", _dbl("total"), "total_text")
+
+
+@register("fmt_numbers")
+def q_fmt_numbers(spark, sf_dir):
+    """X26: '{:,.2f}' of every cashier amount (``amount or 0``)."""
+    c = standins.cashier(spark, sf_dir)
+    return c.select("vn", X.fmt_number(F.coalesce(F.col("amount"), F.lit(0)), 2).alias("amount_text"))

@@ -16,7 +16,6 @@ cashier      orders (content contract of the cashier report)
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,7 +117,7 @@ def appointment(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events")
     r = F.col("event_id") % 3
     return e.select(
-        F.col("event_id"),
+        F.col("event_id").alias("id"),
         _ntz("ts").alias("start"),
         F.col("user_id").alias("patient_hn"),
         (F.col("event_id") % 120).alias("clinic_id"),

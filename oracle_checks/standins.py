@@ -59,9 +59,9 @@ CTES: dict[str, str] = {
          TRUE AS active,
          CASE WHEN min(event_id) % 25 = 0 THEN min(ts) END AS deleted_at,
          CASE WHEN min(event_id) % 6 = 0 THEN 'open' ELSE 'completed' END AS latest_status_code,
-         CAST(json_group_array(json_object(
+         CAST(to_json(list(json_object(
              'code', CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END,
-             'display', 'dx ' || CAST(k AS VARCHAR)) ORDER BY event_id) AS VARCHAR) AS diagnosis
+             'display', 'dx ' || CAST(k AS VARCHAR)) ORDER BY event_id)) AS VARCHAR) AS diagnosis
   FROM (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts,
                CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
         FROM events)
@@ -99,17 +99,24 @@ CTES: dict[str, str] = {
   FROM orders""",
 }
 
-# CTEs that reference other CTEs.
-DEPENDS = {}
 
 
 def with_standins(body: str, extra: dict[str, str] | None = None) -> str:
-    """``WITH <used stand-ins>, <extra ctes> <body>``."""
+    """``WITH <used stand-ins>, <extra ctes> <body>``.
+
+    A body that starts with its own ``WITH`` has those CTEs appended after ours.
+    """
     extra = extra or {}
-    text = body + " ".join(extra.values())
+    own = None
+    m = re.match(r"\s*WITH\s+", body, flags=re.IGNORECASE)
+    if m:
+        own, body = body[m.end():], None
+    text = (own or body) + " ".join(extra.values())
     used = [n for n in CTES if re.search(rf"\b{n}\b", text)]
     parts = [f"{n} AS ({CTES[n]}\n)" for n in used]
     parts += [f"{n} AS ({sql}\n)" for n, sql in extra.items()]
+    if own is not None:
+        return "WITH " + ",\n".join(parts + [own])
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
