@@ -13,8 +13,12 @@ def _c(col) -> Column:
 
 
 def is_json_array(col) -> Column:
-    """True when the text is a JSON array (``jsonb_array_elements`` accepts it)."""
-    return F.json_array_length(_c(col)).isNotNull()
+    """True when the text is a JSON array (``jsonb_array_elements`` accepts it).
+
+    A prefix test, not a second parse: a JSON array is the only JSON value
+    whose text starts with ``[``; malformed text then fails in ``from_json``.
+    """
+    return F.ltrim(_c(col)).startswith("[")
 
 
 def diagnosis_elements(col) -> Column:

@@ -15,7 +15,7 @@ def first_visits(history: DataFrame, subjects: DataFrame, key: str = "hn", ts: s
     ``min``; a hot key costs one partial row per task, not a hot task.
     """
     keys = subjects.select(key).where(F.col(key).isNotNull()).distinct()
-    h = history.select(key, ts).join(keys, key, "left_semi")
+    h = history.select(key, ts).where(F.col(key).isNotNull()).join(keys, key, "left_semi")
     return h.groupBy(key).agg(F.min(ts).alias("first_created_at"))
 
 

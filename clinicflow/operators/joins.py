@@ -9,15 +9,30 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+# (plan hash, input files, bound) -> verdict of the bounded count, per process.
+_SIZE_VERDICTS: dict[tuple, bool] = {}
+
+
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A bounded count (``limit(max_rows + 1).count()``) that stops reading once
+    the bound is exceeded. The verdict is remembered for the same plan over
+    the same input files (a new file under the table gives a new check).
+    """
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _SIZE_VERDICTS:
+        _SIZE_VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _SIZE_VERDICTS[key]
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows.
+    """Mark ``dim`` for broadcast only if it provably has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1).count()``), which
-    stops reading once the bound is exceeded. Beyond the bound the frame is
-    returned as is and the planner / AQE choose a shuffled join.
+    Beyond the bound the frame is returned as is and the planner / AQE choose
+    a shuffled join (sort-merge, or broadcast if runtime statistics allow).
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if is_bounded(dim, max_rows) else dim
 
 
 def lookup(facts: DataFrame, key, dim: DataFrame, dim_key: str, cols: dict[str, str], how="left") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicflow.session import ensure_checkpoint_dir
+from clinicflow.operators.lineage import materialize
 
 
 def _sort_key(c) -> Column:
@@ -29,21 +29,21 @@ def global_row_number(
        rows share one timestamp;
     2. tag rows with their partition id and in-partition position
        (``monotonically_increasing_id`` = partition id << 33 | position) and
-       checkpoint to the shared checkpoint folder, so ids stay fixed if a task
-       is retried or an executor is lost;
+       write them once as a Parquet table in the shared checkpoint folder, so
+       the ids stay fixed if a task is retried or an executor is lost, and
+       the counting pass reads that table instead of recomputing the input;
     3. count rows per partition (one row per partition), prefix-sum the counts
        (bounded by the partition count, hence broadcast) and add the offset.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_key(c) for c in order_by] + [F.col(t).asc_nulls_last() for t in tiebreak]
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "rownum",
     )
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -35,7 +35,7 @@ COUNT_COLS = ["new_patients", "old_patients", "total_patients"]
 def clinic_visit_rows(t: Tables, start, end) -> DataFrame:
     """``(clinic_name, hn, patient_type)`` per (encounter, visit) pair."""
     v = t.visit.where((F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end))
-    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.visit, "hn", "created_at")
+    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.history(), "hn", "created_at")
     e = t.encounter.where(not_deleted()).select("vn", "clinic_id")
     j = e.join(v, "vn", "inner")
     j = lookup(j, "clinic_id", t.clinic, "id", {"name": "clinic_name"}, how="inner")

@@ -12,7 +12,7 @@ running percent over the department rows (bounded by the dimension).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicflow.functions.expr import pct_half_up
@@ -35,7 +35,7 @@ def department_visit_rows(t: Tables, start, end, patient_category=None) -> DataF
     if patient_category is not None:
         v = with_plan(v, t.insurance_plan).where(F.col("plan_code") == F.lit(patient_category))
     v = v.select("vn", "hn", "created_at", "department_ids")
-    v = flag_new_no_earlier(v, t.visit, "hn", "created_at")
+    v = flag_new_no_earlier(v, t.history(), "hn", "created_at")
     v = explode_keep_empty(v, "department_ids", "department_id")
     return v.select("department_id", "vn", "hn", "is_new")
 
@@ -70,8 +70,13 @@ def department_summary(t: Tables, start, end, patient_category=None, dept_name=N
 
 
 def department_content(summary: DataFrame) -> DataFrame:
-    """W3 + W2 + J8: percent of grand total visits and the running percent."""
-    grand = summary.agg(F.coalesce(F.sum("total_visits"), F.lit(0)).cast("bigint")).scalar()
+    """W3 + W2 + J8: percent of grand total visits and the running percent.
+
+    The summary has one row per department, so the grand total is a window
+    over all of its rows (one small task) instead of a second pass over the
+    facts.
+    """
+    grand = F.coalesce(F.sum("total_visits").over(Window.partitionBy()), F.lit(0))
     out = summary.withColumn("percent", pct_half_up(F.col("total_visits"), grand))
     out = cumulative(out, "percent", "department", "commulative_view")
     return out.withColumn("commulative_view", F.col("commulative_view").cast("decimal(20,2)")).select(

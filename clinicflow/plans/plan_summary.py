@@ -15,7 +15,7 @@ distinct patients across all plans. Two-step aggregation (plan, hn) -> plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicflow.functions.expr import pct_half_up
@@ -35,7 +35,7 @@ def plan_content(t: Tables, start, end) -> DataFrame:
         & half_open("created_at", start, end)
     ).select("vn", "hn", "created_at", "insurance_plan_ids")
     v = with_plan(v, t.insurance_plan)
-    v = flag_new_no_earlier(v, t.visit, "hn", "created_at")
+    v = flag_new_no_earlier(v, t.history(), "hn", "created_at")
     return v.select(
         F.col("plan_name").alias("insurance_plan"),
         "hn",
@@ -56,7 +56,8 @@ def plan_summary(content: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("people"),
     )
     per_plan = per_plan.withColumn("visits", F.col("new_people") + F.col("old_visits"))
-    grand = per_plan.agg(F.coalesce(F.sum("visits"), F.lit(0)).cast("bigint")).scalar()
+    # One row per plan: the grand total is a window over that small result.
+    grand = F.coalesce(F.sum("visits").over(Window.partitionBy()), F.lit(0))
     return per_plan.withColumn("percent", pct_half_up(F.col("visits"), grand))
 
 

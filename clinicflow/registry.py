@@ -292,7 +292,7 @@ def q_new_old_by_history(spark, sf_dir):
     """NEW when no earlier visit of the same patient exists (full history)."""
     t = _t(spark, sf_dir)
     v = scheme.completed_visits_closed(t.visit, VISIT_START, VISIT_END).select("vn", "hn", "created_at")
-    v = flag_new_no_earlier(v, t.visit)
+    v = flag_new_no_earlier(v, t.history())
     return v.select("vn", "hn", F.when(F.col("is_new"), "NEW").otherwise("OLD").alias("p_type"))
 
 
@@ -301,15 +301,15 @@ def q_new_old_by_first_visit(spark, sf_dir):
     """J12/P3: 'ใหม่' when the visit time equals the patient's first visit (inner join)."""
     t = _t(spark, sf_dir)
     v = t.visit.where((F.col("latest_status_code") == "completed") & half_open("created_at", VISIT_START, VISIT_END))
-    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.visit)
+    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.history())
     return v.select("vn", "hn", F.when(F.col("is_new"), "ใหม่").otherwise("เก่า").alias("patient_type"))
 
 
 @register("first_visit")
 def q_first_visit(spark, sf_dir):
     """MIN(created_at) per patient over all visits."""
-    v = _t(spark, sf_dir).visit
-    fv = first_visits(v, v)
+    h = _t(spark, sf_dir).history()
+    fv = first_visits(h, h)
     return fv.select("hn", _ts_text("first_created_at").alias("first_created_at"))
 
 

@@ -52,17 +52,20 @@ def _minutes(col):
 
 
 def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = (
-        _read(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.array_sort(F.collect_list(F.col("l_suppkey") % 25)).alias("department_ids"),
-            F.array_sort(F.collect_list("l_suppkey")).alias("clinic_ids"),
-        )
-    )
-    orders = _read(spark, sf_dir, "orders")
+    """Visits from ``orders``; ``department_ids`` / ``clinic_ids`` are the
+    sorted lists of the order's lineitem supplier keys (NULL without lines).
+
+    The lists are correlated scalar subqueries: Catalyst turns a used one into
+    a left join with lineitem aggregated per order, and drops an unused one
+    entirely, so reports that never read the arrays never touch lineitem.
+    """
+    o = _read(spark, sf_dir, "orders").alias("o")
+    li = _read(spark, sf_dir, "lineitem").alias("li")
+    same_order = F.col("li.l_orderkey") == F.col("o.o_orderkey").outer()
+    dep = li.where(same_order).select(F.array_sort(F.collect_list(F.col("li.l_suppkey") % 25))).scalar()
+    cli = li.where(same_order).select(F.array_sort(F.collect_list(F.col("li.l_suppkey")))).scalar()
     status = F.col("o_orderstatus")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+    base = o.select(
         F.col("o_orderkey").alias("vn"),
         F.col("o_custkey").alias("hn"),
         (_ntz("o_orderdate") + _minutes(F.col("o_orderkey") % 1440)).alias("created_at"),
@@ -75,8 +78,27 @@ def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 9 == 0, F.array().cast("array<bigint>"))
         .otherwise(F.array(F.col("o_custkey") % 8))
         .alias("insurance_plan_ids"),
-        "department_ids",
-        "clinic_ids",
+        dep.alias("_dep"),
+        cli.alias("_cli"),
+    )
+    keep = [c for c in base.columns if not c.startswith("_")]
+    return base.select(
+        *keep,
+        F.when(F.size("_dep") > 0, F.col("_dep")).alias("department_ids"),
+        F.when(F.size("_cli") > 0, F.col("_cli")).alias("clinic_ids"),
+    )
+
+
+def visit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(hn, created_at)`` of every visit, straight from ``orders``.
+
+    Same rows as ``visit.select('hn', 'created_at')`` (the lineitem side of
+    the stand-in is a left join on a unique key), without aggregating lineitem.
+    """
+    o = _read(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_custkey").alias("hn"),
+        (_ntz("o_orderdate") + _minutes(F.col("o_orderkey") % 1440)).alias("created_at"),
     )
 
 
@@ -225,19 +247,21 @@ def cashier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """All stand-ins, each built on first access."""
     return Tables(
-        visit=visit(spark, sf_dir),
-        encounter=encounter(spark, sf_dir),
-        queue=queue(spark, sf_dir),
-        appointment=appointment(spark, sf_dir),
-        department=department(spark, sf_dir),
-        clinic=clinic(spark, sf_dir),
-        practitioner=practitioner(spark, sf_dir),
-        insurance_plan=insurance_plan(spark),
-        patient=patient(spark, sf_dir),
+        visit=lambda: visit(spark, sf_dir),
+        visit_history=lambda: visit_history(spark, sf_dir),
+        encounter=lambda: encounter(spark, sf_dir),
+        queue=lambda: queue(spark, sf_dir),
+        appointment=lambda: appointment(spark, sf_dir),
+        department=lambda: department(spark, sf_dir),
+        clinic=lambda: clinic(spark, sf_dir),
+        practitioner=lambda: practitioner(spark, sf_dir),
+        insurance_plan=lambda: insurance_plan(spark),
+        patient=lambda: patient(spark, sf_dir),
     )
 
 
 def diagnosis_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Tables for the diagnosis report: ``visit`` carries the JSON diagnosis."""
-    return standin_tables(spark, sf_dir).with_tables(visit=dx_visit(spark, sf_dir))
+    return standin_tables(spark, sf_dir).with_tables(visit=lambda: dx_visit(spark, sf_dir))

@@ -4,11 +4,14 @@
 its own storage (``Tables.from_parquet``: one Parquet folder per table, facts
 ideally partitioned by a ``visit_date`` column); tests and the driver use
 stand-ins derived from the TPC-H-like test tables (``sources.standins``).
+
+Tables can be given as DataFrames or as zero-argument factories; a factory
+runs on first access only, so a report plans reads of just the tables it uses.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,24 +26,45 @@ LOGICAL_TABLES = (
     "insurance_plan",
     "patient",
 )
+# Optional narrow projections a deployment may keep (else derived from ``visit``).
+OPTIONAL_TABLES = ("visit_history",)
 
 
-@dataclass(frozen=True)
 class Tables:
-    visit: DataFrame | None = None
-    encounter: DataFrame | None = None
-    queue: DataFrame | None = None
-    appointment: DataFrame | None = None
-    department: DataFrame | None = None
-    clinic: DataFrame | None = None
-    practitioner: DataFrame | None = None
-    insurance_plan: DataFrame | None = None
-    patient: DataFrame | None = None
+    """Named logical tables, resolved lazily."""
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame] | None):
+        unknown = set(tables) - set(LOGICAL_TABLES) - set(OPTIONAL_TABLES)
+        if unknown:
+            raise ValueError(f"unknown tables: {sorted(unknown)}")
+        self._src = dict(tables)
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame | None:
+        if name not in self._cache:
+            src = self._src.get(name)
+            self._cache[name] = src() if callable(src) else src
+        return self._cache[name]
+
+    def __getattr__(self, name: str):
+        if name in LOGICAL_TABLES:
+            return self._get(name)
+        raise AttributeError(name)
+
+    def history(self) -> DataFrame:
+        """``(hn, created_at)`` of *all* visits: the new/returning history."""
+        h = self._get("visit_history") if "visit_history" in self._src else None
+        return h if h is not None else self.visit.select("hn", "created_at")
 
     @staticmethod
     def from_parquet(spark: SparkSession, root: str, names=LOGICAL_TABLES) -> "Tables":
-        """One Parquet folder per logical table under ``root``."""
-        return Tables(**{n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names})
+        """One Parquet folder per logical table under ``root`` (read on first use)."""
+        base = root.rstrip("/")
+        return Tables(**{n: (lambda n=n: spark.read.parquet(f"{base}/{n}")) for n in names})
 
-    def with_tables(self, **frames: DataFrame) -> "Tables":
-        return replace(self, **frames)
+    def with_tables(self, **frames) -> "Tables":
+        merged = dict(self._src)
+        merged.update(frames)
+        if "visit" in frames and "visit_history" not in frames:
+            merged.pop("visit_history", None)
+        return Tables(**merged)
