@@ -72,3 +72,23 @@ def not_deleted(col: str = "deleted_at") -> Column:
 def is_true(col: str = "active") -> Column:
     """boolean flag, NULL fails."""
     return F.coalesce(F.col(col), F.lit(False))
+
+
+# Facts may be stored partitioned by this date column (the UTC date of the
+# row's timestamp). Catalyst does not derive a partition filter from a range
+# on the timestamp, so scans add one explicitly.
+PARTITION_DATE_COL = "part_date"
+
+
+def prune_partitions(df, start, end, part_col: str = PARTITION_DATE_COL, widen_days: int = 1):
+    """Add ``part_col BETWEEN date(start) - w AND date(end) + w`` when the
+    table has that column (partition pruning); otherwise return ``df``.
+
+    Widening by a day keeps rows whose shifted / zone-converted time still
+    falls inside the report range; the exact range predicate does the rest.
+    """
+    if part_col not in df.columns:
+        return df
+    lo = F.date_sub(date_lit(start), widen_days)
+    hi = F.date_add(date_lit(end), widen_days)
+    return df.where(F.col(part_col).between(lo, hi))

@@ -16,7 +16,7 @@ from clinicflow.functions.dates import fmt_date, fmt_time, to_report_tz
 from clinicflow.functions.labels import NAME_APPOINTMENT
 from clinicflow.operators.joins import enrich_patient, lookup
 from clinicflow.operators.ordering import global_row_number
-from clinicflow.params import half_open, not_deleted
+from clinicflow.params import half_open, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
@@ -34,7 +34,7 @@ CONTENT_COLS = [
 
 def appointment_rows(t: Tables, start, end) -> DataFrame:
     """Rows before numbering, with the order key ``start`` and tie-break ``id``."""
-    a = t.appointment.where(not_deleted() & half_open("start", start, end))
+    a = prune_partitions(t.appointment, start, end).where(not_deleted() & half_open("start", start, end))
     a = lookup(a, "clinic_id", t.clinic, "id", {"name": "clinic_name"})
     a = lookup(a, "practitioner_id", t.practitioner, "id", {"display": "doctor_name"})
     local = to_report_tz("start")

@@ -25,7 +25,7 @@ from clinicflow.functions.labels import (
 from clinicflow.operators.aggregates import distinct_by_flags, with_total_row
 from clinicflow.operators.history import flag_new_inner
 from clinicflow.operators.joins import lookup
-from clinicflow.params import half_open, not_deleted
+from clinicflow.params import half_open, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
@@ -34,7 +34,9 @@ COUNT_COLS = ["new_patients", "old_patients", "total_patients"]
 
 def clinic_visit_rows(t: Tables, start, end) -> DataFrame:
     """``(clinic_name, hn, patient_type)`` per (encounter, visit) pair."""
-    v = t.visit.where((F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end))
+    v = prune_partitions(t.visit, start, end).where(
+        (F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)
+    )
     v = flag_new_inner(v.select("vn", "hn", "created_at"), t.history(), "hn", "created_at")
     e = t.encounter.where(not_deleted()).select("vn", "clinic_id")
     j = e.join(v, "vn", "inner")

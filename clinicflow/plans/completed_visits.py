@@ -19,13 +19,13 @@ from clinicflow.functions.expr import gender_normalise
 from clinicflow.functions.labels import DATE_RANGE_PREFIX, HOSPITAL_NAME, NAME_COMPLETED, STATUS_COMPLETED
 from clinicflow.operators.arrays import membership_join
 from clinicflow.operators.joins import enrich_patient
-from clinicflow.params import half_open, ts_lit
+from clinicflow.params import half_open, prune_partitions, ts_lit
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
 
 def completed_rows(t: Tables, start, end) -> DataFrame:
-    v = t.visit.where(
+    v = prune_partitions(t.visit, start, end).where(
         (F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)
     ).select("vn", "hn", "clinic_ids")
     j = membership_join(v, "clinic_ids", t.clinic.select("id", "name"), "id", out="clinic_id")

@@ -18,7 +18,7 @@ from clinicflow.functions.expr import gender_normalise
 from clinicflow.functions.jsonx import diagnosis_elements
 from clinicflow.functions.labels import NAME_DIAGNOSIS, STATUS_COMPLETED
 from clinicflow.operators.joins import enrich_patient
-from clinicflow.params import not_deleted, shifted
+from clinicflow.params import not_deleted, prune_partitions, shifted
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
@@ -26,7 +26,7 @@ CONTENT_COLS = ["hn", "diagnosis_code", "diagnosis_name", "visit_date"]
 
 
 def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
-    v = t.visit.where(
+    v = prune_partitions(t.visit, start, end).where(
         (F.col("latest_status_code") == STATUS_COMPLETED)
         & not_deleted()
         & shifted("created_at", start, end, shift_hours)

@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from clinicflow.functions.expr import pct_half_up
 from clinicflow.functions.labels import NEW_PATIENT_TH, OLD_PATIENT_TH, STATUS_COMPLETED
 from clinicflow.operators.history import flag_new_no_earlier
-from clinicflow.params import half_open, is_true, not_deleted
+from clinicflow.params import half_open, is_true, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.plans.scheme import with_plan
 from clinicflow.sources.tables import Tables
 
 
 def plan_content(t: Tables, start, end) -> DataFrame:
-    v = t.visit.where(
+    v = prune_partitions(t.visit, start, end).where(
         is_true("active")
         & not_deleted()
         & (F.col("latest_status_code") == STATUS_COMPLETED)

@@ -31,7 +31,7 @@ from clinicflow.operators.aggregates import conditional_counts
 from clinicflow.operators.arrays import explode_keep_empty, fanout_weight, first_element
 from clinicflow.operators.joins import lookup
 from clinicflow.operators.spine import date_spine, fill_spine
-from clinicflow.params import closed, is_true, not_deleted
+from clinicflow.params import closed, is_true, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
@@ -40,7 +40,7 @@ COUNT_COLS = ["ucs", "sss", "ofc", "cash"]
 
 def completed_visits_closed(visit: DataFrame, start, end) -> DataFrame:
     """S1 + F2 + F4-F6: active, not deleted, completed, ``start <= created_at <= end``."""
-    return visit.where(
+    return prune_partitions(visit, start, end).where(
         is_true("active")
         & not_deleted()
         & (F.col("latest_status_code") == STATUS_COMPLETED)

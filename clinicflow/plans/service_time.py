@@ -17,7 +17,7 @@ from clinicflow.functions.dates import fmt_time, to_report_tz
 from clinicflow.functions.expr import blank_if_falsy, minutes_between, placeholder
 from clinicflow.functions.labels import NAME_SERVICE_TIME, STATUS_COMPLETED
 from clinicflow.operators.ordering import collapse_runs, global_row_number, mark_runs
-from clinicflow.params import half_open, not_deleted
+from clinicflow.params import half_open, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.sources.tables import Tables
 
@@ -26,7 +26,9 @@ CONTENT_COLS = ["seq_no", "hn", "register_time", "screening_time", "doctor_time"
 
 def service_rows(t: Tables, start, end) -> DataFrame:
     """One row per (visit, encounter, queue call), before numbering."""
-    v = t.visit.where((F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)).select(
+    v = prune_partitions(t.visit, start, end).where(
+        (F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)
+    ).select(
         "vn", "hn", "created_at"
     )
     e = t.encounter.where(not_deleted()).select(
