@@ -5,6 +5,8 @@ from clinicflow.functions.dates import (
     buddhist_date_text,
     date_range_text,
     fmt_date,
+    fmt_datetime,
+    fmt_iso_date,
     fmt_time,
     iso_date_part,
     next_day,
@@ -32,6 +34,8 @@ __all__ = [
     "date_range_text",
     "diagnosis_elements",
     "fmt_date",
+    "fmt_datetime",
+    "fmt_iso_date",
     "fmt_number",
     "fmt_time",
     "gender_normalise",

@@ -21,14 +21,40 @@ def to_report_tz(col, tz: str = REPORT_TZ, storage_tz: str = STORAGE_TZ) -> Colu
     return F.convert_timezone(F.lit(storage_tz), F.lit(tz), _c(col).cast("timestamp_ntz"))
 
 
+# Text is built from date/time fields, not ``date_format``: ``date_format``
+# casts a ``timestamp_ntz`` to a session-zone timestamp first, which shifts
+# wall-clock times that fall in a daylight-saving gap of the session zone.
+# Field extraction on ``timestamp_ntz`` / ``date`` is zone-free.
+
+
 def fmt_date(col) -> Column:
     """X1 ``to_char(d, 'DD/MM/YYYY')``."""
-    return F.date_format(_c(col), "dd/MM/yyyy")
+    d = F.to_date(_c(col))
+    return F.when(d.isNotNull(), F.format_string("%02d/%02d/%04d", F.dayofmonth(d), F.month(d), F.year(d)))
 
 
 def fmt_time(col) -> Column:
     """X2 ``to_char(ts, 'HH24:MI')``."""
-    return F.date_format(_c(col), "HH:mm")
+    t = _c(col)
+    return F.when(t.isNotNull(), F.format_string("%02d:%02d", F.hour(t), F.minute(t)))
+
+
+def fmt_iso_date(col) -> Column:
+    """``YYYY-MM-DD`` text of a date / wall-clock timestamp."""
+    d = F.to_date(_c(col))
+    return F.when(d.isNotNull(), F.format_string("%04d-%02d-%02d", F.year(d), F.month(d), F.dayofmonth(d)))
+
+
+def fmt_datetime(col) -> Column:
+    """``YYYY-MM-DD HH:MI:SS`` text of a wall-clock timestamp."""
+    t = _c(col)
+    return F.when(
+        t.isNotNull(),
+        F.format_string(
+            "%04d-%02d-%02d %02d:%02d:%02d",
+            F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t),
+        ),
+    )
 
 
 def buddhist_date(col) -> Column:

@@ -60,11 +60,13 @@ def int_or_zero(col) -> Column:
 def minutes_between(end, start) -> Column:
     """X8 + X9: ``ROUND(EXTRACT(EPOCH FROM end - start) / 60)`` as bigint.
 
-    Exact decimal arithmetic on microseconds; ``round`` on a decimal rounds
-    half away from zero, like numeric rounding.
+    ``end - start`` is a day-time interval (zone-free for wall-clock
+    timestamps, unlike ``timestamp_diff``, which goes through the session
+    zone); as seconds it is an exact decimal, and ``round`` on a decimal
+    rounds half away from zero, like numeric rounding.
     """
-    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("decimal(20,0)")
-    return F.round(micros / F.lit(60_000_000).cast("decimal(20,0)"), 0).cast("bigint")
+    secs = (_c(end) - _c(start)).cast("interval second").cast("decimal(24,6)")
+    return F.round(secs / F.lit(60).cast("decimal(2,0)"), 0).cast("bigint")
 
 
 def pct_half_up(part, whole) -> Column:

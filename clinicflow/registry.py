@@ -67,7 +67,7 @@ def _counts(df: DataFrame) -> list:
 @register("scheme_daily")
 def q_scheme_daily(spark, sf_dir):
     d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END)
-    return d.select(F.date_format("visit_date", "yyyy-MM-dd").alias("visit_date"), *_counts(d))
+    return d.select(D.fmt_iso_date("visit_date").alias("visit_date"), *_counts(d))
 
 
 @register("scheme_total")
@@ -87,7 +87,7 @@ def _dx(spark, sf_dir):
 
 
 def _ts_text(col):
-    return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    return D.fmt_datetime(col)
 
 
 def _dbl(col):
@@ -116,7 +116,7 @@ def q_date_spine(spark, sf_dir):
     per_day = v.groupBy(F.to_date("created_at").alias("visit_date")).agg(F.count(F.lit(1)).alias("visits"))
     spine = date_spine(spark, VISIT_START, VISIT_END, "visit_date")
     out = fill_spine(spine, per_day, "visit_date", ["visits"])
-    return out.select(F.date_format("visit_date", "yyyy-MM-dd").alias("visit_date"), "visits")
+    return out.select(D.fmt_iso_date("visit_date").alias("visit_date"), "visits")
 
 
 @register("param_optional_filter")
@@ -550,7 +550,7 @@ def q_parse_be_date(spark, sf_dir):
     v = _t(spark, sf_dir).visit.select("vn", D.buddhist_date_text("created_at").alias("be"), _ts_text("created_at").alias("iso"))
     return v.select(
         "vn",
-        F.date_format(D.parse_be_date("be"), "yyyy-MM-dd").alias("parsed"),
+        D.fmt_iso_date(D.parse_be_date("be")).alias("parsed"),
         D.iso_date_part(F.regexp_replace("iso", " ", "T")).alias("iso_date"),
     )
 

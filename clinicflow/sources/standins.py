@@ -103,6 +103,17 @@ def visit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters: lineitem grouped by (orderkey, linenumber).
+
+    ``min(status) = 'F'`` is written as boolean aggregates (no smaller value,
+    some value equal), which hash-aggregate; ``min`` over strings would force
+    a sort-based aggregation of all lineitem rows.
+    """
+
+    def min_equals(col: str, value: str):
+        c = F.col(col)
+        return (~F.bool_or(c < value)) & F.bool_or(c == value)
+
     g = (
         _read(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
@@ -111,8 +122,8 @@ def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(_ntz("l_shipdate")).alias("first_ship"),
             F.max(_ntz("l_shipdate")).alias("last_ship"),
             F.min("l_partkey").alias("min_part"),
-            F.min("l_linestatus").alias("min_status"),
-            F.min("l_returnflag").alias("min_flag"),
+            min_equals("l_linestatus", "F").alias("finished"),
+            min_equals("l_returnflag", "R").alias("returned"),
         )
     )
     return g.select(
@@ -121,11 +132,11 @@ def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "clinic_id",
         F.col("first_ship").alias("created_at"),
         F.when(
-            F.col("min_status") == "F",
+            F.col("finished"),
             F.col("last_ship")
             + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("min_part") % 480).cast("int"), F.lit(30)),
         ).alias("completed_at"),
-        F.when(F.col("min_flag") == "R", F.col("last_ship")).alias("deleted_at"),
+        F.when(F.col("returned"), F.col("last_ship")).alias("deleted_at"),
     )
 
 

@@ -65,3 +65,17 @@ def test_minutes_round_half_away_from_zero(spark):
 def test_plan_category(spark):
     df = spark.createDataFrame([("UCS", "x"), (None, "เงินสด"), (None, "Other")], "c string, n string")
     assert [r.x for r in df.select(X.plan_category("c", "n").alias("x")).collect()] == ["UCS", "CASH", "OTHER"]
+
+
+def test_formats_ignore_session_zone_dst_gap(spark):
+    """A wall-clock time inside a daylight-saving gap of the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = ts_lit("2024-03-10 02:30:15")
+        assert one(spark, D.fmt_time(t)) == "02:30"
+        assert one(spark, D.fmt_date(t)) == "10/03/2024"
+        assert one(spark, D.fmt_datetime(t)) == "2024-03-10 02:30:15"
+        assert one(spark, X.minutes_between(ts_lit("2024-03-11 02:30:15"), ts_lit("2024-03-10 02:30:15"))) == 1440
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
