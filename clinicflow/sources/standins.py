@@ -39,8 +39,17 @@ APPOINTMENT_STATUS = ("booked", "fulfilled", "cancelled")
 # --- end of fixed values ---------------------------------------------------------
 
 
+# (session, path) -> DataFrame of a test table; the test files are read-only,
+# so one schema read per session is enough.
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _ntz(name: str):
