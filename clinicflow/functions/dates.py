@@ -57,6 +57,25 @@ def fmt_datetime(col) -> Column:
     )
 
 
+def iso_instant_text(col, tz: str = REPORT_TZ, storage_tz: str = STORAGE_TZ) -> Column:
+    """An instant as ISO-8601 text in zone ``tz`` with its offset,
+    ``YYYY-MM-DDTHH:MI:SS+HH:MM`` (how a timestamptz prints in JSON).
+
+    The offset is the difference between the converted wall clock and the
+    stored one, so zones with daylight saving get the offset of that instant.
+    """
+    utc = _c(col).cast("timestamp_ntz")
+    local = to_report_tz(utc, tz, storage_tz)
+    off = (local - F.convert_timezone(F.lit(storage_tz), F.lit("UTC"), utc)).cast("interval minute").cast("int")
+    sign = F.when(off < 0, F.lit("-")).otherwise(F.lit("+"))
+    hhmm = F.format_string("%02d:%02d", F.floor(F.abs(off) / 60).cast("int"), (F.abs(off) % 60).cast("int"))
+    wall = F.format_string(
+        "%04d-%02d-%02dT%02d:%02d:%02d",
+        F.year(local), F.month(local), F.dayofmonth(local), F.hour(local), F.minute(local), F.second(local),
+    )
+    return F.when(utc.isNotNull(), F.concat(wall, sign, hhmm))
+
+
 def buddhist_date(col) -> Column:
     """Date + 543 years (29 Feb clamps to 28 Feb), as a date."""
     return F.add_months(F.to_date(_c(col)), BE_YEARS * 12)

@@ -395,6 +395,13 @@ def q_tz_wall_clock(spark, sf_dir):
     return a.select("id", _ts_text(D.to_report_tz("start")).alias("local_start"))
 
 
+@register("iso_timestamps")
+def q_iso_timestamps(spark, sf_dir):
+    """Instants as ISO-8601 text with the Bangkok offset."""
+    a = _t(spark, sf_dir).appointment
+    return a.select("id", D.iso_instant_text("start").alias("start_iso"))
+
+
 @register("fmt_date")
 def q_fmt_date(spark, sf_dir):
     a = _t(spark, sf_dir).appointment

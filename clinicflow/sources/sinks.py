@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
+
+from clinicflow.functions.dates import iso_instant_text
+from clinicflow.functions.labels import REPORT_TZ
 
 JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -33,12 +37,26 @@ def ordered_json_array(df: DataFrame, value: Column, order: list[str], empty_as_
     return df.agg(j.alias("json"))
 
 
+def meta_json(meta: DataFrame, tz: str = REPORT_TZ) -> DataFrame:
+    """The meta row as one JSON text; timestamps as ISO-8601 in ``tz``
+    with the zone offset (``2026-01-03T00:00:00+07:00``), NULL fields kept."""
+    cols = []
+    for f in meta.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, TimestampType):
+            # an instant (e.g. generated_at): session zone -> UTC wall clock first
+            c = iso_instant_text(F.convert_timezone(None, F.lit("UTC"), c), tz)
+        elif isinstance(f.dataType, TimestampNTZType):
+            c = iso_instant_text(c, tz)
+        cols.append(c.alias(f.name))
+    return meta.select(F.to_json(F.struct(*cols), JSON_OPTS).alias("json"))
+
+
 def json_document(meta: DataFrame, content_json: DataFrame) -> DataFrame:
     """``{"meta": {...}, "content": [...]}`` for bounded reports (one row)."""
-    m = F.to_json(F.struct(*meta.columns), JSON_OPTS)
     c = F.coalesce(content_json.select("json").scalar(), F.lit("null"))
-    doc = F.concat(F.lit('{"meta":'), m, F.lit(',"content":'), c, F.lit("}"))
-    return meta.select(doc.alias("document"))
+    doc = F.concat(F.lit('{"meta":'), F.col("json"), F.lit(',"content":'), c, F.lit("}"))
+    return meta_json(meta).select(doc.alias("document"))
 
 
 def write_json_lines(df: DataFrame, path: str, order: tuple = (), mode: str = "overwrite") -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from clinicflow.plans import (
     appointment,
     cashier,
@@ -287,3 +289,27 @@ def test_cashier_rollup_and_detail(spark):
     assert rows(d, "insurance_name", "amount_text") == [("a", "1,000.50"), ("d", "2.25")]
     empty = cashier.cashier_rollup(content.limit(0))
     assert empty.count() == 7
+
+
+def test_write_report_and_meta_json(spark, tmp_path):
+    import json
+
+    from clinicflow.sources.sinks import meta_json, write_report
+
+    t = tables(spark, visits=[visit_row(1, 10, "2024-01-01 08:00:00")])
+    r = scheme.scheme_report(t, S, E)
+    m = json.loads(meta_json(r.meta).collect()[0]["json"])
+    assert m["start_datetime"] == "2024-01-01T07:00:00+07:00"
+    assert m["generated_at"].endswith("+07:00")
+    assert m["dept_name"] == "ทั้งหมด"
+    out = str(tmp_path / "r1")
+    write_report(r, out)
+    assert spark.read.json(f"{out}/meta").count() == 1
+    content = spark.read.json(f"{out}/content")
+    assert content.count() == 4 and "date_text" in content.columns
+    # bounded report as one document, content in print order
+    from clinicflow.sources.sinks import json_document, ordered_json_array
+
+    arr = ordered_json_array(r.content, F.struct("date_text", "ucs"), ["sort_order", "visit_date"])
+    doc = json.loads(json_document(r.meta, arr).collect()[0]["document"])
+    assert [x["date_text"] for x in doc["content"]] == ["01/01/2024", "02/01/2024", "03/01/2024", "รวม"]
