@@ -56,3 +56,24 @@ def enrich_patient(
     """
     p = patient.select(F.col(key).alias("_pk"), F.struct(*fields).alias(out))
     return content.join(p, content[key] == F.col("_pk"), "left").drop("_pk")
+
+
+def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` that survives a hot key on the right.
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so one key holding a large share of ``right`` would land in one
+    task. Written instead as
+      * the inner join (AQE may split a skewed partition on either side), and
+      * the left rows without a match: an anti join against the *distinct*
+        right keys (pre-aggregated map-side: one row per key, never skewed),
+        padded with NULL right columns.
+    NULL left keys never match and come out of the anti join, as in a LEFT JOIN.
+    """
+    matched = left.join(right, key, "inner")
+    keys = right.select(key).where(F.col(key).isNotNull()).distinct()
+    unmatched = left.join(keys, key, "left_anti")
+    for f in right.schema.fields:
+        if f.name != key:
+            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(unmatched)

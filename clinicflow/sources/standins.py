@@ -40,13 +40,14 @@ APPOINTMENT_STATUS = ("booked", "fulfilled", "cancelled")
 
 
 # (session, path) -> DataFrame of a test table; the test files are read-only,
-# so one schema read per session is enough.
-_READS: dict[tuple[int, str], DataFrame] = {}
+# so one schema read per session is enough. The key holds the session object
+# itself (not its id), so a later session never sees another session's frames.
+_READS: dict[tuple[SparkSession, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
