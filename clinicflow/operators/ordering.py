@@ -35,11 +35,12 @@ def global_row_number(
     3. count rows per partition (one row per partition), prefix-sum the counts
        (bounded by the partition count, hence broadcast) and add the offset.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_key(c) for c in order_by] + [F.col(t).asc_nulls_last() for t in tiebreak]
+    # Without an explicit count AQE sizes the range partitions by data volume
+    # (coalescing adjacent ranges keeps them contiguous and in order).
+    ranged_input = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     ranged = materialize(
-        df.repartitionByRange(n, *keys)
+        ranged_input
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id()),

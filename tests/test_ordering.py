@@ -43,3 +43,17 @@ def test_left_join_hot_right_equals_left_join(spark):
     got = sorted(left_join_hot_right(left, right, "k").collect(), key=str)
     want = sorted(left.join(right, "k", "left").collect(), key=str)
     assert got == want
+
+
+def test_row_number_with_adaptive_range_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        df = spark.range(5000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 11).alias("t")
+        )
+        got = {r.id: r.rn for r in global_row_number(df, ["t"], ["id"], out="rn").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    expected = {rid: i + 1 for i, (t, rid) in enumerate(sorted((r.t, r.id) for r in df.collect()))}
+    assert got == expected
