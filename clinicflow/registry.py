@@ -19,7 +19,7 @@ from clinicflow.functions import dates as D
 from clinicflow.functions import expr as X
 from clinicflow.functions.jsonx import diagnosis_elements
 from clinicflow.functions.labels import SCHEME_KEYS_TH
-from clinicflow.operators.arrays import explode_keep_empty, first_element, membership_join
+from clinicflow.operators.arrays import explode_keep_empty, membership_join
 from clinicflow.operators.history import first_visits, flag_new_inner, flag_new_no_earlier
 from clinicflow.operators.joins import enrich_patient, lookup
 from clinicflow.operators.ordering import global_row_number

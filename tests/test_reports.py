@@ -313,3 +313,19 @@ def test_write_report_and_meta_json(spark, tmp_path):
     arr = ordered_json_array(r.content, F.struct("date_text", "ucs"), ["sort_order", "visit_date"])
     doc = json.loads(json_document(r.meta, arr).collect()[0]["document"])
     assert [x["date_text"] for x in doc["content"]] == ["01/01/2024", "02/01/2024", "03/01/2024", "รวม"]
+
+
+def test_department_optional_filters(spark):
+    visits = [
+        visit_row(1, 10, "2024-01-01 08:00:00", plans=(0,), depts=(1, 2)),
+        visit_row(2, 11, "2024-01-01 09:00:00", plans=(1,), depts=(1,)),
+    ]
+    t = tables(spark, visits=visits)
+    s = department.department_summary(t, S, E, patient_category="UCS", dept_name="Med")
+    assert rows(s, "department", "total_patients", "total_visits") == [("Med", 1, 1)]
+    s = department.department_summary(t, S, E, patient_category="SSS")
+    assert rows(s, "department", "total_visits") == [("Med", 1), ("Surg", 0)]
+    r = department.department_report(t, S, E, dept_name="Surg")
+    meta = r.meta.collect()[0]
+    assert meta["department_filter"] == "Surg" and meta["grand_total_visits"] == 1
+    assert sorted(x.department for x in r.extras["departments"].collect()) == ["Med", "Surg"]
