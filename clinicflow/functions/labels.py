@@ -36,7 +36,6 @@ NEW_PATIENT_TH = "ผู้ป่วยใหม่"  # "new patient" in the pla
 OLD_PATIENT_TH = "ผู้ป่วยเก่า"  # "old patient" in the plan summary content
 NEW_EN = "NEW"
 OLD_EN = "OLD"
-HOSPITAL_NAME = "โรงพยาบาลมหาวิทยาลัยนเรศวร"
 DATE_RANGE_PREFIX = "ตั้งแต่วันที่ "  # "from date "
 
 # Report names (meta.report_name).

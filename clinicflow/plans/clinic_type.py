@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinicflow.functions.labels import (
-    HOSPITAL_NAME,
     NAME_CLINIC_TYPE,
     NEW_TH,
     OLD_TH,
@@ -69,11 +68,12 @@ def print_label(col="clinic_name"):
     return F.when(F.col(col) == TOTAL_LABEL, F.lit(TOTAL_LABEL_PRINT)).otherwise(F.col(col))
 
 
-def clinic_report(t: Tables, start, end) -> Report:
+def clinic_report(t: Tables, start, end, hospital_name: str | None = None) -> Report:
+    """``hospital_name`` is the issuing hospital shown in meta (deployment setting)."""
     meta = meta_row(
         t.visit.sparkSession,
         {
-            "hospital_name": F.lit(HOSPITAL_NAME),
+            "hospital_name": F.lit(hospital_name).cast("string"),
             "report_name": F.lit(NAME_CLINIC_TYPE),
             "start_timestamp": bound(start),
             "end_timestamp": bound(end),

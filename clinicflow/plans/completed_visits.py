@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clinicflow.functions.dates import date_range_text, to_report_tz
 from clinicflow.functions.expr import gender_normalise
-from clinicflow.functions.labels import DATE_RANGE_PREFIX, HOSPITAL_NAME, NAME_COMPLETED, STATUS_COMPLETED
+from clinicflow.functions.labels import DATE_RANGE_PREFIX, NAME_COMPLETED, STATUS_COMPLETED
 from clinicflow.operators.arrays import membership_join
 from clinicflow.operators.joins import enrich_patient
 from clinicflow.params import half_open, prune_partitions, ts_lit
@@ -32,12 +32,13 @@ def completed_rows(t: Tables, start, end) -> DataFrame:
     return j.select(F.col("name").alias("clinic_name"), "clinic_id", "hn")
 
 
-def completed_report(t: Tables, start, end) -> Report:
+def completed_report(t: Tables, start, end, hospital_name: str | None = None) -> Report:
+    """``hospital_name`` is the issuing hospital shown in meta (deployment setting)."""
     rows = completed_rows(t, start, end)
     meta = meta_row(
         t.visit.sparkSession,
         {
-            "hospital_name": F.lit(HOSPITAL_NAME),
+            "hospital_name": F.lit(hospital_name).cast("string"),
             "report_name": F.lit(NAME_COMPLETED),
             "start_time": bound(start),
             "end_time": bound(end),
