@@ -4,11 +4,11 @@ The test data has no hospital tables, so each logical table is a Spark view
 over them (the same definitions are written in DuckDB SQL for the oracle).
 All are lazy DataFrames; only the columns a report touches are read.
 
-visit        orders + per-order sorted lists of lineitem supplier keys
+visit        orders (arrays are row-wise rules, no grouping)
 encounter    lineitem grouped by (orderkey, linenumber)
 queue        events (en = event_id)
 appointment  events
-dx_visit     events grouped by (user, day), diagnosis = JSON array
+dx_visit     events, one visit each, diagnosis = JSON array
 department   nation;  clinic = supplier;  practitioner / patient = customer
 insurance_plan  eight fixed rows
 cashier      orders (content contract of the cashier report)
@@ -61,41 +61,42 @@ def _minutes(col):
     return F.make_dt_interval(F.lit(0), F.lit(0), col.cast("int"), F.lit(0))
 
 
-def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits from ``orders``; ``department_ids`` / ``clinic_ids`` are the
-    sorted lists of the order's lineitem supplier keys (NULL without lines).
+def _id_array(k, first, second):
+    """Array of ids per row: NULL, empty, with a NULL element, with a repeated
+    id, or two ids, chosen by the row key ``k`` (a pure row-wise rule)."""
+    none = F.lit(None).cast("bigint")
+    return (
+        F.when(k % 11 == 0, F.lit(None).cast("array<bigint>"))
+        .when(k % 13 == 0, F.array().cast("array<bigint>"))
+        .when(k % 17 == 0, F.array(first, none))
+        .when(k % 3 == 0, F.array(first, second, first))
+        .otherwise(F.array(first, second))
+    )
 
-    The lists are correlated scalar subqueries: Catalyst turns a used one into
-    a left join with lineitem aggregated per order, and drops an unused one
-    entirely, so reports that never read the arrays never touch lineitem.
-    """
-    o = _read(spark, sf_dir, "orders").alias("o")
-    li = _read(spark, sf_dir, "lineitem").alias("li")
-    same_order = F.col("li.l_orderkey") == F.col("o.o_orderkey").outer()
-    dep = li.where(same_order).select(F.array_sort(F.collect_list(F.col("li.l_suppkey") % 25))).scalar()
-    cli = li.where(same_order).select(F.array_sort(F.collect_list(F.col("li.l_suppkey")))).scalar()
+
+def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits, one per order. Arrays are row-wise functions of the order:
+    departments from 25 ids, clinics from the supplier keys (taken modulo the
+    supplier count, an uncorrelated scalar subquery)."""
+    o = _read(spark, sf_dir, "orders")
+    n_clinics = _read(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    k, cust = F.col("o_orderkey"), F.col("o_custkey")
     status = F.col("o_orderstatus")
-    base = o.select(
-        F.col("o_orderkey").alias("vn"),
-        F.col("o_custkey").alias("hn"),
-        (_ntz("o_orderdate") + _minutes(F.col("o_orderkey") % 1440)).alias("created_at"),
+    return o.select(
+        k.alias("vn"),
+        cust.alias("hn"),
+        (_ntz("o_orderdate") + _minutes(k % 1440)).alias("created_at"),
         (F.col("o_orderpriority") != "4-NOT SPECIFIED").alias("active"),
-        F.when(F.col("o_orderkey") % 20 == 0, _ntz("o_orderdate")).alias("deleted_at"),
+        F.when(k % 20 == 0, _ntz("o_orderdate")).alias("deleted_at"),
         F.when(status == "F", "completed")
         .when(status == "O", "open")
         .otherwise("pending")
         .alias("latest_status_code"),
-        F.when(F.col("o_orderkey") % 9 == 0, F.array().cast("array<bigint>"))
-        .otherwise(F.array(F.col("o_custkey") % 8))
+        F.when(k % 9 == 0, F.array().cast("array<bigint>"))
+        .otherwise(F.array(cust % 8))
         .alias("insurance_plan_ids"),
-        dep.alias("_dep"),
-        cli.alias("_cli"),
-    )
-    keep = [c for c in base.columns if not c.startswith("_")]
-    return base.select(
-        *keep,
-        F.when(F.size("_dep") > 0, F.col("_dep")).alias("department_ids"),
-        F.when(F.size("_cli") > 0, F.col("_cli")).alias("clinic_ids"),
+        _id_array(k, cust % 25, k % 25).alias("department_ids"),
+        _id_array(k, cust % n_clinics, (k * 7) % n_clinics).alias("clinic_ids"),
     )
 
 
@@ -175,33 +176,34 @@ def appointment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits with a ``diagnosis`` JSON array (one per user and day of events)."""
-    e = _read(spark, sf_dir, "events").select(
-        "event_id",
-        "user_id",
-        _ntz("ts").alias("ts"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-    )
-    g = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.min("event_id").alias("vn"),
-        F.min("ts").alias("created_at"),
-        F.array_sort(F.collect_list(F.struct("event_id", "k"))).alias("dx"),
-    )
-    dx = F.transform(
-        "dx",
-        lambda x: F.struct(
-            F.when(x["k"] % 10 != 0, F.concat(F.lit("C"), x["k"].cast("string"))).alias("code"),
-            F.concat(F.lit("dx "), x["k"].cast("string")).alias("display"),
-        ),
+    """Visits with a ``diagnosis`` JSON array, one per event (row-wise): NULL,
+    ``[]``, or one / two ``{code, display}`` items from ``props.k``; a code is
+    JSON null when its number is a multiple of 10."""
+    e = _read(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    j = (k * 7 + eid) % 100
+
+    def item(n):
+        return F.struct(
+            F.when(n % 10 != 0, F.concat(F.lit("C"), n.cast("string"))).alias("code"),
+            F.concat(F.lit("dx "), n.cast("string")).alias("display"),
+        )
+
+    items = (
+        F.when(eid % 23 == 0, F.lit(None))
+        .when(eid % 5 == 0, F.array().cast("array<struct<code:string,display:string>>"))
+        .when(eid % 2 == 0, F.array(item(k), item(j)))
+        .otherwise(F.array(item(k)))
     )
-    return g.select(
-        "vn",
+    return e.select(
+        eid.alias("vn"),
         F.col("user_id").alias("hn"),
-        "created_at",
+        _ntz("ts").alias("created_at"),
         F.lit(True).alias("active"),
-        F.when(F.col("vn") % 25 == 0, F.col("created_at")).alias("deleted_at"),
-        F.when(F.col("vn") % 6 == 0, "open").otherwise("completed").alias("latest_status_code"),
-        F.to_json(dx, {"ignoreNullFields": "false"}).alias("diagnosis"),
+        F.when(eid % 25 == 0, _ntz("ts")).alias("deleted_at"),
+        F.when(eid % 6 == 0, "open").otherwise("completed").alias("latest_status_code"),
+        F.to_json(items, {"ignoreNullFields": "false"}).alias("diagnosis"),
     )
 
 

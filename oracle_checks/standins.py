@@ -10,24 +10,26 @@ import re
 
 CTES: dict[str, str] = {
     "visit": """
-  SELECT o.o_orderkey AS vn,
-         o.o_custkey AS hn,
-         CAST(o.o_orderdate AS TIMESTAMP) + to_minutes(CAST(o.o_orderkey % 1440 AS INTEGER)) AS created_at,
-         o.o_orderpriority <> '4-NOT SPECIFIED' AS active,
-         CASE WHEN o.o_orderkey % 20 = 0 THEN CAST(o.o_orderdate AS TIMESTAMP) END AS deleted_at,
-         CASE o.o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'open' ELSE 'pending' END
+  SELECT o_orderkey AS vn,
+         o_custkey AS hn,
+         CAST(o_orderdate AS TIMESTAMP) + to_minutes(CAST(o_orderkey % 1440 AS INTEGER)) AS created_at,
+         o_orderpriority <> '4-NOT SPECIFIED' AS active,
+         CASE WHEN o_orderkey % 20 = 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS deleted_at,
+         CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'open' ELSE 'pending' END
            AS latest_status_code,
-         CASE WHEN o.o_orderkey % 9 = 0 THEN CAST([] AS BIGINT[]) ELSE [o.o_custkey % 8] END
+         CASE WHEN o_orderkey % 9 = 0 THEN CAST([] AS BIGINT[]) ELSE [o_custkey % 8] END
            AS insurance_plan_ids,
-         l.department_ids,
-         l.clinic_ids
-  FROM orders o
-  LEFT JOIN (
-    SELECT l_orderkey,
-           list_sort(list(l_suppkey % 25)) AS department_ids,
-           list_sort(list(l_suppkey)) AS clinic_ids
-    FROM lineitem GROUP BY l_orderkey
-  ) l ON o.o_orderkey = l.l_orderkey""",
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL
+              WHEN o_orderkey % 13 = 0 THEN CAST([] AS BIGINT[])
+              WHEN o_orderkey % 17 = 0 THEN [o_custkey % 25, NULL]
+              WHEN o_orderkey % 3 = 0 THEN [o_custkey % 25, o_orderkey % 25, o_custkey % 25]
+              ELSE [o_custkey % 25, o_orderkey % 25] END AS department_ids,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL
+              WHEN o_orderkey % 13 = 0 THEN CAST([] AS BIGINT[])
+              WHEN o_orderkey % 17 = 0 THEN [o_custkey % n.c, NULL]
+              WHEN o_orderkey % 3 = 0 THEN [o_custkey % n.c, (o_orderkey * 7) % n.c, o_custkey % n.c]
+              ELSE [o_custkey % n.c, (o_orderkey * 7) % n.c] END AS clinic_ids
+  FROM orders, (SELECT count(*) AS c FROM supplier) n""",
     "encounter": """
   SELECT l_orderkey AS vn,
          l_orderkey * 8 + l_linenumber AS en,
@@ -53,19 +55,24 @@ CTES: dict[str, str] = {
          CASE WHEN event_id % 17 = 0 THEN CAST(ts AS TIMESTAMP) END AS deleted_at
   FROM events""",
     "dx_visit": """
-  SELECT min(event_id) AS vn,
+  SELECT event_id AS vn,
          user_id AS hn,
-         min(ts) AS created_at,
+         ts AS created_at,
          TRUE AS active,
-         CASE WHEN min(event_id) % 25 = 0 THEN min(ts) END AS deleted_at,
-         CASE WHEN min(event_id) % 6 = 0 THEN 'open' ELSE 'completed' END AS latest_status_code,
-         CAST(to_json(list(json_object(
-             'code', CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END,
-             'display', 'dx ' || CAST(k AS VARCHAR)) ORDER BY event_id)) AS VARCHAR) AS diagnosis
-  FROM (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts,
-               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
-        FROM events)
-  GROUP BY user_id, CAST(ts AS DATE)""",
+         CASE WHEN event_id % 25 = 0 THEN ts END AS deleted_at,
+         CASE WHEN event_id % 6 = 0 THEN 'open' ELSE 'completed' END AS latest_status_code,
+         CASE WHEN event_id % 23 = 0 THEN NULL
+              WHEN event_id % 5 = 0 THEN '[]'
+              WHEN event_id % 2 = 0 THEN CAST(to_json([
+                  {'code': CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END, 'display': 'dx ' || CAST(k AS VARCHAR)},
+                  {'code': CASE WHEN j % 10 <> 0 THEN 'C' || CAST(j AS VARCHAR) END, 'display': 'dx ' || CAST(j AS VARCHAR)}])
+                AS VARCHAR)
+              ELSE CAST(to_json([
+                  {'code': CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END, 'display': 'dx ' || CAST(k AS VARCHAR)}])
+                AS VARCHAR)
+         END AS diagnosis
+  FROM (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, k, (k * 7 + event_id) % 100 AS j
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))""",
     "department": """
   SELECT CAST(n_nationkey AS BIGINT) AS id,
          n_name AS name,
