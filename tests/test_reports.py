@@ -329,3 +329,20 @@ def test_department_optional_filters(spark):
     meta = r.meta.collect()[0]
     assert meta["department_filter"] == "Surg" and meta["grand_total_visits"] == 1
     assert sorted(x.department for x in r.extras["departments"].collect()) == ["Med", "Surg"]
+
+
+def test_catalog_day_bounds_and_params(spark):
+    from clinicflow.plans.catalog import day_bounds, normalise_params, run_report
+
+    assert day_bounds("2024-01-01", "2024-01-01") == ("2023-12-31 17:00:00.000000", "2024-01-01 16:59:59.999999")
+    assert normalise_params({"p-start-ts": "a", "p-end-ts": "b", "p-dept-name": None}) == {"start": "a", "end": "b"}
+    visits = [
+        visit_row(1, 10, "2023-12-31 17:00:00"),  # 00:00 in Bangkok: in
+        visit_row(2, 11, "2024-01-01 16:30:00"),  # 23:30 in Bangkok: in
+        visit_row(3, 12, "2024-01-01 17:00:00"),  # next Bangkok day: out
+    ]
+    t = tables(spark, visits=visits)
+    r = run_report(t, "completed_visits", {"start-time": "2024-01-01", "end-time": "2024-01-01"})
+    assert sorted(x.hn for x in r.content.collect()) == [10, 11]
+    r = run_report(t, "scheme", {"p-start-datetime": "2024-01-01", "p-end-datetime": "2024-01-01", "p-patient-category": "UCS"})
+    assert r.meta.collect()[0]["patient_category"] == "UCS"
