@@ -6,7 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_visits(history: DataFrame, subjects: DataFrame, key: str = "hn", ts: str = "created_at") -> DataFrame:
+def build_first_visits(history: DataFrame, key: str = "hn", ts: str = "created_at") -> DataFrame:
+    """The maintained form: ``(key, first_created_at)`` for every patient."""
+    return history.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(ts).alias("first_created_at"))
+
+
+def merge_first_visits(existing: DataFrame, new_visits: DataFrame, key: str = "hn", ts: str = "created_at") -> DataFrame:
+    """Fold newly loaded visits into a maintained first-visit table (min is
+    associative, so an append batch is merged without rereading history)."""
+    fresh = build_first_visits(new_visits, key, ts)
+    both = existing.select(key, "first_created_at").unionByName(fresh)
+    return both.groupBy(key).agg(F.min("first_created_at").alias("first_created_at"))
+
+
+def first_visits(
+    history: DataFrame,
+    subjects: DataFrame,
+    key: str = "hn",
+    ts: str = "created_at",
+    maintained: DataFrame | None = None,
+) -> DataFrame:
     """``MIN(ts)`` per key over *all* history rows of the keys in ``subjects``.
 
     History is not filtered by status/range/deletion. It is first reduced to
@@ -15,22 +34,29 @@ def first_visits(history: DataFrame, subjects: DataFrame, key: str = "hn", ts: s
     ``min``; a hot key costs one partial row per task, not a hot task.
     """
     keys = subjects.select(key).where(F.col(key).isNotNull()).distinct()
+    if maintained is not None:
+        # one row per patient already: no scan of the full history
+        return maintained.select(key, "first_created_at").join(keys, key, "left_semi")
     h = history.select(key, ts).where(F.col(key).isNotNull()).join(keys, key, "left_semi")
     return h.groupBy(key).agg(F.min(ts).alias("first_created_at"))
 
 
-def flag_new_inner(visits: DataFrame, history: DataFrame, key: str = "hn", ts: str = "created_at") -> DataFrame:
+def flag_new_inner(
+    visits: DataFrame, history: DataFrame, key: str = "hn", ts: str = "created_at", maintained: DataFrame | None = None
+) -> DataFrame:
     """R5 rule: inner join to first visits (drops NULL keys); ``is_new = ts = first``."""
-    fv = first_visits(history, visits, key, ts)
+    fv = first_visits(history, visits, key, ts, maintained)
     return visits.join(fv, key, "inner").withColumn("is_new", F.col(ts) == F.col("first_created_at"))
 
 
-def flag_new_no_earlier(visits: DataFrame, history: DataFrame, key: str = "hn", ts: str = "created_at") -> DataFrame:
+def flag_new_no_earlier(
+    visits: DataFrame, history: DataFrame, key: str = "hn", ts: str = "created_at", maintained: DataFrame | None = None
+) -> DataFrame:
     """R2 rule ``NOT EXISTS (earlier visit of the same key)`` without pairwise compares.
 
     A visit is OLD iff some history row of its key is strictly earlier,
     i.e. iff ``ts > min(ts)``; a NULL key has no earlier visit -> NEW.
     """
-    fv = first_visits(history, visits, key, ts)
+    fv = first_visits(history, visits, key, ts, maintained)
     out = visits.join(fv, key, "left")
     return out.withColumn("is_new", ~F.coalesce(F.col(ts) > F.col("first_created_at"), F.lit(False)))

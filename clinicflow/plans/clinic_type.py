@@ -36,7 +36,7 @@ def clinic_visit_rows(t: Tables, start, end) -> DataFrame:
     v = prune_partitions(t.visit, start, end).where(
         (F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)
     )
-    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.history(), "hn", "created_at")
+    v = flag_new_inner(v.select("vn", "hn", "created_at"), t.history(), "hn", "created_at", t.first_visit_table())
     e = t.encounter.where(not_deleted()).select("vn", "clinic_id")
     j = e.join(v, "vn", "inner")
     j = lookup(j, "clinic_id", t.clinic, "id", {"name": "clinic_name"}, how="inner")

@@ -35,7 +35,7 @@ def department_visit_rows(t: Tables, start, end, patient_category=None) -> DataF
     if patient_category is not None:
         v = with_plan(v, t.insurance_plan).where(F.col("plan_code") == F.lit(patient_category))
     v = v.select("vn", "hn", "created_at", "department_ids")
-    v = flag_new_no_earlier(v, t.history(), "hn", "created_at")
+    v = flag_new_no_earlier(v, t.history(), "hn", "created_at", t.first_visit_table())
     v = explode_keep_empty(v, "department_ids", "department_id")
     return v.select("department_id", "vn", "hn", "is_new")
 

@@ -35,7 +35,7 @@ def plan_content(t: Tables, start, end) -> DataFrame:
         & half_open("created_at", start, end)
     ).select("vn", "hn", "created_at", "insurance_plan_ids")
     v = with_plan(v, t.insurance_plan)
-    v = flag_new_no_earlier(v, t.history(), "hn", "created_at")
+    v = flag_new_no_earlier(v, t.history(), "hn", "created_at", t.first_visit_table())
     return v.select(
         F.col("plan_name").alias("insurance_plan"),
         "hn",

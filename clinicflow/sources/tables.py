@@ -26,8 +26,10 @@ LOGICAL_TABLES = (
     "insurance_plan",
     "patient",
 )
-# Optional narrow projections a deployment may keep (else derived from ``visit``).
-OPTIONAL_TABLES = ("visit_history",)
+# Optional tables a deployment may keep (else derived from ``visit``):
+# ``visit_history`` (hn, created_at) and ``first_visit`` (hn, first_created_at),
+# the earliest visit per patient, maintained with operators.history.merge_first_visits.
+OPTIONAL_TABLES = ("visit_history", "first_visit")
 
 
 class Tables:
@@ -56,6 +58,10 @@ class Tables:
         h = self._get("visit_history") if "visit_history" in self._src else None
         return h if h is not None else self.visit.select("hn", "created_at")
 
+    def first_visit_table(self) -> DataFrame | None:
+        """The maintained ``(hn, first_created_at)`` table, if the deployment has one."""
+        return self._get("first_visit") if "first_visit" in self._src else None
+
     @staticmethod
     def from_parquet(spark: SparkSession, root: str, names=LOGICAL_TABLES) -> "Tables":
         """One Parquet folder per logical table under ``root`` (read on first use)."""
@@ -65,6 +71,8 @@ class Tables:
     def with_tables(self, **frames) -> "Tables":
         merged = dict(self._src)
         merged.update(frames)
-        if "visit" in frames and "visit_history" not in frames:
-            merged.pop("visit_history", None)
+        if "visit" in frames:
+            for derived in ("visit_history", "first_visit"):
+                if derived not in frames:
+                    merged.pop(derived, None)
         return Tables(**merged)
