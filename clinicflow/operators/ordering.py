@@ -21,6 +21,7 @@ def global_row_number(
     tiebreak: list[str],
     out: str = "seq_no",
     num_partitions: int | None = None,
+    keep_position: bool = False,
 ) -> DataFrame:
     """W1 ``ROW_NUMBER() OVER (ORDER BY ...)`` without a single-partition window.
 
@@ -34,6 +35,9 @@ def global_row_number(
        the counting pass reads that table instead of recomputing the input;
     3. count rows per partition (one row per partition), prefix-sum the counts
        (bounded by the partition count, hence broadcast) and add the offset.
+
+    ``keep_position`` keeps the fixed ``_pid`` / ``_mid`` columns so a subset
+    of the rows can be renumbered later without a new sort (``renumber_kept``).
     """
     keys = [_sort_key(c) for c in order_by] + [F.col(t).asc_nulls_last() for t in tiebreak]
     # Without an explicit count AQE sizes the range partitions by data volume
@@ -46,14 +50,36 @@ def global_row_number(
         .withColumn("_mid", F.monotonically_increasing_id()),
         "rownum",
     )
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    numbered = ranged.join(F.broadcast(_partition_offsets(ranged)), "_pid").withColumn(
+        out, F.col("_off") + pos + F.lit(1)
+    )
+    numbered = numbered.drop("_off")
+    return numbered if keep_position else numbered.drop("_pid", "_mid")
+
+
+def _partition_offsets(ranged: DataFrame) -> DataFrame:
+    """Rows before each range partition: one row per partition (bounded)."""
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
+
+def renumber_kept(df: DataFrame, out: str) -> DataFrame:
+    """Number the rows of ``df`` 1..n in their existing global order, for a
+    frame that still carries ``_pid`` / ``_mid`` from ``global_row_number``.
+
+    The range partitions are balanced and their ids fixed, so a running count
+    within each partition (one partition per window group) plus the per-
+    partition offsets renumbers a subset without sampling, sorting or writing
+    the data again.
+    """
+    within = Window.partitionBy("_pid").orderBy("_mid")
+    ranked = df.withColumn("_pos", F.row_number().over(within))
     return (
-        ranged.join(F.broadcast(offsets), "_pid")
-        .withColumn(out, F.col("_off") + pos + F.lit(1))
-        .drop("_pid", "_mid", "_off")
+        ranked.join(F.broadcast(_partition_offsets(df)), "_pid")
+        .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
+        .drop("_off", "_pos", "_pid", "_mid")
     )
 
 
@@ -70,6 +96,12 @@ def mark_runs(df: DataFrame, seq: str, key: str, out: str = "new_run") -> DataFr
 
 
 def collapse_runs(df: DataFrame, seq: str, key: str, out: str = "display_index") -> DataFrame:
-    """Keep the first row of each run of equal consecutive keys and renumber."""
+    """Keep the first row of each run of equal consecutive keys and renumber.
+
+    When ``df`` comes from ``global_row_number(..., keep_position=True)`` the
+    kept rows are renumbered inside the existing range partitions.
+    """
     kept = mark_runs(df, seq, key).where("new_run").drop("new_run")
+    if "_pid" in kept.columns and "_mid" in kept.columns:
+        return renumber_kept(kept, out)
     return global_row_number(kept, [seq], [], out=out)

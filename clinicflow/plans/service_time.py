@@ -54,15 +54,21 @@ def service_rows(t: Tables, start, end) -> DataFrame:
     )
 
 
-def service_content(t: Tables, start, end) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY created_at)``; ties broken by (vn, en, called_at)."""
+def service_numbered(t: Tables, start, end) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY created_at)``; ties broken by (vn, en,
+    called_at). Keeps the range-partition position for ``service_runs``."""
     rows = service_rows(t, start, end)
-    return global_row_number(rows, ["created_at"], ["vn", "en", "called_at"], out="seq_no").select(*CONTENT_COLS)
+    return global_row_number(rows, ["created_at"], ["vn", "en", "called_at"], out="seq_no", keep_position=True)
+
+
+def service_content(t: Tables, start, end) -> DataFrame:
+    return service_numbered(t, start, end).select(*CONTENT_COLS)
 
 
 def service_runs(content: DataFrame) -> DataFrame:
     """First row of each run of consecutive equal ``hn``, renumbered, printed
-    with placeholders (``-`` for missing times, blank for a 0 / NULL turnaround)."""
+    with placeholders (``-`` for missing times, blank for a 0 / NULL turnaround).
+    Pass ``service_numbered(...)`` to renumber inside the existing partitions."""
     kept = collapse_runs(content, "seq_no", "hn", out="display_index")
     return kept.select(
         "display_index",

@@ -473,16 +473,20 @@ def q_service_time(spark, sf_dir):
     return _r6(spark, sf_dir).withColumn("seq_no", F.col("seq_no").cast("bigint"))
 
 
+def _r6_numbered(spark, sf_dir):
+    return service_time.service_numbered(_t(spark, sf_dir), VISIT_START, VISIT_END)
+
+
 @register("service_time_runs")
 def q_service_time_runs(spark, sf_dir):
-    r = service_time.service_runs(_r6(spark, sf_dir))
+    r = service_time.service_runs(_r6_numbered(spark, sf_dir))
     return r.select(F.col("display_index").cast("bigint"), F.col("seq_no").cast("bigint"), "hn")
 
 
 @register("null_placeholders")
 def q_null_placeholders(spark, sf_dir):
     """P9: '-' for missing times, '' for a NULL or 0 turnaround."""
-    r = service_time.service_runs(_r6(spark, sf_dir))
+    r = service_time.service_runs(_r6_numbered(spark, sf_dir))
     return r.select(
         F.col("display_index").cast("bigint"),
         "register_time",

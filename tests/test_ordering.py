@@ -57,3 +57,15 @@ def test_row_number_with_adaptive_range_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     expected = {rid: i + 1 for i, (t, rid) in enumerate(sorted((r.t, r.id) for r in df.collect()))}
     assert got == expected
+
+
+def test_collapse_runs_in_place_matches_fresh_numbering(spark):
+    import random
+
+    rnd = random.Random(7)
+    keys = [rnd.choice([None, "A", "B"]) for _ in range(400)]
+    df = spark.createDataFrame([(i, k, rnd.randint(0, 30)) for i, k in enumerate(keys)], "id long, hn string, t int")
+    numbered = global_row_number(df, ["t"], ["id"], out="seq", num_partitions=5, keep_position=True)
+    in_place = sorted((r.display_index, r.seq) for r in collapse_runs(numbered, "seq", "hn").collect())
+    fresh = sorted((r.display_index, r.seq) for r in collapse_runs(numbered.drop("_pid", "_mid"), "seq", "hn").collect())
+    assert in_place == fresh and len(in_place) > 0
