@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from clinicflow.functions.expr import fmt_number
 from clinicflow.functions.labels import CASHIER_PATIENT_TYPES, CASHIER_VISIT_TIMES
 from clinicflow.operators.rollup import subtotal_rollup
+from clinicflow.plans.base import Report, bound, meta_row
 
 
 def cashier_detail(content: DataFrame) -> DataFrame:
@@ -35,3 +36,18 @@ def cashier_rollup(content: DataFrame) -> DataFrame:
     """Subtotals with printed amounts."""
     r = subtotal_rollup(content)
     return r.withColumn("total_text", fmt_number("total", 2))
+
+
+def cashier_report(content: DataFrame, start=None, end=None) -> Report:
+    """R9 as a report: the listing as content, the subtotals as ``extras['rollup']``."""
+    meta = meta_row(
+        content.sparkSession,
+        {"start_datetime": bound(start) if start else F.lit(None).cast("timestamp_ntz"),
+         "end_datetime": bound(end) if end else F.lit(None).cast("timestamp_ntz")},
+    )
+    return Report(
+        meta=meta,
+        content=cashier_detail(content),
+        order=("patient_type", "visit_time", "insurance_name"),
+        extras={"rollup": cashier_rollup(content)},
+    )

@@ -289,6 +289,8 @@ def test_cashier_rollup_and_detail(spark):
     assert rows(d, "insurance_name", "amount_text") == [("a", "1,000.50"), ("d", "2.25")]
     empty = cashier.cashier_rollup(content.limit(0))
     assert empty.count() == 7
+    r = cashier.cashier_report(content, S, E)
+    assert r.content.count() == 2 and r.extras["rollup"].count() == 7
 
 
 def test_write_report_and_meta_json(spark, tmp_path):
