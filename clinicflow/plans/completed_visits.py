@@ -32,8 +32,9 @@ def completed_rows(t: Tables, start, end) -> DataFrame:
     return j.select(F.col("name").alias("clinic_name"), "clinic_id", "hn")
 
 
-def completed_report(t: Tables, start, end, hospital_name: str | None = None) -> Report:
-    """``hospital_name`` is the issuing hospital shown in meta (deployment setting)."""
+def completed_report(t: Tables, start, end, hospital_name: str | None = None, enrich: bool = True) -> Report:
+    """``hospital_name`` is the issuing hospital shown in meta (deployment setting);
+    ``enrich`` attaches ``patient.gender`` by ``hn`` (S11)."""
     rows = completed_rows(t, start, end)
     meta = meta_row(
         t.visit.sparkSession,
@@ -47,12 +48,15 @@ def completed_report(t: Tables, start, end, hospital_name: str | None = None) ->
         },
         generated_at=False,
     )
-    return Report(meta=meta, content=rows, order=("clinic_id", "hn"))
+    content = enrich_patient(rows, t.patient, "hn", ("gender",)) if enrich and t.patient is not None else rows
+    return Report(meta=meta, content=content, order=("clinic_id", "hn"))
 
 
 def clinic_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:
     """Per clinic id (sorted): male, female, total = all rows, running index."""
-    e = enrich_patient(rows, patient, "hn", ("gender",)).withColumn("g", gender_normalise(F.col("patient.gender")))
+    # content that is already enriched (report content) keeps its patient struct
+    e = rows if "patient" in rows.columns else enrich_patient(rows, patient, "hn", ("gender",))
+    e = e.withColumn("g", gender_normalise(F.col("patient.gender")))
     per = e.groupBy("clinic_id").agg(
         F.min("clinic_name").alias("clinic_name"),
         F.count_if(F.col("g") == "male").alias("male"),

@@ -40,7 +40,8 @@ def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
     )
 
 
-def diagnosis_report(t: Tables, start, end, shift_hours: int = 7) -> Report:
+def diagnosis_report(t: Tables, start, end, shift_hours: int = 7, enrich: bool = True) -> Report:
+    """``enrich`` attaches ``patient.gender`` by ``hn`` (S11), as the summary needs."""
     rows = diagnosis_rows(t, start, end, shift_hours)
     meta = meta_row(
         t.visit.sparkSession,
@@ -51,14 +52,17 @@ def diagnosis_report(t: Tables, start, end, shift_hours: int = 7) -> Report:
             "total_records": rows.agg(F.count(F.lit(1))).scalar(),
         },
     )
+    content = enrich_patient(rows, t.patient, "hn", ("gender",)) if enrich and t.patient is not None else rows
     # O1: hn, then the DD/MM/YYYY *text* (lexicographic), NULLS LAST.
-    return Report(meta=meta, content=rows, order=(F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last()))
+    return Report(meta=meta, content=content, order=(F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last()))
 
 
 def diagnosis_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:
     """Per code (sorted), male / female counts, total = male + female
     (unknown gender excluded), name of the first row in (hn, visit_date) order."""
-    e = enrich_patient(rows, patient, "hn", ("gender",)).withColumn("g", gender_normalise(F.col("patient.gender")))
+    # content that is already enriched (report content) keeps its patient struct
+    e = rows if "patient" in rows.columns else enrich_patient(rows, patient, "hn", ("gender",))
+    e = e.withColumn("g", gender_normalise(F.col("patient.gender")))
     first_key = F.struct(F.col("hn").isNull(), "hn", F.col("visit_date").isNull(), "visit_date", "diagnosis_name")
     out = e.groupBy("diagnosis_code").agg(
         F.min_by("diagnosis_name", first_key).alias("diagnosis_name"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clinicflow.functions.dates import fmt_time, to_report_tz
 from clinicflow.functions.expr import blank_if_falsy, minutes_between, placeholder
 from clinicflow.functions.labels import NAME_SERVICE_TIME, STATUS_COMPLETED
-from clinicflow.operators.joins import left_join_hot_right
+from clinicflow.operators.joins import enrich_patient, left_join_hot_right
 from clinicflow.operators.ordering import collapse_runs, global_row_number, mark_runs
 from clinicflow.params import half_open, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
@@ -87,7 +87,8 @@ def service_run_count(content: DataFrame) -> DataFrame:
     return mark_runs(content, "seq_no", "hn").agg(F.count_if("new_run").alias("runs"))
 
 
-def service_time_report(t: Tables, start, end) -> Report:
+def service_time_report(t: Tables, start, end, enrich: bool = True) -> Report:
+    """``enrich`` attaches ``patient.info`` (the printed name) by ``hn``."""
     content = service_content(t, start, end)
     meta = meta_row(
         t.visit.sparkSession,
@@ -98,4 +99,6 @@ def service_time_report(t: Tables, start, end) -> Report:
             "total_records": content.agg(F.count(F.lit(1))).scalar(),
         },
     )
+    if enrich and t.patient is not None:
+        content = enrich_patient(content, t.patient, "hn", ("info",))
     return Report(meta=meta, content=content, order=("seq_no",))
