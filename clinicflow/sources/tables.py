@@ -68,6 +68,39 @@ class Tables:
         base = root.rstrip("/")
         return Tables(**{n: (lambda n=n: spark.read.parquet(f"{base}/{n}")) for n in names})
 
+    @staticmethod
+    def from_jdbc(
+        spark: SparkSession,
+        url: str,
+        properties: dict,
+        names=LOGICAL_TABLES,
+        partitioning: dict | None = None,
+        schema: str = "public",
+    ) -> "Tables":
+        """Logical tables read over JDBC (e.g. the PostgreSQL tables the reports
+        were written against; the JDBC driver jar must be on the classpath).
+
+        Tables are read on first use. ``partitioning`` maps a table to
+        ``(column, lower, upper, num_partitions)`` for parallel reads of large
+        facts (Spark splits the numeric column range into ``num_partitions``
+        queries). Range predicates on the fact columns are pushed to the
+        database by Spark. Instants (``timestamptz``) become UTC wall-clock
+        ``timestamp_ntz`` (the plans' time model); see ``utc_wall_clock``.
+        """
+        partitioning = partitioning or {}
+
+        def reader(name: str):
+            table = f"{schema}.{name}" if schema else name
+            opts = dict(properties)
+            if name in partitioning:
+                col, lo, hi, n = partitioning[name]
+                df = spark.read.jdbc(url, table, column=col, lowerBound=lo, upperBound=hi, numPartitions=n, properties=opts)
+            else:
+                df = spark.read.jdbc(url, table, properties=opts)
+            return utc_wall_clock(df)
+
+        return Tables(**{n: (lambda n=n: reader(n)) for n in names})
+
     def with_tables(self, **frames) -> "Tables":
         merged = dict(self._src)
         merged.update(frames)
@@ -76,3 +109,17 @@ class Tables:
                 if derived not in frames:
                     merged.pop(derived, None)
         return Tables(**merged)
+
+
+def utc_wall_clock(df: DataFrame) -> DataFrame:
+    """Instants (``timestamp``) as UTC wall-clock ``timestamp_ntz`` columns."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+
+    cols = [
+        F.convert_timezone(None, F.lit("UTC"), F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, TimestampType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.select(*cols)

@@ -79,3 +79,21 @@ def test_formats_ignore_session_zone_dst_gap(spark):
         assert one(spark, X.minutes_between(ts_lit("2024-03-11 02:30:15"), ts_lit("2024-03-10 02:30:15"))) == 1440
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_jdbc_tables_are_lazy_and_instants_become_utc_wall_clock(spark):
+    import datetime as dt
+
+    from clinicflow.sources.tables import Tables, utc_wall_clock
+
+    # nothing connects until a table is used
+    t = Tables.from_jdbc(spark, "jdbc:postgresql://unused/db", {"user": "u"}, partitioning={"visit": ("vn", 0, 10, 2)})
+    assert isinstance(t, Tables)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Bangkok")
+    try:
+        df = spark.sql("select timestamp'2024-01-01 07:00:00' as created_at, 1 as vn")
+        out = utc_wall_clock(df).collect()[0]
+        assert out.created_at == dt.datetime(2024, 1, 1, 0, 0) and out.vn == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
