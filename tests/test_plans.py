@@ -53,8 +53,6 @@ def test_row_number_is_range_partitioned(spark):
 
 
 def test_partitioned_facts_are_pruned(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from clinicflow.plans import scheme
     from tests.fixtures import tables, visit_row
 
@@ -62,8 +60,10 @@ def test_partitioned_facts_are_pruned(spark, tmp_path):
         spark,
         visits=[visit_row(1, 1, "2024-01-01 08:00:00"), visit_row(2, 2, "2024-03-01 08:00:00")],
     )
+    from clinicflow.sources.layout import write_partitioned_facts
+
     path = str(tmp_path / "visit")
-    t.visit.withColumn("part_date", F.to_date("created_at")).write.partitionBy("part_date").parquet(path)
+    write_partitioned_facts(t.visit, path, "created_at")
     stored = t.with_tables(visit=spark.read.parquet(path))
     daily = scheme.scheme_daily(stored, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
     assert sum(r.ucs for r in daily.collect()) == 1
