@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,16 +41,24 @@ def global_row_number(
     of the rows can be renumbered later without a new sort (``renumber_kept``).
     """
     keys = [_sort_key(c) for c in order_by] + [F.col(t).asc_nulls_last() for t in tiebreak]
-    # Without an explicit count AQE sizes the range partitions by data volume
-    # (coalescing adjacent ranges keeps them contiguous and in order).
-    ranged_input = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ranged = materialize(
-        ranged_input
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id()),
-        "rownum",
-    )
+    # The range bounds are sampled from the input and the shuffle then reads
+    # it again: keep the input (memory, spilling to disk) for that one write,
+    # so it is computed once. A lost block is recomputed from its lineage.
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # Without an explicit count AQE sizes the range partitions by data
+        # volume (coalescing adjacent ranges keeps them contiguous, in order).
+        ranged_input = (
+            staged.repartitionByRange(num_partitions, *keys) if num_partitions else staged.repartitionByRange(*keys)
+        )
+        ranged = materialize(
+            ranged_input.sortWithinPartitions(*keys)
+            .withColumn("_pid", F.spark_partition_id())
+            .withColumn("_mid", F.monotonically_increasing_id()),
+            "rownum",
+        )
+    finally:
+        staged.unpersist()
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     numbered = ranged.join(F.broadcast(_partition_offsets(ranged)), "_pid").withColumn(
         out, F.col("_off") + pos + F.lit(1)
