@@ -11,13 +11,14 @@ from clinicflow.functions.expr import pct_half_up
 def pct_of_total(df: DataFrame, value_col: str, out: str = "percent", total_col: str | None = None) -> DataFrame:
     """``ROUND(v / SUM(v) * 100, 2)`` (0 when the sum is 0), decimal.
 
-    The grand total is a scalar subquery over ``df`` (planned once), not a
-    window over one partition.
+    For summaries with one row per department / plan: the grand total is a
+    window over all rows of that small frame (one task), not a second pass
+    over the facts that produced it.
     """
-    grand = df.agg(F.coalesce(F.sum(value_col), F.lit(0)).cast("bigint")).scalar()
+    grand = F.coalesce(F.sum(value_col).over(Window.partitionBy()), F.lit(0))
     out_df = df.withColumn(out, pct_half_up(F.col(value_col), grand))
     if total_col:
-        out_df = out_df.withColumn(total_col, grand)
+        out_df = out_df.withColumn(total_col, grand.cast("bigint"))
     return out_df
 
 

@@ -12,15 +12,14 @@ running percent over the department rows (bounded by the dimension).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.functions.expr import pct_half_up
 from clinicflow.operators.aggregates import distinct_by_flags
 from clinicflow.operators.arrays import explode_keep_empty
 from clinicflow.operators.history import flag_new_no_earlier
 from clinicflow.operators.joins import bounded_broadcast
-from clinicflow.operators.percent import cumulative
+from clinicflow.operators.percent import cumulative, pct_of_total
 from clinicflow.params import is_true, not_deleted
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.plans.scheme import completed_visits_closed, with_plan
@@ -76,8 +75,7 @@ def department_content(summary: DataFrame) -> DataFrame:
     over all of its rows (one small task) instead of a second pass over the
     facts.
     """
-    grand = F.coalesce(F.sum("total_visits").over(Window.partitionBy()), F.lit(0))
-    out = summary.withColumn("percent", pct_half_up(F.col("total_visits"), grand))
+    out = pct_of_total(summary, "total_visits", "percent")
     out = cumulative(out, "percent", "department", "commulative_view")
     return out.withColumn("commulative_view", F.col("commulative_view").cast("decimal(20,2)")).select(
         "department", *COUNT_COLS, "percent", "commulative_view"

@@ -15,12 +15,12 @@ distinct patients across all plans. Two-step aggregation (plan, hn) -> plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.functions.expr import pct_half_up
 from clinicflow.functions.labels import NEW_PATIENT_TH, OLD_PATIENT_TH, STATUS_COMPLETED
 from clinicflow.operators.history import flag_new_no_earlier
+from clinicflow.operators.percent import pct_of_total
 from clinicflow.params import half_open, is_true, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
 from clinicflow.plans.scheme import with_plan
@@ -56,9 +56,7 @@ def plan_summary(content: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("people"),
     )
     per_plan = per_plan.withColumn("visits", F.col("new_people") + F.col("old_visits"))
-    # One row per plan: the grand total is a window over that small result.
-    grand = F.coalesce(F.sum("visits").over(Window.partitionBy()), F.lit(0))
-    return per_plan.withColumn("percent", pct_half_up(F.col("visits"), grand))
+    return pct_of_total(per_plan, "visits", "percent")
 
 
 def plan_summary_total(content: DataFrame, summary: DataFrame) -> DataFrame:
