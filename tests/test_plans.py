@@ -70,3 +70,15 @@ def test_partitioned_facts_are_pruned(spark, tmp_path):
     rows = scheme.scheme_visit_rows(stored, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part_date" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["department_summary", "new_old_by_clinic", "first_visit", "scheme_daily", "diagnosis_by_gender", "plan_summary"],
+)
+def test_aggregations_combine_map_side(spark, name):
+    """Hot keys cost one partial row per task: every grouped aggregation has a
+    partial (map-side) step below its exchange."""
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan
