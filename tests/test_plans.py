@@ -68,8 +68,16 @@ def test_partitioned_facts_are_pruned(spark, tmp_path):
     daily = scheme.scheme_daily(stored, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
     assert sum(r.ucs for r in daily.collect()) == 1
     rows = scheme.scheme_visit_rows(stored, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
-    plan = rows._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated filter lists
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "PartitionFilters: [isnotnull(part_date" in plan
+    # on a stored table the range and the flags reach the Parquet scan
+    assert "GreaterThanOrEqual(created_at" in plan and "LessThanOrEqual(created_at" in plan
+    assert "EqualTo(latest_status_code,completed)" in plan and "IsNull(deleted_at)" in plan
 
 
 @pytest.mark.parametrize(
