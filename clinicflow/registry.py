@@ -59,7 +59,7 @@ def _t(spark, sf_dir):
     return standins.standin_tables(spark, sf_dir)
 
 
-def _counts(df: DataFrame) -> list:
+def _counts() -> list:
     return [F.col(c).cast("bigint").alias(c) for c in scheme.COUNT_COLS]
 
 
@@ -67,7 +67,7 @@ def _counts(df: DataFrame) -> list:
 @register("scheme_daily")
 def q_scheme_daily(spark, sf_dir):
     d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END)
-    return d.select(D.fmt_iso_date("visit_date").alias("visit_date"), *_counts(d))
+    return d.select(D.fmt_iso_date("visit_date").alias("visit_date"), *_counts())
 
 
 @register("scheme_total")
@@ -79,7 +79,7 @@ def q_scheme_total(spark, sf_dir):
 @register("scheme_report")
 def q_scheme_report(spark, sf_dir):
     r = scheme.scheme_report(_t(spark, sf_dir), VISIT_START, VISIT_END)
-    return r.content.select(F.col("sort_order").cast("bigint").alias("sort_order"), "date_text", *_counts(r.content))
+    return r.content.select(F.col("sort_order").cast("bigint").alias("sort_order"), "date_text", *_counts())
 
 
 def _dx(spark, sf_dir):
