@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,17 @@ class Report:
     """``meta``: one row; ``content``: the rows, lazily planned.
 
     ``order``: the row order of the printed document (sort keys of content);
-    ``extras``: further named outputs (e.g. the department list of R2).
+    ``extras``: further named outputs (e.g. the department list of R2);
+    ``meta_fn``: meta computed from a content frame, for meta fields that
+    depend on the rows (totals, counts). Sinks apply it to the *written*
+    content, so the fact pipeline runs once, not once more for the meta.
     """
 
     meta: DataFrame
     content: DataFrame
     order: tuple = ()
     extras: dict = field(default_factory=dict)
+    meta_fn: Callable[[DataFrame], DataFrame] | None = None
 
     def ordered_content(self) -> DataFrame:
         return self.content.orderBy(*self.order) if self.order else self.content

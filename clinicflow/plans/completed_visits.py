@@ -36,20 +36,25 @@ def completed_report(t: Tables, start, end, hospital_name: str | None = None, en
     """``hospital_name`` is the issuing hospital shown in meta (deployment setting);
     ``enrich`` attaches ``patient.gender`` by ``hn`` (S11)."""
     rows = completed_rows(t, start, end)
-    meta = meta_row(
-        t.visit.sparkSession,
-        {
-            "hospital_name": F.lit(hospital_name).cast("string"),
-            "report_name": F.lit(NAME_COMPLETED),
-            "start_time": bound(start),
-            "end_time": bound(end),
-            "date_range": date_range_text(to_report_tz(ts_lit(start)), to_report_tz(ts_lit(end)), DATE_RANGE_PREFIX),
-            "total": rows.agg(F.count(F.lit(1))).scalar(),
-        },
-        generated_at=False,
-    )
+
+    def meta_for(c: DataFrame) -> DataFrame:
+        return meta_row(
+            t.visit.sparkSession,
+            {
+                "hospital_name": F.lit(hospital_name).cast("string"),
+                "report_name": F.lit(NAME_COMPLETED),
+                "start_time": bound(start),
+                "end_time": bound(end),
+                "date_range": date_range_text(
+                    to_report_tz(ts_lit(start)), to_report_tz(ts_lit(end)), DATE_RANGE_PREFIX
+                ),
+                "total": c.agg(F.count(F.lit(1))).scalar(),
+            },
+            generated_at=False,
+        )
+
     content = enrich_patient(rows, t.patient, "hn", ("gender",)) if enrich and t.patient is not None else rows
-    return Report(meta=meta, content=content, order=("clinic_id", "hn"))
+    return Report(meta=meta_for(rows), content=content, order=("clinic_id", "hn"), meta_fn=meta_for)
 
 
 def clinic_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:

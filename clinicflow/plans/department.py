@@ -95,22 +95,26 @@ def department_foot(content: DataFrame) -> DataFrame:
 def department_report(t: Tables, start, end, patient_category=None, dept_name=None) -> Report:
     summary = department_summary(t, start, end, patient_category, dept_name)
     content = department_content(summary)
-    grand = summary.agg(F.coalesce(F.sum("total_visits"), F.lit(0)).cast("bigint")).scalar()
-    meta = meta_row(
-        t.visit.sparkSession,
-        {
-            "start_datetime": bound(start),
-            "end_datetime": bound(end),
-            "patient_category": F.lit(patient_category).cast("string"),
-            "department_filter": F.lit(dept_name).cast("string"),
-            "grand_total_visits": grand,
-        },
-        generated_at=False,
-    )
+
+    def meta_for(c: DataFrame) -> DataFrame:
+        grand = c.agg(F.coalesce(F.sum("total_visits"), F.lit(0)).cast("bigint")).scalar()
+        return meta_row(
+            t.visit.sparkSession,
+            {
+                "start_datetime": bound(start),
+                "end_datetime": bound(end),
+                "patient_category": F.lit(patient_category).cast("string"),
+                "department_filter": F.lit(dept_name).cast("string"),
+                "grand_total_visits": grand,
+            },
+            generated_at=False,
+        )
+
     departments = active_departments(t).select(F.col("name").alias("department"))
     return Report(
-        meta=meta,
+        meta=meta_for(content),
         content=content,
         order=(F.col("department").asc_nulls_last(),),
         extras={"departments": departments},
+        meta_fn=meta_for,
     )

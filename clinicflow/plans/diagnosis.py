@@ -43,18 +43,22 @@ def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
 def diagnosis_report(t: Tables, start, end, shift_hours: int = 7, enrich: bool = True) -> Report:
     """``enrich`` attaches ``patient.gender`` by ``hn`` (S11), as the summary needs."""
     rows = diagnosis_rows(t, start, end, shift_hours)
-    meta = meta_row(
-        t.visit.sparkSession,
-        {
-            "report_name": F.lit(NAME_DIAGNOSIS),
-            "start_datetime": bound(start),
-            "end_datetime": bound(end),
-            "total_records": rows.agg(F.count(F.lit(1))).scalar(),
-        },
-    )
     content = enrich_patient(rows, t.patient, "hn", ("gender",)) if enrich and t.patient is not None else rows
+
+    def meta_for(c: DataFrame) -> DataFrame:
+        return meta_row(
+            t.visit.sparkSession,
+            {
+                "report_name": F.lit(NAME_DIAGNOSIS),
+                "start_datetime": bound(start),
+                "end_datetime": bound(end),
+                "total_records": c.agg(F.count(F.lit(1))).scalar(),
+            },
+        )
+
     # O1: hn, then the DD/MM/YYYY *text* (lexicographic), NULLS LAST.
-    return Report(meta=meta, content=content, order=(F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last()))
+    order = (F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last())
+    return Report(meta=meta_for(rows), content=content, order=order, meta_fn=meta_for)
 
 
 def diagnosis_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:

@@ -90,15 +90,19 @@ def service_run_count(content: DataFrame) -> DataFrame:
 def service_time_report(t: Tables, start, end, enrich: bool = True) -> Report:
     """``enrich`` attaches ``patient.info`` (the printed name) by ``hn``."""
     content = service_content(t, start, end)
-    meta = meta_row(
-        t.visit.sparkSession,
-        {
-            "report_name": F.lit(NAME_SERVICE_TIME),
-            "start_datetime": bound(start),
-            "end_datetime": bound(end),
-            "total_records": content.agg(F.count(F.lit(1))).scalar(),
-        },
-    )
+
+    def meta_for(c: DataFrame) -> DataFrame:
+        return meta_row(
+            t.visit.sparkSession,
+            {
+                "report_name": F.lit(NAME_SERVICE_TIME),
+                "start_datetime": bound(start),
+                "end_datetime": bound(end),
+                "total_records": c.agg(F.count(F.lit(1))).scalar(),
+            },
+        )
+
+    meta = meta_for(content)
     if enrich and t.patient is not None:
         content = enrich_patient(content, t.patient, "hn", ("info",))
-    return Report(meta=meta, content=content, order=("seq_no",))
+    return Report(meta=meta, content=content, order=("seq_no",), meta_fn=meta_for)

@@ -66,6 +66,15 @@ def write_json_lines(df: DataFrame, path: str, order: tuple = (), mode: str = "o
 
 
 def write_report(report, path: str, mode: str = "overwrite") -> None:
-    """``path/meta`` (one JSON line) and ``path/content`` (JSON lines)."""
-    report.meta.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(f"{path}/meta")
+    """``path/content`` (JSON lines) and ``path/meta`` (one JSON line).
+
+    Content is written first; meta that depends on the rows is computed from
+    the written content (``report.meta_fn``), so the fact pipeline runs once.
+    """
     write_json_lines(report.content, f"{path}/content", report.order, mode)
+    meta = report.meta
+    if report.meta_fn is not None:
+        spark = report.content.sparkSession
+        written = spark.read.schema(report.content.schema).json(f"{path}/content")
+        meta = report.meta_fn(written)
+    meta_json(meta).coalesce(1).write.mode(mode).text(f"{path}/meta")

@@ -41,3 +41,20 @@ def test_json_array_empty_policy(spark):
     assert as_null is None
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
     assert ordered_json_array(df, F.col("v"), ["k"]).collect()[0]["json"] == '["a","b"]'
+
+
+def test_write_report_meta_from_written_content(spark, tmp_path):
+    import json
+
+    from clinicflow.plans import diagnosis
+    from clinicflow.sources.sinks import write_report
+    from clinicflow.sources.standins import diagnosis_tables
+
+    t = diagnosis_tables(spark, SF)
+    r = diagnosis.diagnosis_report(t, "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    out = str(tmp_path / "r4")
+    write_report(r, out)
+    meta = json.loads(spark.read.text(f"{out}/meta").collect()[0][0])
+    content_rows = spark.read.json(f"{out}/content").count()
+    assert meta["total_records"] == content_rows == r.meta.collect()[0]["total_records"] > 0
+    assert meta["start_datetime"] == "2024-01-01T07:00:00+07:00"
