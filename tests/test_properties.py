@@ -53,3 +53,36 @@ def test_row_number_is_a_dense_sorted_numbering(spark, values, parts):
     got = sorted((r.rn, r.v, r.id) for r in global_row_number(df, ["v"], ["id"], out="rn", num_partitions=parts).collect())
     expected = [(i + 1, v, rid) for i, (v, rid) in enumerate(sorted((v, rid) for rid, v in enumerate(values)))]
     assert got == expected
+
+
+def test_percent_rounds_half_up_like_numeric(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from clinicflow.functions.expr import pct_half_up
+
+    rnd = random.Random(11)
+    pairs = [(rnd.randint(0, 5000), rnd.randint(0, 5000)) for _ in range(2000)] + [(1, 8), (1, 800), (0, 0), (3, 0)]
+    df = spark.createDataFrame(pairs, "part long, whole long")
+    got = {(r.part, r.whole): r.p for r in df.select("part", "whole", pct_half_up("part", "whole").alias("p")).collect()}
+    for part, whole in pairs:
+        want = (Decimal(part) * 100 / Decimal(whole)).quantize(Decimal("0.01"), ROUND_HALF_UP) if whole > 0 else Decimal("0.00")
+        assert got[(part, whole)] == want, (part, whole)
+
+
+def test_turnaround_minutes_round_half_away_from_zero(spark):
+    import datetime as dt
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from clinicflow.functions.expr import minutes_between
+
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 3, 10, 1, 0, 0)
+    offs = [rnd.randint(-10**6, 10**6) * 1000 for _ in range(2000)] + [90_000_000, -90_000_000, 30_000_000, 0]
+    rows = [(i, base, base + dt.timedelta(microseconds=o)) for i, o in enumerate(offs)]
+    df = spark.createDataFrame(rows, "i long, a timestamp_ntz, b timestamp_ntz")
+    got = {r.i: r.m for r in df.select("i", minutes_between("b", "a").alias("m")).collect()}
+    for i, o in enumerate(offs):
+        want = int((Decimal(o) / Decimal(60_000_000)).quantize(Decimal("1"), ROUND_HALF_UP))
+        assert got[i] == want, o
