@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinicflow.llm import sentencepiece_bpe
+from clinicflow.llm import sentencepiece_bpe, warc
 from clinicflow.llm.common import table
 
 
@@ -18,8 +18,28 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p
+        ), o AS (
+            SELECT digest, max(page_id) AS origin FROM d WHERE n >= 1000 GROUP BY digest
+        )
+        SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+               CASE WHEN o.origin <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN o.origin <> d.page_id THEN o.origin END AS refers_to
+        FROM d LEFT JOIN o ON o.digest = d.digest AND d.n >= 1000
+    """,
+}
