@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinicflow.llm import sentencepiece_bpe, warc
+from clinicflow.llm import quality_rules, sentencepiece_bpe, warc
 from clinicflow.llm.common import table
 
 
@@ -18,6 +18,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -25,10 +31,53 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_quality_rules": op3_quality_rules,
     "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_quality_rules": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT k, unnest(x) AS word, unnest(range(1, len(x) + 1)) AS i
+            FROM (SELECT k, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS x FROM d)
+        ), win AS (
+            SELECT k, i, list(word) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS g
+            FROM w
+        ), twice AS (
+            SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS n FROM win WHERE len(g) = 8) WHERE n > 1
+        ), cov AS (
+            SELECT k, sum(least(8, i - coalesce(p, -8))) AS n_repeat_words
+            FROM (SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS p FROM twice) GROUP BY k
+        ), nw AS (
+            SELECT k, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY k
+        ), l AS (
+            SELECT k, unnest(string_split(t, chr(10))) AS line FROM d
+        ), lm AS (
+            SELECT k, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
+                   coalesce(list_sum(list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: length(x))), 0) AS lc,
+                   len(regexp_extract_all(line, '[#*$%&|<>!~^]')) AS marks,
+                   len(regexp_extract_all(line, '[ \t][|»›•·>][ \t]')) AS seps,
+                   regexp_matches(line, '(?i)(cookie policy|we use cookies|privacy policy|terms of (use|service)|all rights reserved|enable javascript|javascript is disabled|lorem ipsum|subscribe to our newsletter|sign in to continue|log in to continue|skip to (main )?content|back to top)') AS boiler
+            FROM l
+        ), ls AS (
+            SELECT k, count(*) FILTER (lw > 0) - count(DISTINCT line) FILTER (lw > 0) AS n_dup_lines,
+                   sum(CASE WHEN marks * 100 > lw * 30 OR seps >= 3 OR (boiler AND lw <= 30) THEN lc ELSE 0 END) AS lost
+            FROM lm GROUP BY k
+        ), m AS (
+            SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
+            FROM d LEFT JOIN nw USING (k) LEFT JOIN ls USING (k) LEFT JOIN cov USING (k)
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+               n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND lost * 100 <= word_chars * 30 AS kept
+        FROM m
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
