@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinicflow.llm import quality_rules, sentencepiece_bpe, warc
+from clinicflow.llm import dart_minhash, quality_rules, sentencepiece_bpe, warc
 from clinicflow.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -32,6 +36,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op7_dart_minhash": op7_dart_minhash,
     "op10_warc": op10_warc,
 }
 
