@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinicflow.llm import dart_minhash, quality_rules, sentencepiece_bpe, warc
+from clinicflow.llm import dart_minhash, ppm_language, quality_classifier, quality_rules, sentencepiece_bpe, warc
 from clinicflow.llm.common import table
 
 
@@ -24,6 +24,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_language.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
@@ -36,7 +44,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language": op4_language,
     "op7_dart_minhash": op7_dart_minhash,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_warc": op10_warc,
 }
 
