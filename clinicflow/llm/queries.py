@@ -9,7 +9,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinicflow.llm import dart_minhash, ppm_language, quality_classifier, quality_rules, sentencepiece_bpe, warc
+from clinicflow.llm import (
+    dart_minhash,
+    packing,
+    ppm_language,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_bpe,
+    warc,
+)
 from clinicflow.llm.common import table
 
 
@@ -28,6 +36,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(cut)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +58,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_language": op4_language,
+    "op6_packing": op6_packing,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_warc": op10_warc,
