@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinicflow.llm import (
     dart_minhash,
+    html_wrappers,
     packing,
     ppm_language,
     quality_classifier,
@@ -49,6 +50,10 @@ def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -61,6 +66,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
 }
 
