@@ -51,7 +51,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     discard_at_exit(spark, path)
     return spark.read.schema(schema).parquet(path)
 

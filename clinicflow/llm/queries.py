@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clinicflow.llm import (
     dart_minhash,
     html_wrappers,
+    line_dedup,
     packing,
     ppm_language,
     quality_classifier,
@@ -37,6 +38,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(cut)
@@ -63,6 +68,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_language": op4_language,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_quality_classifier": op8_quality_classifier,
