@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clinicflow.llm import (
     dart_minhash,
     html_wrappers,
+    learned_partitions,
     line_dedup,
     packing,
     ppm_language,
@@ -28,6 +29,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -66,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_learned_partitions": op2_learned_partitions,
     "op3_quality_rules": op3_quality_rules,
     "op4_language": op4_language,
     "op5_line_dedup": op5_line_dedup,
