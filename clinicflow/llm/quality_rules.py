@@ -114,7 +114,7 @@ def apply_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def filter_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The kept documents with their cleaned text; all columns as in ``docs``."""
-    kept = apply_rules(docs, text_col).filter("kept")
+    judged = apply_rules(docs, text_col)
     columns = []
     for c, kind in docs.dtypes:
         if c == text_col:
@@ -123,4 +123,5 @@ def filter_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "
             columns.append(F.char_length("cleaned_text").cast(kind).alias(c))
         else:
             columns.append(F.col("row")[c].alias(c))
-    return kept.select(*columns)
+    # A row or none: a filter would be pushed below the measures and compute them again and again.
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(F.struct(*columns)))))
