@@ -7,7 +7,6 @@ functions/  column expressions (dates, Thai/Buddhist-era formats, categories, JS
 operators/  reusable DataFrame operators (spine, array fan-out, new/old history,
             conditional pivots, totals, percents, distributed row numbers, runs)
 plans/      the nine reports, each returning ``Report(meta, content)``
-streaming/  nothing: every report is a one-shot read between two bounds
 """
 
 from clinicflow.plans.base import Report

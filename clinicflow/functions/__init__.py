@@ -1,53 +1 @@
 """Column expressions (built-in Spark SQL functions only)."""
-
-from clinicflow.functions.dates import (
-    buddhist_date,
-    buddhist_date_text,
-    date_range_text,
-    fmt_date,
-    fmt_datetime,
-    fmt_iso_date,
-    fmt_time,
-    iso_date_part,
-    next_day,
-    parse_be_date,
-    thai_short_date,
-    to_report_tz,
-)
-from clinicflow.functions.expr import (
-    blank_if_falsy,
-    fmt_number,
-    gender_normalise,
-    int_or_zero,
-    minutes_between,
-    pct_half_up,
-    placeholder,
-    plan_category,
-)
-from clinicflow.functions.jsonx import DIAGNOSIS_SCHEMA, diagnosis_elements, is_json_array
-
-__all__ = [
-    "DIAGNOSIS_SCHEMA",
-    "blank_if_falsy",
-    "buddhist_date",
-    "buddhist_date_text",
-    "date_range_text",
-    "diagnosis_elements",
-    "fmt_date",
-    "fmt_datetime",
-    "fmt_iso_date",
-    "fmt_number",
-    "fmt_time",
-    "gender_normalise",
-    "int_or_zero",
-    "is_json_array",
-    "iso_date_part",
-    "minutes_between",
-    "next_day",
-    "parse_be_date",
-    "pct_half_up",
-    "placeholder",
-    "plan_category",
-    "thai_short_date",
-    "to_report_tz",
-]

@@ -21,40 +21,31 @@ def to_report_tz(col, tz: str = REPORT_TZ, storage_tz: str = STORAGE_TZ) -> Colu
     return F.convert_timezone(F.lit(storage_tz), F.lit(tz), _c(col).cast("timestamp_ntz"))
 
 
-# Text is built from date/time fields, not ``date_format``: ``date_format``
-# casts a ``timestamp_ntz`` to a session-zone timestamp first, which shifts
+# Text is cut from the text of a ``date`` / ``timestamp_ntz``, not made by ``date_format``:
+# that casts a ``timestamp_ntz`` to a session-zone timestamp first, which shifts
 # wall-clock times that fall in a daylight-saving gap of the session zone.
-# Field extraction on ``timestamp_ntz`` / ``date`` is zone-free.
 
 
 def fmt_date(col) -> Column:
     """X1 ``to_char(d, 'DD/MM/YYYY')``."""
     d = F.to_date(_c(col))
-    return F.when(d.isNotNull(), F.format_string("%02d/%02d/%04d", F.dayofmonth(d), F.month(d), F.year(d)))
+    s = d.cast("string")
+    return F.concat(F.substring(s, 9, 2), F.lit("/"), F.substring(s, 6, 2), F.lit("/"), F.substring(s, 1, 4))
 
 
 def fmt_time(col) -> Column:
     """X2 ``to_char(ts, 'HH24:MI')``."""
-    t = _c(col)
-    return F.when(t.isNotNull(), F.format_string("%02d:%02d", F.hour(t), F.minute(t)))
+    return F.substring(_c(col).cast("timestamp_ntz").cast("string"), 12, 5)
 
 
 def fmt_iso_date(col) -> Column:
     """``YYYY-MM-DD`` text of a date / wall-clock timestamp."""
-    d = F.to_date(_c(col))
-    return F.when(d.isNotNull(), F.format_string("%04d-%02d-%02d", F.year(d), F.month(d), F.dayofmonth(d)))
+    return F.to_date(_c(col)).cast("string")
 
 
 def fmt_datetime(col) -> Column:
     """``YYYY-MM-DD HH:MI:SS`` text of a wall-clock timestamp."""
-    t = _c(col)
-    return F.when(
-        t.isNotNull(),
-        F.format_string(
-            "%04d-%02d-%02d %02d:%02d:%02d",
-            F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t),
-        ),
-    )
+    return F.substring(_c(col).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def iso_instant_text(col, tz: str = REPORT_TZ, storage_tz: str = STORAGE_TZ) -> Column:
@@ -69,10 +60,7 @@ def iso_instant_text(col, tz: str = REPORT_TZ, storage_tz: str = STORAGE_TZ) ->
     off = (local - F.convert_timezone(F.lit(storage_tz), F.lit("UTC"), utc)).cast("interval minute").cast("int")
     sign = F.when(off < 0, F.lit("-")).otherwise(F.lit("+"))
     hhmm = F.format_string("%02d:%02d", F.floor(F.abs(off) / 60).cast("int"), (F.abs(off) % 60).cast("int"))
-    wall = F.format_string(
-        "%04d-%02d-%02dT%02d:%02d:%02d",
-        F.year(local), F.month(local), F.dayofmonth(local), F.hour(local), F.minute(local), F.second(local),
-    )
+    wall = F.replace(fmt_datetime(local), F.lit(" "), F.lit("T"))
     return F.when(utc.isNotNull(), F.concat(wall, sign, hhmm))
 
 
@@ -98,7 +86,7 @@ def thai_short_date(col, pad_year: bool = True) -> Column:
     yy = ((F.year(d) + BE_YEARS) % 100).cast("string")
     if pad_year:
         yy = F.lpad(yy, 2, "0")
-    return F.concat_ws(" ", F.dayofmonth(d).cast("string"), F.element_at(months, F.month(d)), yy)
+    return F.concat(F.dayofmonth(d).cast("string"), F.lit(" "), F.element_at(months, F.month(d)), F.lit(" "), yy)
 
 
 def next_day(col) -> Column:

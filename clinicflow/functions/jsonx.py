@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DIAGNOSIS_SCHEMA = "array<struct<code:string,display:string>>"
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def is_json_array(col) -> Column:
-    """True when the text is a JSON array (``jsonb_array_elements`` accepts it).
+def diagnosis_elements(col) -> Column:
+    """One ``{code, display}`` per element; NULL for text that is no JSON array.
 
-    A prefix test, not a second parse: a JSON array is the only JSON value
-    whose text starts with ``[``; malformed text then fails in ``from_json``.
+    Elements are read one by one, by their place, so an element that is no
+    object (``->>`` gives NULL on it) loses nothing of the others. Fields give
+    ``->>`` text: numbers as text, objects as JSON text.
     """
-    return F.ltrim(_c(col)).startswith("[")
+    text = _c(col)
+    size = F.json_array_length(text)
+    items = F.transform(
+        F.sequence(F.lit(0), size - 1),
+        lambda i: F.struct(_field(text, i, "code").alias("code"), _field(text, i, "display").alias("display")),
+    )
+    return F.when(size > 0, items).when(size == 0, F.array().cast("array<struct<code:string,display:string>>"))
 
 
-def diagnosis_elements(col) -> Column:
-    """The array of ``{code, display}``; NULL for non-array JSON.
+def _field(text: Column, place: Column, name: str) -> Column:
+    path = F.concat(F.lit("$["), place.cast("string"), F.lit(f"].{name}"))
+    return F.call_function("get_json_object", text, path)
 
-    ``from_json`` alone would wrap a bare object into a one-element array;
-    the array check keeps the source semantics (only arrays fan out).
-    String fields give ``->>`` text: numbers as text, objects as JSON text.
-    """
-    return F.when(is_json_array(col), F.from_json(_c(col), DIAGNOSIS_SCHEMA))
+
+def is_rejected(col) -> Column:
+    """Text that is there but no JSON array (another JSON value, or malformed)."""
+    text = _c(col)
+    return text.isNotNull() & F.json_array_length(text).isNull()

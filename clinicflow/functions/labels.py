@@ -34,8 +34,6 @@ NEW_TH = "ใหม่"  # "new" patient type in the clinic report
 OLD_TH = "เก่า"  # "old" patient type in the clinic report
 NEW_PATIENT_TH = "ผู้ป่วยใหม่"  # "new patient" in the plan summary content
 OLD_PATIENT_TH = "ผู้ป่วยเก่า"  # "old patient" in the plan summary content
-NEW_EN = "NEW"
-OLD_EN = "OLD"
 DATE_RANGE_PREFIX = "ตั้งแต่วันที่ "  # "from date "
 
 # Report names (meta.report_name).

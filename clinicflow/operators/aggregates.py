@@ -47,15 +47,6 @@ def distinct_by_flags(
     return step1.groupBy(*group_cols).agg(*aggs)
 
 
-def sum_row(df: DataFrame, cols: list[str], labels: dict[str, Column] | None = None) -> DataFrame:
-    """One row of ``SUM(col)`` over a (small) summary; NULL on empty input."""
-    labels = labels or {}
-    return df.agg(
-        *[lab.alias(name) for name, lab in labels.items()],
-        *[F.sum(c).cast("bigint").alias(c) for c in cols],
-    )
-
-
 def with_total_row(
     detail: DataFrame,
     label_col: str,

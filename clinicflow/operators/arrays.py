@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.operators.joins import bounded_broadcast
 
 
 def _c(col) -> Column:
@@ -41,5 +40,5 @@ def membership_join(
     a hash/broadcast join instead of a nested loop over ``array_contains``.
     """
     exploded = facts.withColumn(out, F.explode(F.array_distinct(ids_col)))
-    d = bounded_broadcast(dim)
+    d = dim
     return exploded.join(d, exploded[out] == d[dim_key], "inner")

@@ -28,17 +28,15 @@ def first_visits(
 ) -> DataFrame:
     """``MIN(ts)`` per key over *all* history rows of the keys in ``subjects``.
 
-    History is not filtered by status/range/deletion. It is first reduced to
-    the keys present in ``subjects`` (a semi join against their distinct
-    keys, broadcast by AQE when small), then aggregated with map-side partial
-    ``min``; a hot key costs one partial row per task, not a hot task.
+    History is not filtered by status/range/deletion. The minimum is taken
+    before any join, combined map-side, so a hot key ships one row per task;
+    the result (a row per key) is reduced to the keys of ``subjects``.
     """
     keys = subjects.select(key).where(F.col(key).isNotNull()).distinct()
     if maintained is not None:
         # one row per patient already: no scan of the full history
         return maintained.select(key, "first_created_at").join(keys, key, "left_semi")
-    h = history.select(key, ts).where(F.col(key).isNotNull()).join(keys, key, "left_semi")
-    return h.groupBy(key).agg(F.min(ts).alias("first_created_at"))
+    return build_first_visits(history, key, ts).join(keys, key, "left_semi")
 
 
 def flag_new_inner(

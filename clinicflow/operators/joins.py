@@ -1,45 +1,15 @@
-"""Join helpers: size-checked broadcast, dimension lookups, enrichment."""
+"""Join helpers: dimension lookups, enrichment. Join strategies are left to the planner and AQE, which know sizes in bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably has at most this many rows.
-BROADCAST_MAX_ROWS = 200_000
-
-
-# (plan hash, input files, bound) -> verdict of the bounded count, per process.
-_SIZE_VERDICTS: dict[tuple, bool] = {}
-
-
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A bounded count (``limit(max_rows + 1).count()``) that stops reading once
-    the bound is exceeded. The verdict is remembered for the same plan over
-    the same input files (a new file under the table gives a new check).
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _SIZE_VERDICTS:
-        _SIZE_VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _SIZE_VERDICTS[key]
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it provably has at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned as is and the planner / AQE choose
-    a shuffled join (sort-merge, or broadcast if runtime statistics allow).
-    """
-    return F.broadcast(dim) if is_bounded(dim, max_rows) else dim
-
-
 def lookup(facts: DataFrame, key, dim: DataFrame, dim_key: str, cols: dict[str, str], how="left") -> DataFrame:
     """Left equi join to a dimension, renaming its columns (``{src: alias}``)."""
     d = dim.select(F.col(dim_key).alias("_lk"), *[F.col(s).alias(a) for s, a in cols.items()])
     k = F.col(key) if isinstance(key, str) else key
-    return facts.join(bounded_broadcast(d), k == F.col("_lk"), how).drop("_lk")
+    return facts.join(d, k == F.col("_lk"), how).drop("_lk")
 
 
 def enrich_patient(
@@ -56,24 +26,3 @@ def enrich_patient(
     """
     p = patient.select(F.col(key).alias("_pk"), F.struct(*fields).alias(out))
     return content.join(p, content[key] == F.col("_pk"), "left").drop("_pk")
-
-
-def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` that survives a hot key on the right.
-
-    AQE can split a skewed partition only on the preserved side of an outer
-    join, so one key holding a large share of ``right`` would land in one
-    task. Written instead as
-      * the inner join (AQE may split a skewed partition on either side), and
-      * the left rows without a match: an anti join against the *distinct*
-        right keys (pre-aggregated map-side: one row per key, never skewed),
-        padded with NULL right columns.
-    NULL left keys never match and come out of the anti join, as in a LEFT JOIN.
-    """
-    matched = left.join(right, key, "inner")
-    keys = right.select(key).where(F.col(key).isNotNull()).distinct()
-    unmatched = left.join(keys, key, "left_anti")
-    for f in right.schema.fields:
-        if f.name != key:
-            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched.unionByName(unmatched)

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicflow.params import date_lit
+from clinicflow.functions.dates import to_report_tz
+from clinicflow.functions.labels import STORAGE_TZ
+from clinicflow.params import ts_lit
 
 
-def date_spine(spark: SparkSession, start, end, col: str = "visit_date") -> DataFrame:
-    """One row per day from ``date(start)`` to ``date(end)`` inclusive.
+def date_spine(spark: SparkSession, start, end, col: str = "visit_date", tz: str = STORAGE_TZ) -> DataFrame:
+    """One row per day from ``date(start)`` to ``date(end)`` inclusive, the dates of the bounds in zone ``tz``.
 
     Empty when start > end (``sequence`` itself would raise). The row count
     is the number of days in the range, independent of the data.
     """
-    s, e = date_lit(start), date_lit(end)
+    s, e = F.to_date(to_report_tz(ts_lit(start), tz)), F.to_date(to_report_tz(ts_lit(end), tz))
     days = F.when(s <= e, F.sequence(s, e, F.expr("INTERVAL 1 DAY"))).otherwise(
         F.array().cast("array<date>")
     )

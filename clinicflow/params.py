@@ -56,14 +56,6 @@ def shifted(col: Column | str, start, end, hours: int = 7) -> Column:
     return (c >= ts_lit(start) - delta) & (c < ts_lit(end) - delta)
 
 
-def optional_eq(col: Column | str, value) -> Column | None:
-    """``p IS NULL OR col = p``; returns None (no predicate) when p is None."""
-    if value is None:
-        return None
-    c = F.col(col) if isinstance(col, str) else col
-    return c == F.lit(value)
-
-
 def not_deleted(col: str = "deleted_at") -> Column:
     """soft delete."""
     return F.col(col).isNull()
@@ -80,15 +72,14 @@ def is_true(col: str = "active") -> Column:
 PARTITION_DATE_COL = "part_date"
 
 
-def prune_partitions(df, start, end, part_col: str = PARTITION_DATE_COL, widen_days: int = 1):
-    """Add ``part_col BETWEEN date(start) - w AND date(end) + w`` when the
+def prune_partitions(df, start, end, part_col: str = PARTITION_DATE_COL, hours: int = 0):
+    """Add ``part_col BETWEEN date(start - hours) AND date(end - hours)`` when the
     table has that column (partition pruning); otherwise return ``df``.
 
-    Widening by a day keeps rows whose shifted / zone-converted time still
-    falls inside the report range; the exact range predicate does the rest.
+    The dates are those of the bounds that the exact predicate uses, moved back
+    by the same ``hours`` (see ``shifted``), so no row of the range is pruned.
     """
     if part_col not in df.columns:
         return df
-    lo = F.date_sub(date_lit(start), widen_days)
-    hi = F.date_add(date_lit(end), widen_days)
-    return df.where(F.col(part_col).between(lo, hi))
+    delta = F.make_dt_interval(F.lit(0), F.lit(hours))
+    return df.where(F.col(part_col).between(F.to_date(ts_lit(start) - delta), F.to_date(ts_lit(end) - delta)))

@@ -16,6 +16,7 @@ class Report:
     """``meta``: one row; ``content``: the rows, lazily planned.
 
     ``order``: the row order of the printed document (sort keys of content);
+    ``keys``: column -> presentation key; if given, only these columns are written, under these keys;
     ``extras``: further named outputs (e.g. the department list of R2);
     ``meta_fn``: meta computed from a content frame, for meta fields that
     depend on the rows (totals, counts). Sinks apply it to the *written*
@@ -26,11 +27,9 @@ class Report:
     content: DataFrame
     order: tuple = ()
     extras: dict = field(default_factory=dict)
+    keys: dict = field(default_factory=dict)
     meta_fn: Callable[[DataFrame], DataFrame] | None = None
 
-    def ordered_content(self) -> DataFrame:
-        return self.content.orderBy(*self.order) if self.order else self.content
-
 
 def meta_row(spark: SparkSession, fields: dict[str, Column], generated_at: bool = True) -> DataFrame:
     """A one-row meta frame of literal / scalar-subquery columns."""

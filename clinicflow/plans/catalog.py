@@ -86,4 +86,6 @@ def run_report(t: Tables, name: str, params: dict, normalize: bool = True, tz: s
     start, end = p.pop("start"), p.pop("end")
     if normalize:
         start, end = day_bounds(start, end, tz)
+    if name == "scheme":  # its rows are days: those of the report zone
+        options.setdefault("tz", tz)
     return REPORTS[name](t, start, end, **p, **options)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from clinicflow.operators.aggregates import distinct_by_flags
 from clinicflow.operators.arrays import explode_keep_empty
 from clinicflow.operators.history import flag_new_no_earlier
-from clinicflow.operators.joins import bounded_broadcast
 from clinicflow.operators.percent import cumulative, pct_of_total
 from clinicflow.params import is_true, not_deleted
 from clinicflow.plans.base import Report, bound, meta_row
@@ -59,7 +58,7 @@ def department_summary(t: Tables, start, end, patient_category=None, dept_name=N
         total_distinct="total_patients",
         row_count={"total_visits": F.col("vn")},
     )
-    d = bounded_broadcast(active_departments(t, dept_name))
+    d = active_departments(t, dept_name)
     j = d.join(per_dept, d["id"] == per_dept["department_id"], "left")
     return j.select(
         F.col("id").alias("department_id"),

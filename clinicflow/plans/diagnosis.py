@@ -1,8 +1,8 @@
 """Diagnosis (ICD-10) rows and the code x gender summary.
 
 Plan: pruned scan (status, deleted flag and the -7 h shifted range pushed
-down as literals) -> JSON array parsed by ``from_json`` and fanned out with
-``explode`` (empty / NULL / non-array drop the row) -> NULL codes dropped ->
+down as literals) -> JSON array read element by element and fanned out with
+``explode`` (empty / NULL / non-array drop the row; the report counts them) -> NULL codes dropped ->
 Bangkok date text. The summary enriches rows with the patient's gender (left
 join) and groups by code with conditional counts and ``min_by`` for the name
 of the first row in print order: partial aggregation, no row collection.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clinicflow.functions.dates import fmt_date, to_report_tz
 from clinicflow.functions.expr import gender_normalise
-from clinicflow.functions.jsonx import diagnosis_elements
+from clinicflow.functions.jsonx import diagnosis_elements, is_rejected
 from clinicflow.functions.labels import NAME_DIAGNOSIS, STATUS_COMPLETED
 from clinicflow.operators.joins import enrich_patient
 from clinicflow.params import not_deleted, prune_partitions, shifted
@@ -25,13 +25,26 @@ from clinicflow.sources.tables import Tables
 CONTENT_COLS = ["hn", "diagnosis_code", "diagnosis_name", "visit_date"]
 
 
-def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
-    v = prune_partitions(t.visit, start, end).where(
+def diagnosis_visits(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
+    return prune_partitions(t.visit, start, end, hours=shift_hours).where(
         (F.col("latest_status_code") == STATUS_COMPLETED)
         & not_deleted()
         & shifted("created_at", start, end, shift_hours)
     )
-    dx = v.select("hn", "created_at", F.explode(diagnosis_elements("diagnosis")).alias("dx"))
+
+
+def diagnosis_rejected(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
+    """One row, the texts that are no JSON array and the elements without a code, none of which give a row."""
+    items = F.coalesce(diagnosis_elements("diagnosis"), F.array().cast("array<struct<code:string,display:string>>"))
+    without = F.size(F.filter(items, lambda x: x["code"].isNull()))
+    return diagnosis_visits(t, start, end, shift_hours).agg(
+        F.count_if(is_rejected("diagnosis")).alias("rejected_texts"),
+        F.coalesce(F.sum(without), F.lit(0)).cast("bigint").alias("rejected_elements"),
+    )
+
+
+def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
+    dx = diagnosis_visits(t, start, end, shift_hours).select("hn", "created_at", F.explode(diagnosis_elements("diagnosis")).alias("dx"))
     return dx.where(F.col("dx.code").isNotNull()).select(
         "hn",
         F.col("dx.code").alias("diagnosis_code"),
@@ -58,7 +71,8 @@ def diagnosis_report(t: Tables, start, end, shift_hours: int = 7, enrich: bool =
 
     # O1: hn, then the DD/MM/YYYY *text* (lexicographic), NULLS LAST.
     order = (F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last())
-    return Report(meta=meta_for(rows), content=content, order=order, meta_fn=meta_for)
+    extras = {"rejected": diagnosis_rejected(t, start, end, shift_hours)}
+    return Report(meta=meta_for(rows), content=content, order=order, extras=extras, meta_fn=meta_for)
 
 
 def diagnosis_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.functions.dates import fmt_date
+from clinicflow.functions.dates import fmt_date, to_report_tz
 from clinicflow.functions.expr import plan_category
 from clinicflow.functions.labels import (
     ALL_LABEL,
@@ -25,6 +25,7 @@ from clinicflow.functions.labels import (
     SCHEME_SSS,
     SCHEME_UCS,
     STATUS_COMPLETED,
+    STORAGE_TZ,
     TOTAL_LABEL_TH,
 )
 from clinicflow.operators.aggregates import conditional_counts
@@ -54,8 +55,8 @@ def with_plan(v: DataFrame, plans: DataFrame) -> DataFrame:
     return lookup(v, "plan_id", plans, "id", {"nhso_insurance_plan_category_code": "plan_code", "name": "plan_name"})
 
 
-def scheme_visit_rows(t: Tables, start, end, patient_category=None, dept_name=None) -> DataFrame:
-    """Visit rows with ``visit_date``, ``category`` and fan-out ``weight``."""
+def scheme_visit_rows(t: Tables, start, end, patient_category=None, dept_name=None, tz: str = STORAGE_TZ) -> DataFrame:
+    """Visit rows with ``visit_date`` (the day in zone ``tz``), ``category`` and fan-out ``weight``."""
     v = completed_visits_closed(t.visit, start, end).select("created_at", "insurance_plan_ids", "department_ids")
     v = with_plan(v, t.insurance_plan)
     if patient_category is not None:
@@ -68,7 +69,7 @@ def scheme_visit_rows(t: Tables, start, end, patient_category=None, dept_name=No
         v = lookup(v, "department_id", t.department, "id", {"name": "department_name"})
         v = v.where(F.col("department_name") == F.lit(dept_name)).withColumn("weight", F.lit(1).cast("bigint"))
     return v.select(
-        F.to_date("created_at").alias("visit_date"),
+        F.to_date(to_report_tz("created_at", tz)).alias("visit_date"),
         plan_category("plan_code", "plan_name").alias("category"),
         "weight",
     )
@@ -84,11 +85,11 @@ def _spec():
     }
 
 
-def scheme_daily(t: Tables, start, end, patient_category=None, dept_name=None) -> DataFrame:
+def scheme_daily(t: Tables, start, end, patient_category=None, dept_name=None, tz: str = STORAGE_TZ) -> DataFrame:
     """One row per calendar day of the range: visit_date, ucs, sss, ofc, cash."""
-    rows = scheme_visit_rows(t, start, end, patient_category, dept_name)
+    rows = scheme_visit_rows(t, start, end, patient_category, dept_name, tz)
     per_day = conditional_counts(rows, ["visit_date"], _spec(), weight=F.col("weight"))
-    spine = date_spine(t.visit.sparkSession, start, end, "visit_date")
+    spine = date_spine(t.visit.sparkSession, start, end, "visit_date", tz)
     return fill_spine(spine, per_day, "visit_date", COUNT_COLS)
 
 
@@ -111,8 +112,9 @@ def scheme_content(daily: DataFrame) -> DataFrame:
     return days.unionByName(total)
 
 
-def scheme_report(t: Tables, start, end, patient_category=None, dept_name=None) -> Report:
-    daily = scheme_daily(t, start, end, patient_category, dept_name)
+def scheme_report(t: Tables, start, end, patient_category=None, dept_name=None, tz: str = STORAGE_TZ) -> Report:
+    """Days are those of zone ``tz``; the scan predicate stays on the stored column."""
+    daily = scheme_daily(t, start, end, patient_category, dept_name, tz)
     content = scheme_content(daily)
     meta = meta_row(
         t.visit.sparkSession,
@@ -124,7 +126,7 @@ def scheme_report(t: Tables, start, end, patient_category=None, dept_name=None)
             "patient_category": F.coalesce(F.lit(patient_category).cast("string"), F.lit(ALL_LABEL)),
         },
     )
-    return Report(meta=meta, content=content, order=("sort_order", "visit_date"))
+    return Report(meta=meta, content=content, order=("sort_order", "visit_date"), keys=presentation_keys())
 
 
 def presentation_keys() -> dict[str, str]:

@@ -1,8 +1,7 @@
 """Service-time list (register -> screening -> doctor -> completed, turnaround).
 
 Plan: in-range completed visits JOIN non-deleted encounters (on vn) LEFT JOIN
-queue calls (on en, split into inner + anti join so a hot encounter in the
-queue cannot pin one task): one row per (visit, encounter, call) -> Bangkok
+queue calls (on en): each table is scanned once, one row per (visit, encounter, call) -> Bangkok
 wall-clock times and exact turnaround minutes (decimal, half away from zero)
 -> distributed global row number ordered by the visit time. The printed
 form collapses consecutive rows of the same patient (previous row found by
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from clinicflow.functions.dates import fmt_time, to_report_tz
 from clinicflow.functions.expr import blank_if_falsy, minutes_between, placeholder
 from clinicflow.functions.labels import NAME_SERVICE_TIME, STATUS_COMPLETED
-from clinicflow.operators.joins import enrich_patient, left_join_hot_right
+from clinicflow.operators.joins import enrich_patient
 from clinicflow.operators.ordering import collapse_runs, global_row_number, mark_runs
 from clinicflow.params import half_open, not_deleted, prune_partitions
 from clinicflow.plans.base import Report, bound, meta_row
@@ -37,9 +36,8 @@ def service_rows(t: Tables, start, end) -> DataFrame:
         "vn", "en", F.col("created_at").alias("enc_created_at"), "completed_at"
     )
     q = t.queue.select("en", "called_at")
-    # A visit's encounters and an encounter's queue calls are 1:N; the queue
-    # side may hold hot keys, so the LEFT JOIN is split (see left_join_hot_right).
-    j = left_join_hot_right(v.join(e, "vn", "inner"), q, "en")
+    # One pass: visits of the window meet their encounters, and these their queue calls.
+    j = v.join(e, "vn", "inner").join(q, "en", "left")
     return j.select(
         "vn",
         "en",

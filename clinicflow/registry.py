@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from clinicflow.functions import dates as D
 from clinicflow.functions import expr as X
 from clinicflow.functions.jsonx import diagnosis_elements
-from clinicflow.functions.labels import SCHEME_KEYS_TH
+from clinicflow.functions.labels import REPORT_TZ, SCHEME_KEYS_TH
 from clinicflow.operators.arrays import explode_keep_empty, membership_join
 from clinicflow.operators.history import first_visits, flag_new_inner, flag_new_no_earlier
 from clinicflow.operators.joins import enrich_patient, lookup
 from clinicflow.operators.ordering import global_row_number
 from clinicflow.operators.spine import date_spine, fill_spine
-from clinicflow.params import closed, half_open, is_true, not_deleted, shifted
+from clinicflow.params import closed, half_open, is_true, not_deleted, shifted, ts_lit
 from clinicflow.plans import (
     appointment,
     cashier,
@@ -70,6 +70,19 @@ def q_scheme_daily(spark, sf_dir):
     return d.select(D.fmt_iso_date("visit_date").alias("visit_date"), *_counts())
 
 
+@register("scheme_daily_local")
+def q_scheme_daily_local(spark, sf_dir):
+    """R1's days in the report zone."""
+    d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END, tz=REPORT_TZ)
+    return d.select(D.fmt_iso_date("visit_date").alias("visit_date"), *scheme.COUNT_COLS)
+
+
+@register("diagnosis_rejected")
+def q_diagnosis_rejected(spark, sf_dir):
+    """Texts and elements that give no diagnosis row."""
+    return diagnosis.diagnosis_rejected(_dx(spark, sf_dir), EVENT_START, EVENT_END)
+
+
 @register("scheme_total")
 def q_scheme_total(spark, sf_dir):
     d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END)
@@ -144,25 +157,32 @@ def q_scan_visit_range(spark, sf_dir):
     return v.select("vn", "hn", _ts_text("created_at").alias("created_at"))
 
 
+def _in_out(rows, ts, within):
+    """Rows in and out of a range from the first time after a day to the last time before the last day."""
+    c, day = F.col(ts), F.expr("INTERVAL 1 DAY")
+    first, last = rows.agg(F.min(c) + day, F.max(c) - day).first()
+    if first is None:
+        return rows.limit(0).select(F.lit(None).cast("boolean").alias("inside"), F.lit(0).cast("bigint").alias("n"))
+    lo, hi = rows.agg(F.min(F.when(c >= ts_lit(first), c)), F.max(F.when(c <= ts_lit(last), c))).first()
+    return rows.groupBy(within(ts, lo, hi).alias("inside")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("range_half_open")
 def q_range_half_open(spark, sf_dir):
-    """appointments with ``start <= ts < end`` per status."""
-    a = _t(spark, sf_dir).appointment.where(half_open("start", EVENT_START, EVENT_END))
-    return a.groupBy("current_status").agg(F.count(F.lit(1)).alias("n"))
+    """appointments in and out of ``start <= ts < end``, the bounds being times of the table."""
+    return _in_out(_t(spark, sf_dir).appointment, "start", half_open)
 
 
 @register("range_closed")
 def q_range_closed(spark, sf_dir):
-    """visits with ``start <= created_at <= end`` per status."""
-    v = _t(spark, sf_dir).visit.where(closed("created_at", VISIT_START, VISIT_END))
-    return v.groupBy("latest_status_code").agg(F.count(F.lit(1)).alias("n"))
+    """visits in and out of ``start <= created_at <= end``, the bounds being times of the table."""
+    return _in_out(_t(spark, sf_dir).visit, "created_at", closed)
 
 
 @register("range_shifted")
 def q_range_shifted(spark, sf_dir):
-    """Diagnosis visits in the window moved back 7 hours, per status."""
-    v = _dx(spark, sf_dir).visit.where(shifted("created_at", EVENT_START, EVENT_END, 7))
-    return v.groupBy("latest_status_code").agg(F.count(F.lit(1)).alias("n"))
+    """Diagnosis visits in and out of a range moved back 7 hours."""
+    return _in_out(_dx(spark, sf_dir).visit, "created_at", lambda c, lo, hi: shifted(c, lo, hi, 7))
 
 
 @register("soft_delete_filter")

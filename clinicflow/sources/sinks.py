@@ -66,15 +66,20 @@ def write_json_lines(df: DataFrame, path: str, order: tuple = (), mode: str = "o
 
 
 def write_report(report, path: str, mode: str = "overwrite") -> None:
-    """``path/content`` (JSON lines) and ``path/meta`` (one JSON line).
+    """``path/content`` (JSON lines), ``path/<name>`` for each further output, and ``path/meta`` (one JSON line).
 
-    Content is written first; meta that depends on the rows is computed from
+    Rows carry the report's presentation keys and no sort column. Content is written first; meta that depends on the rows is computed from
     the written content (``report.meta_fn``), so the fact pipeline runs once.
     """
-    write_json_lines(report.content, f"{path}/content", report.order, mode)
+    content = report.content.orderBy(*report.order) if report.order else report.content
+    names = report.keys or {c: c for c in content.columns if c != "sort_order"}
+    content = content.select(*[F.col(c).alias(k) for c, k in names.items()])
+    write_json_lines(content, f"{path}/content", (), mode)
+    for name, rows in report.extras.items():
+        write_json_lines(rows, f"{path}/{name}", (), mode)
     meta = report.meta
     if report.meta_fn is not None:
         spark = report.content.sparkSession
-        written = spark.read.schema(report.content.schema).json(f"{path}/content")
+        written = spark.read.schema(content.schema).json(f"{path}/content")
         meta = report.meta_fn(written)
     meta_json(meta).coalesce(1).write.mode(mode).text(f"{path}/meta")

@@ -177,7 +177,7 @@ def appointment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits with a ``diagnosis`` JSON array, one per event (row-wise): NULL,
-    ``[]``, or one / two ``{code, display}`` items from ``props.k``; a code is
+    ``[]``, some malformed texts, arrays with elements that are no objects, or one / two ``{code, display}`` items from ``props.k``; a code is
     JSON null when its number is a multiple of 10."""
     e = _read(spark, sf_dir, "events")
     eid = F.col("event_id")
@@ -196,6 +196,17 @@ def dx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(eid % 2 == 0, F.array(item(k), item(j)))
         .otherwise(F.array(item(k)))
     )
+    one = F.to_json(item(k), {"ignoreNullFields": "false"})
+    text = (
+        F.when(eid % 23 == 0, F.lit(None))
+        .when(eid % 29 == 0, F.concat(F.lit("\n["), one, F.lit("]")))
+        .when(eid % 31 == 0, F.concat(F.lit("[1,"), one, F.lit("]")))
+        .when(eid % 37 == 0, F.concat(F.lit("["), one, F.lit(",[1]]")))
+        .when(eid % 41 == 0, one)
+        .when(eid % 43 == 0, F.concat(F.lit("["), one))
+        .when(eid % 47 == 0, F.concat(F.lit('\t ["s",'), one, F.lit("]")))
+        .otherwise(F.to_json(items, {"ignoreNullFields": "false"}))
+    )
     return e.select(
         eid.alias("vn"),
         F.col("user_id").alias("hn"),
@@ -203,7 +214,7 @@ def dx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("active"),
         F.when(eid % 25 == 0, _ntz("ts")).alias("deleted_at"),
         F.when(eid % 6 == 0, "open").otherwise("completed").alias("latest_status_code"),
-        F.to_json(items, {"ignoreNullFields": "false"}).alias("diagnosis"),
+        text.alias("diagnosis"),
     )
 
 

@@ -62,6 +62,12 @@ CTES: dict[str, str] = {
          CASE WHEN event_id % 25 = 0 THEN ts END AS deleted_at,
          CASE WHEN event_id % 6 = 0 THEN 'open' ELSE 'completed' END AS latest_status_code,
          CASE WHEN event_id % 23 = 0 THEN NULL
+              WHEN event_id % 29 = 0 THEN chr(10) || '[' || item || ']'
+              WHEN event_id % 31 = 0 THEN '[1,' || item || ']'
+              WHEN event_id % 37 = 0 THEN '[' || item || ',[1]]'
+              WHEN event_id % 41 = 0 THEN item
+              WHEN event_id % 43 = 0 THEN '[' || item
+              WHEN event_id % 47 = 0 THEN chr(9) || ' ["s",' || item || ']'
               WHEN event_id % 5 = 0 THEN '[]'
               WHEN event_id % 2 = 0 THEN CAST(to_json([
                   {'code': CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END, 'display': 'dx ' || CAST(k AS VARCHAR)},
@@ -71,7 +77,9 @@ CTES: dict[str, str] = {
                   {'code': CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END, 'display': 'dx ' || CAST(k AS VARCHAR)}])
                 AS VARCHAR)
          END AS diagnosis
-  FROM (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, k, (k * 7 + event_id) % 100 AS j
+  FROM (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, k, (k * 7 + event_id) % 100 AS j,
+               CAST(to_json({'code': CASE WHEN k % 10 <> 0 THEN 'C' || CAST(k AS VARCHAR) END, 'display': 'dx ' || CAST(k AS VARCHAR)})
+                 AS VARCHAR) AS item
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))""",
     "department": """
   SELECT CAST(n_nationkey AS BIGINT) AS id,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from clinicflow.registry import QUERIES
 from oracle_checks.compare import compare, duckdb_conn
+from oracle_checks.sql import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,12 +18,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    r = compare(spark, con, name, QUERIES[name], ORACLE[name], SF)
     assert r["cols_match"], r
     assert r["rows_spark"] == r["rows_oracle"], r
     assert r["values_match"], r

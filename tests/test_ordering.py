@@ -33,18 +33,6 @@ def test_runs_skip_leading_nulls(spark):
     assert kept == [(1, 3), (2, 5), (3, 6)]
 
 
-def test_left_join_hot_right_equals_left_join(spark):
-    from clinicflow.operators.joins import left_join_hot_right
-
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, l string")
-    # key 1 is hot on the right; key 9 has no left row; a NULL right key matches nothing
-    right_rows = [(1, i) for i in range(50)] + [(2, 7), (9, 1), (None, 5)]
-    right = spark.createDataFrame(right_rows, "k int, r int")
-    got = sorted(left_join_hot_right(left, right, "k").collect(), key=str)
-    want = sorted(left.join(right, "k", "left").collect(), key=str)
-    assert got == want
-
-
 def test_row_number_with_adaptive_range_partitions(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "50")

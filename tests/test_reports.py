@@ -308,7 +308,7 @@ def test_write_report_and_meta_json(spark, tmp_path):
     write_report(r, out)
     assert spark.read.json(f"{out}/meta").count() == 1
     content = spark.read.json(f"{out}/content")
-    assert content.count() == 4 and "date_text" in content.columns
+    assert content.count() == 4 and "วันที่" in content.columns and "sort_order" not in content.columns
     # bounded report as one document, content in print order
     from clinicflow.sources.sinks import json_document, ordered_json_array
 
@@ -363,3 +363,55 @@ def test_maintained_first_visit_table_gives_same_reports(spark):
         a = sorted(map(tuple, fn(t, S, E).collect()), key=str)
         b = sorted(map(tuple, fn(tm, S, E).collect()), key=str)
         assert a == b
+
+
+def test_scheme_days_are_those_of_the_report_zone(spark):
+    from clinicflow.plans.catalog import run_report
+
+    # 20:00 UTC on the 1st is 03:00 on the 2nd in the report zone
+    t = tables(spark, visits=[visit_row(1, 10, "2024-01-01 20:00:00"), visit_row(2, 10, "2024-01-03 16:59:59")])
+    rows = run_report(t, "scheme", {"p-start": "2024-01-01", "p-end": "2024-01-03"}).content.collect()
+    days = {r.date_text: r.ucs + r.sss + r.ofc + r.cash for r in rows if r.sort_order == 0}
+    assert list(sorted(days)) == ["01/01/2024", "02/01/2024", "03/01/2024"] and len(rows) == 4
+
+
+def test_further_outputs_are_written(spark, tmp_path):
+    from clinicflow.sources.sinks import write_report
+
+    t = tables(spark, visits=[visit_row(1, 10, "2024-01-01 08:00:00")])
+    r = department.department_report(t, S, E)
+    write_report(r, str(tmp_path / "r2"))
+    assert r.extras
+    for name in r.extras:
+        assert (tmp_path / "r2" / name / "_SUCCESS").exists()
+
+
+def test_json_elements_lose_nothing(spark):
+    from clinicflow.functions.jsonx import diagnosis_elements, is_rejected
+
+    good = '{"code": "A", "display": "a"}'
+    cases = {
+        f"[{good}]": (["A"], False),
+        f"\n[{good}]": (["A"], False),
+        f"\t [{good}]": (["A"], False),
+        f"[1,{good}]": ([None, "A"], False),
+        f'["s",{good}]': ([None, "A"], False),
+        f"[{good},[1]]": (["A", None], False),
+        "[]": ([], False),
+        good: (None, True),
+        f"[{good}": (None, True),
+        "x": (None, True),
+        None: (None, False),
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "d string").select("d", diagnosis_elements("d").alias("e"), is_rejected("d").alias("r"))
+    for row in df.collect():
+        codes = None if row.e is None else [x.code for x in row.e]
+        assert (codes, row.r) == cases[row.d], row.d
+
+
+def test_partition_bounds_follow_the_shift(spark):
+    from clinicflow.params import prune_partitions
+
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-10')) AS part_date")
+    kept = [str(r[0]) for r in prune_partitions(days, "2024-01-06 00:00:00", "2024-01-07 00:00:00", hours=48).collect()]
+    assert sorted(kept) == ["2024-01-04", "2024-01-05"]
