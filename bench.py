@@ -3,18 +3,17 @@
 Runs each report query over the whole stand-in tables at ``$BENCH_SF_DIR``
 (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and prints ONE JSON
 line. Each query is executed in full through the ``noop`` sink (every row is
-computed, nothing is collected to the driver). One untimed warm-up
-pass over the same queries runs first (JIT, class loading, file metadata),
-so the timed passes measure steady state; ``BENCH_WARMUP=0`` skips it.
-``BENCH_REPEAT`` timed passes (default 2) run after it; each query reports
-its fastest pass (the least noisy estimate on a shared machine) and
-``value`` is the sum of those.
+computed, nothing is collected to the driver). The first pass over the
+queries is the cold one (JIT, class loading, file metadata); ``BENCH_REPEAT``
+passes (default 3) follow it. Each query reports the median of those;
+``value`` is the sum of the medians, ``cold`` has the seconds of the first pass.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -45,18 +44,15 @@ def main() -> None:
     from clinicflow.session import local_session
 
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus))
-    if os.environ.get("BENCH_WARMUP", "1") != "0":
-        for name in names:
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    def timed(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
-    times: dict[str, float] = {}
-    for _ in range(repeat):
-        for name in names:
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            sec = round(time.perf_counter() - t0, 3)
-            times[name] = min(times.get(name, sec), sec)
+    cold = {name: round(timed(name), 3) for name in names}
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
+    passes = [{name: timed(name) for name in names} for _ in range(repeat)]
+    times = {name: round(statistics.median(p[name] for p in passes), 3) for name in names}
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
@@ -66,6 +62,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "cold": cold,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
             }
         )

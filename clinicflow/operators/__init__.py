@@ -2,7 +2,7 @@
 
 spine       calendar spine + zero-filled per-day facts
 arrays      first element, LATERAL unnest (explode_outer), fan-out weight, membership join
-joins       size-checked broadcast, dimension lookup, patient enrichment, skew-safe left join
+joins       dimension lookup, patient enrichment
 history     first visit per patient (maintained or from history), new / returning flags
 aggregates  conditional counts, two-step distinct counts, total rows
 percent     percent of total, running percent with peer rows

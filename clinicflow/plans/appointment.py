@@ -1,7 +1,7 @@
 """Appointment list with a global sequence number.
 
 Plan: pruned scan (deleted flag + half-open range pushed down) -> clinic and
-practitioner lookups (size-checked broadcast, else shuffled) -> Bangkok
+practitioner lookups (left joins) -> Bangkok
 wall-clock formatting (JVM built-ins) -> distributed ``ROW_NUMBER() OVER
 (ORDER BY start)`` (range partitioning + per-partition offsets, no single
 partition) -> optional patient enrichment (left join).

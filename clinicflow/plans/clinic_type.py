@@ -3,7 +3,7 @@
 Plan: in-range completed visits flagged NEW when their time equals the
 patient's first visit over the full history (inner join: NULL patients drop
 out, as in the source) -> join to non-deleted encounters on ``vn`` (shuffled
-on vn, AQE splits skew) -> clinic lookup (inner, size-checked broadcast) ->
+on vn, AQE splits skew) -> clinic lookup (inner) ->
 two-step distinct counts per clinic *name* (same-named clinics merge) ->
 Total row = sums of the per-clinic distinct counts (not a global distinct).
 """

@@ -1,7 +1,7 @@
 """Completed visits per day x insurance-scheme group, plus a total row.
 
 Plan: one pruned scan of ``visit`` (range + flags pushed to Parquet) ->
-first plan id looked up in the (broadcast, size-checked) plan dimension ->
+first plan id looked up in the plan dimension ->
 department fan-out folded into a row weight (no explode) unless a department
 filter needs the names -> per-day conditional counts (map-side partial
 aggregation; the shuffle carries at most days x tasks rows) -> calendar spine
