@@ -11,16 +11,13 @@ doubles. Equal coordinates of two signatures have the weighted Jaccard
 similarity (sum of the smaller over sum of the larger weights) as probability.
 The work is a few darts for each cell, instead of K hashes.
 
-Equal texts are put together first. Signatures are cut into bands; in a bucket
-(equal band) each text is compared with the bucket's smallest one, so a large
-group of copies gives a star, never all its pairs. Where a text doesn't match,
-a bucket of at most SMALL_BUCKET texts is compared completely; in a larger one,
-open texts become leaders in turn and are compared with the whole bucket, until
-each text has matched a leader or been one. A pair counts as a link if the exact
-similarity of its cells reaches ``threshold``. Classes are the connected
-components of the links. So a link is missed only where two texts share no band
-(chance 0.0002 at 0.8 with 16 bands of 4), or share only buckets of more than
-SMALL_BUCKET texts in which they follow different leaders of different classes.
+Equal texts are put together first. Signatures are cut into bands; texts that
+share a bucket (equal band) are compared with the most central text of the bucket,
+so a large group of copies gives a star, never all its pairs; texts that don't get
+into its class that way are compared further (see ``buckets``). A pair counts as a
+link if the exact similarity of its cells reaches ``threshold``. Classes are the
+connected components of the links. A link is missed where two texts share no band
+(chance 0.0002 at 0.8 with 16 bands of 4).
 
 Words are runs of anything but ASCII white space. Texts of one to four words
 are one shingle; texts without a word are only ever equal to others. Null texts
@@ -38,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinicflow.llm.buckets import bucket_links, with_leaders
 from clinicflow.llm.common import ship, written
 from clinicflow.llm.components import connected_components
 
@@ -46,8 +44,6 @@ COORDINATES = 64
 ROWS = 4
 THRESHOLD = 0.8
 SLICE_WORDS = 400_000
-LEADERS = 8
-SMALL_BUCKET = 32
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -235,49 +231,12 @@ def near_duplicate_classes(
 
 def _links(keyed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The verified links (``u``, ``v``) between different texts."""
-    members = texts.select("node", F.explode("bands").alias("bucket"))
-    least = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    rest = written(members.join(least, "bucket"), "buckets")
-    if rest.isEmpty():
-        return rest.select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    sets = _candidate_sets(keyed, texts, rest)
-    asked = rest.filter("node <> leader").select("bucket", F.col("node").alias("u"), F.col("leader").alias("v"))
-    judged = written(_judge(asked.select("u", "v"), sets, threshold), "judged")
-    found = [judged]
-    # Members that match no leader of their bucket are open.
-    open_ = _unsettled(asked, judged)
-    # A small bucket with an open member is compared completely: at most SMALL_BUCKET pairs for each of its rows.
-    unclear = rest.filter(F.col("n") <= SMALL_BUCKET).join(open_.select("bucket").distinct(), "bucket", "left_semi")
-    pairs = unclear.select("bucket", F.col("node").alias("u")).join(unclear.select("bucket", F.col("node").alias("v")), "bucket")
-    found.append(written(_judge(pairs.filter("u > v").select("u", "v"), sets, threshold), "judged"))
-    # In a large one, up to LEADERS * 2 open members at a time are compared with all members, until none is open.
-    large = rest.filter(F.col("n") > SMALL_BUCKET).select("bucket", "node")
-    open_ = open_.join(rest.filter(F.col("n") > SMALL_BUCKET).select("bucket").distinct(), "bucket", "left_semi")
-    while not open_.isEmpty():
-        leaders = (
-            open_.groupBy("bucket", (F.xxhash64("node", "bucket") % LEADERS).alias("part"))
-            .agg(F.min("node").alias("v"))
-            .select("bucket", "v")
-        )
-        asked = written(large.join(leaders, "bucket").filter("node <> v").select("bucket", F.col("node").alias("u"), "v"), "asked")
-        judged = written(_judge(asked.select("u", "v"), sets, threshold), "judged")
-        found.append(judged)
-        still = asked.join(open_.select("bucket", F.col("node").alias("u")), ["bucket", "u"], "left_semi")
-        still = still.join(leaders.withColumnRenamed("v", "u"), ["bucket", "u"], "left_anti")
-        open_ = _unsettled(still, judged)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.select("u", "v")
-
-
-def _unsettled(asked: DataFrame, judged: DataFrame) -> DataFrame:
-    """(bucket, node) of those asked that are linked to none of the leaders they were compared with."""
-    same = judged.select(F.col("u").alias("x"), F.col("v").alias("y"), F.lit(1).alias("hit"))
-    marked = asked.select("bucket", F.col("u").alias("node"), F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y"))
-    marked = marked.join(same, ["x", "y"], "left")
-    left = marked.groupBy("bucket", "node").agg(F.count("hit").alias("hits")).filter("hits = 0")
-    return written(left.select("bucket", "node"), "unsettled")
+    members = texts.select("node", F.explode("bands").alias("bucket")).distinct()
+    members = written(with_leaders(members), "buckets")
+    if members.isEmpty():
+        return members.select(F.col("node").alias("u"), F.col("leader").alias("v"))
+    sets = _candidate_sets(keyed, texts, members)
+    return bucket_links(members, lambda pairs: _judge(pairs, sets, threshold))
 
 
 def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> DataFrame:
@@ -294,8 +253,7 @@ def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> Data
 
 def _judge(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Those of the pairs (``u``, ``v``; u > v) whose exact similarity reaches the threshold."""
-    ordered = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    with_u = ordered.join(sets.select(F.col("node").alias("u"), F.col("cells").alias("a")), "u")
+    with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("cells").alias("a")), "u")
     both = with_u.join(sets.select(F.col("node").alias("v"), F.col("cells").alias("b")), "v")
 
     def keep(batches):
