@@ -22,4 +22,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/clinicflow-{tag}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    # The folder goes when the application ends.
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.parquet(path)

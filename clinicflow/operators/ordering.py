@@ -46,12 +46,8 @@ def global_row_number(
     # so it is computed once. A lost block is recomputed from its lineage.
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One range partition per input partition by default: input partitions
-        # are already sized by data volume (file splits or AQE), and a fixed
-        # large count (e.g. 200 shuffle partitions) on small inputs measured
-        # 2-3x slower than this.
-        n = num_partitions or max(1, staged.rdd.getNumPartitions())
-        ranged_input = staged.repartitionByRange(n, *keys)
+        # Without a given count AQE sizes the range partitions by data volume.
+        ranged_input = staged.repartitionByRange(num_partitions, *keys) if num_partitions else staged.repartitionByRange(*keys)
         ranged = materialize(
             ranged_input.sortWithinPartitions(*keys)
             .withColumn("_pid", F.spark_partition_id())
@@ -96,10 +92,20 @@ def renumber_kept(df: DataFrame, out: str) -> DataFrame:
 def mark_runs(df: DataFrame, seq: str, key: str, out: str = "new_run") -> DataFrame:
     """``new_run`` = this row's key differs (null-safe) from the previous row's.
 
-    The previous row is found by an equi self-join on ``seq - 1`` (a hash
-    join on a unique key), not by a global ``lag``. The first row compares
-    with NULL, so a NULL key on it starts no run, as in the template loop.
+    For rows from ``global_row_number(..., keep_position=True)`` the previous row
+    is the one before it in its range partition, or the last one of the range
+    partition before (one row per partition): one pass, no join of the rows.
+    Other rows find it by an equi self-join on ``seq - 1``, not by a global
+    ``lag``. The first row compares with NULL, so a NULL key on it starts no
+    run, as in the template loop.
     """
+    if "_pid" in df.columns and "_mid" in df.columns:
+        last = df.groupBy("_pid").agg(F.max_by(F.struct(F.col(key).alias("k")), "_mid").alias("_last"))
+        before = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_before"))
+        within = Window.partitionBy("_pid").orderBy("_mid")
+        rows = df.join(F.broadcast(before), "_pid").withColumn("_lag", F.lag(F.struct(F.col(key).alias("k"))).over(within))
+        previous = F.coalesce(F.col("_lag"), F.col("_before"))["k"]
+        return rows.withColumn(out, ~F.col(key).eqNullSafe(previous)).drop("_before", "_lag")
     prev = df.select((F.col(seq) + 1).alias(seq), F.col(key).alias("_prev_key"))
     j = df.join(prev, seq, "left")
     return j.withColumn(out, ~F.col(key).eqNullSafe(F.col("_prev_key"))).drop("_prev_key")

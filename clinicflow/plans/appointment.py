@@ -33,13 +33,13 @@ CONTENT_COLS = [
 
 
 def appointment_rows(t: Tables, start, end) -> DataFrame:
-    """Rows before numbering, with the order key ``start`` and tie-break ``id``."""
+    """Rows before numbering, with the order key ``start`` and, where the table has one, ``id``."""
     a = prune_partitions(t.appointment, start, end).where(not_deleted() & half_open("start", start, end))
     a = lookup(a, "clinic_id", t.clinic, "id", {"name": "clinic_name"})
     a = lookup(a, "practitioner_id", t.practitioner, "id", {"display": "doctor_name"})
     local = to_report_tz("start")
     return a.select(
-        "id",
+        *[c for c in ("id",) if c in a.columns],
         "start",
         F.col("patient_hn").alias("hn"),
         fmt_date(local).alias("appointment_date"),
@@ -51,8 +51,11 @@ def appointment_rows(t: Tables, start, end) -> DataFrame:
     )
 
 
-def appointment_content(t: Tables, start, end, tiebreak=("id",)) -> DataFrame:
+def appointment_content(t: Tables, start, end, tiebreak=("id", "hn", "clinic_name", "doctor_name")) -> DataFrame:
+    """``tiebreak``: columns that order rows of the same time, as far as the table has them."""
     rows = appointment_rows(t, start, end)
+    tiebreak = [c for c in tiebreak if c in rows.columns]
+    tiebreak = tiebreak[:1] if tiebreak[:1] == ["id"] else tiebreak  # unique on its own
     numbered = global_row_number(rows, ["start"], list(tiebreak), out="seq_no")
     return numbered.select(*CONTENT_COLS)
 

@@ -4,8 +4,8 @@ Plan: in-range completed visits JOIN non-deleted encounters (on vn) LEFT JOIN
 queue calls (on en): each table is scanned once, one row per (visit, encounter, call) -> Bangkok
 wall-clock times and exact turnaround minutes (decimal, half away from zero)
 -> distributed global row number ordered by the visit time. The printed
-form collapses consecutive rows of the same patient (previous row found by
-an equi self-join on ``seq_no - 1``) and renumbers them.
+form collapses consecutive rows of the same patient (previous row found within
+its range partition) and renumbers them.
 """
 
 from __future__ import annotations

@@ -377,10 +377,11 @@ def q_json_array_ordered(spark, sf_dir):
 @register("json_empty_policy")
 def q_json_empty_policy(spark, sf_dir):
     """Per department, the ordered JSON array of weekdays (1-7) with completed
-    visits: '[]' fallback vs JSON null when it has none. Arrays hold <= 7 items."""
+    visits in active departments: '[]' fallback vs JSON null when it has none. Arrays hold <= 7 items."""
     t = _t(spark, sf_dir)
     v = scheme.completed_visits_closed(t.visit, VISIT_START, VISIT_END).select("department_ids", "created_at")
-    v = explode_keep_empty(v, "department_ids", "department_id").where(F.col("department_id").isNotNull())
+    v = explode_keep_empty(v, "department_ids", "department_id")
+    v = v.join(department.active_departments(t).select(F.col("id").alias("department_id")), "department_id", "left_semi")
     days = v.select("department_id", F.dayofweek("created_at").alias("dow")).distinct()
     per = days.groupBy("department_id").agg(F.sort_array(F.collect_list("dow")).alias("dows"))
     d = t.department.select("id", "name")
@@ -557,6 +558,21 @@ def q_clinic_by_gender(spark, sf_dir):
     return completed_visits.clinic_by_gender(rows, t.patient)
 
 
+@register("clinic_gender_total")
+def q_clinic_gender_total(spark, sf_dir):
+    """Grand total of the clinic x gender summary."""
+    return completed_visits.clinic_gender_total(q_clinic_by_gender(spark, sf_dir))
+
+
+@register("int_or_zero")
+def q_int_or_zero(spark, sf_dir):
+    """The number of each diagnosis event, 0 where it is missing or no number."""
+    k = F.when(F.col("event_id") % 7 != 0, F.get_json_object("props", "$.k"))
+    text = F.when(F.col("event_id") % 5 == 0, F.concat(k, F.lit("x"))).otherwise(k)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_id", X.int_or_zero(text).cast("bigint").alias("k"))
+
+
 @register("buddhist_date")
 def q_buddhist_date(spark, sf_dir):
     """Buddhist-era date text of each visit (29 Feb clamps)."""

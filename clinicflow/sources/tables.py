@@ -64,9 +64,14 @@ class Tables:
 
     @staticmethod
     def from_parquet(spark: SparkSession, root: str, names=LOGICAL_TABLES) -> "Tables":
-        """One Parquet folder per logical table under ``root`` (read on first use)."""
+        """One Parquet folder per logical table under ``root`` (read on first use), and the optional ones that are there.
+
+        Instants (``timestamp``) are read as UTC wall clock (``timestamp_ntz``) by the reader's
+        schema, so results don't depend on the session zone and ranges are still pushed to the scan.
+        """
         base = root.rstrip("/")
-        return Tables(**{n: (lambda n=n: spark.read.parquet(f"{base}/{n}")) for n in names})
+        found = [n for n in OPTIONAL_TABLES if n not in names and _exists(spark, f"{base}/{n}")]
+        return Tables(**{n: (lambda n=n: _read_utc(spark, f"{base}/{n}")) for n in (*names, *found)})
 
     @staticmethod
     def from_jdbc(
@@ -83,8 +88,8 @@ class Tables:
         Tables are read on first use. ``partitioning`` maps a table to
         ``(column, lower, upper, num_partitions)`` for parallel reads of large
         facts (Spark splits the numeric column range into ``num_partitions``
-        queries). Range predicates on the fact columns are pushed to the
-        database by Spark. Instants (``timestamptz``) become UTC wall-clock
+        queries). Predicates on columns that aren't instants are pushed to the
+        database by Spark; ranges of instants are not, as they are converted first. Instants (``timestamptz``) become UTC wall-clock
         ``timestamp_ntz`` (the plans' time model); see ``utc_wall_clock``.
         """
         partitioning = partitioning or {}
@@ -111,6 +116,21 @@ class Tables:
         return Tables(**merged)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def _read_utc(spark: SparkSession, path: str) -> DataFrame:
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
+
+    df = spark.read.parquet(path)
+    if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):
+        return df
+    ntz = lambda f: StructField(f.name, TimestampNTZType(), f.nullable) if isinstance(f.dataType, TimestampType) else f
+    return spark.read.schema(StructType([ntz(f) for f in df.schema.fields])).parquet(path)
+
+
 def utc_wall_clock(df: DataFrame) -> DataFrame:
     """Instants (``timestamp``) as UTC wall-clock ``timestamp_ntz`` columns."""
     from pyspark.sql import functions as F

@@ -58,3 +58,21 @@ def test_write_report_meta_from_written_content(spark, tmp_path):
     content_rows = spark.read.json(f"{out}/content").count()
     assert meta["total_records"] == content_rows == r.meta.collect()[0]["total_records"] > 0
     assert meta["start_datetime"] == "2024-01-01T07:00:00+07:00"
+
+
+def test_instants_read_alike_in_any_session_zone(spark, tmp_path):
+    from clinicflow.sources.tables import Tables
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.sql("SELECT 1 AS vn, TIMESTAMP'2024-01-01 08:00:00+00:00' AS created_at").write.parquet(str(tmp_path / "visit"))
+    spark.sql("SELECT 1 AS hn, TIMESTAMP'2024-01-01 08:00:00+00:00' AS first_created_at").write.parquet(str(tmp_path / "first_visit"))
+    try:
+        for zone in ("UTC", "Asia/Bangkok", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            t = Tables.from_parquet(spark, str(tmp_path))
+            assert t.visit.selectExpr("cast(created_at AS string)").first()[0] == "2024-01-01 08:00:00"
+            assert t.first_visit_table() is not None
+            plan = t.visit.where("created_at >= timestamp_ntz'2024-01-01 00:00:00'")._jdf.queryExecution().executedPlan().toString()
+            assert "GreaterThanOrEqual(created_at" in plan
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
