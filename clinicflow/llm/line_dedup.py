@@ -181,7 +181,7 @@ def _links(lines: DataFrame, threshold: int) -> DataFrame:
     crowded = _lines_of(lines, touched)
     members = crowded.select("node", F.explode(group_keys(code_points(line), threshold)).alias("bucket")).distinct()
     members = written(with_leaders(members), "line-buckets")
-    return found.unionByName(bucket_links(members, lambda p: _verified(p, crowded, threshold))).distinct()
+    return found.unionByName(bucket_links(members, lambda p: _verified(p, crowded, threshold).withColumn("d", F.lit(0.0)), threshold)[0]).distinct()
 
 
 def group_keys(points: Column, threshold: int) -> Column:
@@ -204,7 +204,9 @@ def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     both = both.join(lines.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
     both = both.filter(F.abs(F.char_length("a") - F.char_length("b")) <= threshold)
     both = both.select("u", "v", code_points(F.col("a")).alias("a"), code_points(F.col("b")).alias("b"))
-    return both.filter(within_distance(F.col("a"), F.col("b"), threshold)).select("u", "v")
+    # A row or none: a filter would be pushed below the code points and take them apart again at every step.
+    near = within_distance(F.col("a"), F.col("b"), threshold)
+    return both.select(F.inline(F.when(near, F.array(F.struct("u", "v")))))
 
 
 def remove_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
