@@ -12,6 +12,7 @@ from clinicflow.llm.components import connected_components
 
 SMALL_BUCKET = 32
 LEADERS = 8
+ROUNDING = 1e-9
 
 
 def with_leaders(members: DataFrame) -> DataFrame:
@@ -28,46 +29,58 @@ def with_leaders(members: DataFrame) -> DataFrame:
     return members.join(leaders, "bucket").select("bucket", "node", "leader", "n", "score")
 
 
-def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Pairs (``u``, ``v``; u > v) of nodes that share a bucket and pass ``judge``.
+def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], limit: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (``u``, ``v``; u > v) of nodes in a common bucket at a distance of at most ``limit``, and their components (node, component).
 
-    ``members``: from ``with_leaders``, written. ``judge`` gets distinct pairs (u, v; u > v) and returns those that pass.
+    ``members``: from ``with_leaders``, written. ``judge`` gets distinct pairs (u, v; u > v) and returns them with their distance
+    ``d``, which must be a metric; it may leave out pairs beyond the limit.
 
     Every node is compared with its bucket's leader. A node that is then in another component than the leader is
     open in this bucket. In a bucket of at most SMALL_BUCKET nodes it is compared with all others of other
     components; in a larger one, the open nodes become leaders in turn (first about LEADERS at a time, then four times
     as many in each round), until each is in the leader's component or has been compared with the whole bucket.
-    So the components are those of all passing pairs, but for pairs of nodes that both joined a class of their
+    Pairs whose distances to the bucket's leader differ by more than the limit are left out: by the triangle
+    inequality they are further apart than it. So the components are those of all passing pairs, but for pairs of nodes that both joined a class of their
     own through other buckets.
     """
     asked = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    links = written(judge(_pairs(asked)), "judged")
-    marked = written(_marked(members, links), "marked")
+    judged = written(judge(_pairs(asked)), "judged")
+    links = judged.filter(F.col("d") <= limit).select("u", "v")
+    members = written(_with_distance(members, judged), "distances")
+    component = connected_components(links, "bucket-components")
+    marked = written(_marked(members, component), "marked")
     open_ = marked.filter("c <> leader_c")
     unclear = marked.filter(F.col("n") <= SMALL_BUCKET).join(open_.select("bucket").distinct(), "bucket", "left_semi")
-    left = unclear.filter("c <> leader_c").select("bucket", F.col("node").alias("u"), F.col("c").alias("cu"))
-    right = unclear.filter("node <> leader").select("bucket", F.col("node").alias("v"), F.col("c").alias("cv"))
-    few = left.join(right, "bucket").filter("cu <> cv").select("u", "v")
-    more = written(judge(_pairs(few)), "judged")
+    left = unclear.filter("c <> leader_c").select("bucket", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("dl").alias("du"))
+    right = unclear.filter("node <> leader").select("bucket", F.col("node").alias("v"), F.col("c").alias("cv"), F.col("dl").alias("dv"))
+    near = F.coalesce(F.abs(F.col("du") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
+    few = left.join(right, "bucket").filter((F.col("cu") != F.col("cv")) & near).select("u", "v")
+    more = written(_passing(judge(_pairs(few)), limit), "judged")
     large = members.filter(F.col("n") > SMALL_BUCKET)
     used, parts = None, LEADERS
     while True:
         if not more.isEmpty():
             links = written(links.unionByName(more).distinct(), "links")
-            marked = written(_marked(large, links), "marked")
+            # The new links join components: nodes are replaced by what they already belong to.
+            between = _moved(_moved(more, component, "u"), component, "v")
+            joined = connected_components(between, "bucket-components")
+            component = written(_joined(component, joined), "bucket-components")
+            marked = written(_marked(large, component), "marked")
         else:
             marked = marked.filter(F.col("n") > SMALL_BUCKET)
         open_ = marked.filter("c <> leader_c")
         if used is not None:
             open_ = open_.join(used, ["bucket", "node"], "left_anti")
-        part = F.pmod(F.xxhash64("node", "bucket"), F.lit(parts))
+        part = F.pmod(F.xxhash64("node"), F.lit(parts))  # alike in all buckets, so that a pair is asked once
         leaders = open_.groupBy("bucket", part.alias("part")).agg(F.max_by("node", F.struct("score", "node")).alias("node"))
-        leaders = leaders.join(open_.select("bucket", "node", F.col("c").alias("cv")), ["bucket", "node"]).select("bucket", F.col("node").alias("v"), "cv")
+        leaders = leaders.join(open_.select("bucket", "node", F.col("c").alias("cv"), F.col("dl").alias("dv")), ["bucket", "node"])
+        leaders = leaders.select("bucket", F.col("node").alias("v"), "cv", "dv")
         leaders = written(leaders, "leaders")
         if leaders.isEmpty():
-            return links
-        asked = marked.filter("node <> leader").join(leaders, "bucket").filter("c <> cv").select(F.col("node").alias("u"), "v")
-        more = written(judge(_pairs(asked)), "judged")
+            return links, component
+        near = F.coalesce(F.abs(F.col("dl") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
+        asked = marked.filter("node <> leader").join(leaders, "bucket").filter((F.col("c") != F.col("cv")) & near)
+        more = written(_passing(judge(_pairs(asked.select(F.col("node").alias("u"), "v"))), limit), "judged")
         mine = leaders.select("bucket", F.col("v").alias("node"))
         used = mine if used is None else written(used.unionByName(mine), "used")
         parts *= 4
@@ -77,9 +90,33 @@ def _pairs(asked: DataFrame) -> DataFrame:
     return asked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _marked(members: DataFrame, links: DataFrame) -> DataFrame:
+def _passing(judged: DataFrame, limit: float) -> DataFrame:
+    return judged.filter(F.col("d") <= limit).select("u", "v")
+
+
+def _with_distance(members: DataFrame, judged: DataFrame) -> DataFrame:
+    """``members`` with the distance to the bucket's leader (dl; null where the judge left the pair out)."""
+    known = judged.select(F.col("u").alias("x"), F.col("v").alias("y"), "d")
+    out = members.withColumn("x", F.greatest("node", "leader")).withColumn("y", F.least("node", "leader"))
+    return out.join(known, ["x", "y"], "left").withColumnRenamed("d", "dl").drop("x", "y")
+
+
+def _moved(pairs: DataFrame, component: DataFrame, end: str) -> DataFrame:
+    """``pairs`` with the nodes of one end replaced by their component."""
+    of = component.select(F.col("node").alias(end), F.col("component").alias("c"))
+    return pairs.join(of, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+
+
+def _joined(component: DataFrame, joined: DataFrame) -> DataFrame:
+    """``component`` after its components, or nodes without one, have been joined by ``joined``."""
+    to = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = component.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    new = joined.join(component.select("node"), "node", "left_anti")
+    return old.unionByName(new)
+
+
+def _marked(members: DataFrame, component: DataFrame) -> DataFrame:
     """``members`` with the components of the node (c) and of the bucket's leader (leader_c)."""
-    component = connected_components(links, "bucket-components")
     own = component.select("node", F.col("component").alias("c"))
     lead = component.select(F.col("node").alias("leader"), F.col("component").alias("leader_c"))
     out = members.join(own, "node", "left").join(lead, "leader", "left")

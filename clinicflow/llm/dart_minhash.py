@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from clinicflow.llm.buckets import bucket_links, with_leaders
 from clinicflow.llm.common import ship, written
-from clinicflow.llm.components import connected_components
 
 SHINGLE = 5
 COORDINATES = 64
@@ -216,8 +215,7 @@ def near_duplicate_classes(
         .withColumn("node", F.monotonically_increasing_id()),
         "texts",
     )
-    links = _links(keyed, texts, threshold)
-    component = connected_components(links, "near-components")
+    component = _components(keyed, texts, threshold)
     classed = texts.select("tkey", "rep", "node").join(component, "node", "left")
     classed = classed.withColumn("component", F.coalesce("component", "node"))
     names = classed.groupBy("component").agg(F.min("rep").alias("class_id"))
@@ -229,14 +227,14 @@ def near_duplicate_classes(
     )
 
 
-def _links(keyed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The verified links (``u``, ``v``) between different texts."""
+def _components(keyed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(``node``, ``component``) of the texts that are linked to others."""
     members = texts.select("node", F.explode("bands").alias("bucket")).distinct()
     members = written(with_leaders(members), "buckets")
     if members.isEmpty():
-        return members.select(F.col("node").alias("u"), F.col("leader").alias("v"))
+        return members.select("node", F.col("leader").alias("component"))
     sets = _candidate_sets(keyed, texts, members)
-    return bucket_links(members, lambda pairs: _judge(pairs, sets, threshold))
+    return bucket_links(members, lambda pairs: _judged(pairs, sets), 1.0 - threshold)[1]
 
 
 def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> DataFrame:
@@ -251,18 +249,17 @@ def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> Data
     return written(found.mapInArrow(_cell_sets, "node long, cells binary").dropDuplicates(["node"]), "cells")
 
 
-def _judge(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Those of the pairs (``u``, ``v``; u > v) whose exact similarity reaches the threshold."""
+def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``u``, ``v``) with their exact Jaccard distance ``d``."""
     with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("cells").alias("a")), "u")
     both = with_u.join(sets.select(F.col("node").alias("v"), F.col("cells").alias("b")), "v")
 
-    def keep(batches):
+    def measure(batches):
         for batch in batches:
-            a, b = batch.column(2), batch.column(3)
-            near = [similarity(x.as_buffer(), y.as_buffer()) >= threshold for x, y in zip(a, b)]
-            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+            d = [1.0 - similarity(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, pa.float64())], names=["u", "v", "d"])
 
-    return both.select("u", "v", "a", "b").mapInArrow(keep, "u long, v long")
+    return both.select("u", "v", "a", "b").mapInArrow(measure, "u long, v long, d double")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
