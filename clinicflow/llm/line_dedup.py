@@ -43,6 +43,7 @@ GROUPS = 6
 BROADCAST_IDS = 500_000
 WORDED = r"[^\x20\x09-\x0D]"
 NULL_ID = 1 << 62
+CROWD = -1
 LINE_ROOM = 1 << 31
 
 
@@ -168,16 +169,16 @@ def _links(lines: DataFrame, threshold: int) -> DataFrame:
     indexed = lines.select("node", "n", F.explode(index_keys(line, n, threshold)).alias("key"))
     probing = lines.select(F.col("node").alias("other"), F.explode(probe_keys(line, n, threshold)).alias("key"))
     hot = written(indexed.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > HOT).select("key"), "hot-segments")
-    # Where a segment isn't hot, a probe meets at most HOT lines.
-    cold = indexed.join(hot, "key", "left_anti").select("key", "node").join(probing, "key").filter("node <> other")
-    pairs = cold.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-    pairs = written(pairs, "line-pairs")
+    # Where a segment isn't hot, a probe meets at most HOT lines; a hot one is met once, as CROWD.
+    # Lines probe their own segments too, so all lines that hold a hot segment meet it.
+    held = indexed.join(hot, "key", "left_anti").select("key", "node").unionByName(hot.select("key", F.lit(CROWD).cast("long").alias("node")))
+    met = held.join(probing, "key").filter("node <> other")
+    met = written(met.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct(), "line-pairs")
+    pairs, touched = met.filter(F.col("v") != CROWD), met.filter(F.col("v") == CROWD).select(F.col("u").alias("node"))
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     found = _verified(pairs, _lines_of(lines, ends), threshold)
-    if hot.isEmpty():
+    if touched.isEmpty():
         return found
-    touched = indexed.select("node", "key").unionByName(probing.withColumnRenamed("other", "node"))
-    touched = written(touched.join(hot, "key", "left_semi").select("node").distinct(), "hot-lines")
     crowded = _lines_of(lines, touched)
     members = crowded.select("node", F.explode(group_keys(code_points(line), threshold)).alias("bucket")).distinct()
     members = written(with_leaders(members), "line-buckets")
