@@ -7,7 +7,7 @@ one also the total length. Of rows with equal payloads of at least
 ``revisit_bytes`` bytes, the one with the largest id is written as response, the
 others as revisit records (a digest and a reference, no body). Spark's text
 writer puts the records down, with the record end CRLF CRLF as its line
-separator; ``records_per_file`` bounds the size of an archive file.
+separator, compressed with gzip; ``records_per_file`` bounds the size of a file.
 
 Reading. Files are parsed record by record; whole records are decoded at once,
 segments are grouped by the identity of their origin record (only these are
@@ -23,6 +23,7 @@ columns are read. An empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from datetime import datetime, timezone
@@ -35,6 +36,7 @@ from clinicflow.llm.common import discard_at_exit, scratch_path, ship, written
 
 CRLF = b"\r\n"
 RECORD_END = "\r\n\r\n"
+GZIP = b"\x1f\x8b"
 SEGMENT_BYTES = 64 * 1024
 CHUNK_BYTES = 8 * 1024
 RECORDS_PER_FILE = 512
@@ -210,6 +212,7 @@ def write_archives(
         .select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", RECORD_END)
         .option("maxRecordsPerFile", records_per_file)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -227,7 +230,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in records_of(content.as_py()):
+                data = content.as_py()
+                for fields, block in records_of(gzip.decompress(data) if data.startswith(GZIP) else data):
                     rows.append(_parsed(fields, block, with_payload))
                     if len(rows) == 256:
                         yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
