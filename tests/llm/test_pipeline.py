@@ -10,7 +10,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from clinicflow.llm import quality_classifier, quality_rules
 from clinicflow.llm.common import table, written
-from tests.llm import test_dart_minhash, test_packing, test_quality_rules
+from tests.llm import test_dart_minhash, test_packing
+from tests.llm import test_quality_rules as rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,14 +39,14 @@ def test_quality_rules(results):
     boiler = re.compile(quality_rules.BOILERPLATE)
     want = {}
     for r in before:
-        words, chars, _, _, repeated = test_quality_rules.brute(r.text)
+        words, chars, _, _, repeated = rules.brute(r.text)
         kept = []
         for line in (r.text or "").split("\n"):
-            n = len(test_quality_rules.WORD.findall(line))
+            n = len(rules.WORD.findall(line))
             bad = 100 * len(re.findall(quality_rules.LINE_MARK, line)) > 30 * n or len(re.findall(quality_rules.SEPARATOR, line)) >= 3
             if not n or not (bad or (boiler.search(line) and n <= 30)):
                 kept.append(line)
-        left = sum(map(len, test_quality_rules.WORD.findall("\n".join(kept))))
+        left = sum(map(len, rules.WORD.findall("\n".join(kept))))
         if words >= 20 and 100 * repeated <= 30 * words and 100 * (chars - left) <= 30 * chars:
             want[r.doc_id] = "\n".join(kept)
     assert {r.doc_id: r.text for r in after} == want
