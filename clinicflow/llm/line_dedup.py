@@ -14,8 +14,9 @@ Segments held by more than ``HOT`` lines would pair all of them. Lines that come
 upon such a segment are linked in another way: code points are dealt into
 ``GROUPS`` groups, and an edit changes the sequence of code points left of at
 most two groups. So two linked lines agree in GROUPS - 2 * THRESHOLD of these
-sequences; lines are put into a bucket for each such set of groups, and compared
-inside it with leaders instead of all pairs (see ``buckets``).
+sequences; lines are put into a bucket for each such set of groups, and all pairs
+that agree in one are verified, in the first bucket they share. Buckets are dealt
+into blocks of about ``BLOCK`` lines, so a large one is split over tasks.
 
 Classes are the connected components of the links. The first line of a class
 (smallest document id, then line number) represents it, the others are removed.
@@ -32,7 +33,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.llm.buckets import bucket_links, with_leaders
 from clinicflow.llm.common import written
 from clinicflow.llm.components import connected_components
 
@@ -40,6 +40,7 @@ THRESHOLD = 2
 MIN_CHARS = 24
 HOT = 32
 GROUPS = 6
+BLOCK = 64
 BROADCAST_IDS = 500_000
 WORDED = r"[^\x20\x09-\x0D]"
 NULL_ID = 1 << 62
@@ -179,10 +180,30 @@ def _links(lines: DataFrame, threshold: int) -> DataFrame:
     found = _verified(pairs, _lines_of(lines, ends), threshold)
     if touched.isEmpty():
         return found
-    crowded = _lines_of(lines, touched)
-    members = crowded.select("node", F.explode(group_keys(code_points(line), threshold)).alias("bucket")).distinct()
-    members = written(with_leaders(members), "line-buckets")
-    return found.unionByName(bucket_links(members, lambda p: _verified(p, crowded, threshold).withColumn("d", F.lit(0.0)), threshold)[0]).distinct()
+    return found.unionByName(_crowd_links(_lines_of(lines, touched), threshold)).distinct()
+
+
+def _crowd_links(crowded: DataFrame, threshold: int) -> DataFrame:
+    """Verified pairs (u, v; u > v) of the lines that meet hot segments: every pair that shares a bucket, once."""
+    keyed = written(crowded.select("node", "line", group_keys(code_points(F.col("line")), threshold).alias("keys")), "crowd")
+    members = keyed.select("node", F.posexplode("keys").alias("number", "bucket"))
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")
+    sizes = members.groupBy("number", "bucket").agg(F.count("*").alias("held")).filter("held > 1").select("number", "bucket", blocks)
+    # Each block meets itself and the blocks after it.
+    own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks").cast("long")).cast("int")
+    members = members.join(sizes, ["number", "bucket"]).withColumn("own", own).join(keyed, "node")
+    left = members.select("number", "bucket", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), _end("a"))
+    right = members.select("number", "bucket", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), _end("b"))
+    both = left.join(right, ["number", "bucket", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("a.node") > F.col("b.node")))
+    both = both.filter(F.abs(F.char_length("a.line") - F.char_length("b.line")) <= threshold)
+    shared = F.zip_with("a.keys", "b.keys", lambda x, y: x == y)
+    both = both.filter(F.array_position(shared, True) == F.col("number") + 1)
+    ends = [F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")]
+    return _near(both.select(*ends, F.col("a.line").alias("a"), F.col("b.line").alias("b")), threshold)
+
+
+def _end(name: str) -> Column:
+    return F.struct("node", "line", "keys").alias(name)
 
 
 def group_keys(points: Column, threshold: int) -> Column:
@@ -203,7 +224,11 @@ def _lines_of(lines: DataFrame, nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     both = pairs.join(lines.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
     both = both.join(lines.select(F.col("node").alias("v"), F.col("line").alias("b")), "v")
-    both = both.filter(F.abs(F.char_length("a") - F.char_length("b")) <= threshold)
+    return _near(both.filter(F.abs(F.char_length("a") - F.char_length("b")) <= threshold), threshold)
+
+
+def _near(both: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (u, v) of (u, v, a, b) whose lines a and b are near."""
     both = both.select("u", "v", code_points(F.col("a")).alias("a"), code_points(F.col("b")).alias("b"))
     # A row or none: a filter would be pushed below the code points and take them apart again at every step.
     near = within_distance(F.col("a"), F.col("b"), threshold)

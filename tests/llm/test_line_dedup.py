@@ -86,6 +86,20 @@ def test_hot_segments_lose_no_class(spark, monkeypatch):
     assert [r[:4] for r in got] == [r[:4] for r in want]
 
 
+def test_links_of_a_group_past_hot_are_whole(spark):
+    rows = [(i, f"one and the same line but for its item {i:02d}") for i in range(1, 41)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(rows) > op.HOT and {r.n_links for r in op.line_classes(docs).collect()} == {39}
+
+
+def test_links_of_hot_segments_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(op, "HOT", 2)
+    monkeypatch.setattr(op, "BLOCK", 3)
+    rows = corpus(2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got_rows(op.line_classes(docs)) == brute(rows)
+
+
 def test_automaton_equals_edit_distance(spark):
     rnd = random.Random(3)
     pairs = []
