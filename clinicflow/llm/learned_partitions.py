@@ -146,7 +146,7 @@ def fit(sample: np.ndarray, n_vectors: int) -> Router | None:
 
 
 def routes(probability: np.ndarray, counts: np.ndarray, need: int) -> list[np.ndarray]:
-    """For each query the most probable parts that hold COVER of the probability and ``need`` vectors."""
+    """For each query the most probable parts that hold COVER of the probability and ``need`` ids."""
     order = np.argsort(-probability, axis=1, kind="stable")
     mass = np.cumsum(np.take_along_axis(probability, order, axis=1), axis=1)
     held = np.cumsum(counts[order], axis=1)
@@ -165,18 +165,21 @@ def _vectors(packed) -> np.ndarray:
 
 
 def best_of_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
-    """The k best candidates of each query, ties to the smaller id; scores are summed alike for equal vectors."""
+    """The k best candidate ids of each query, each by its best row; ties to the smaller id; scores are summed alike for equal vectors."""
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
+    starts = np.flatnonzero(np.r_[True, c_ids[1:] != c_ids[:-1]])
     found, scores = [], []
     for i, s in enumerate(q @ c.T):
         s[c_ids == q_ids[i]] = -np.inf
-        if len(s) > k:
-            limit = np.partition(s, len(s) - k)[len(s) - k]
+        if len(starts) > k:
+            best = np.maximum.reduceat(s, starts)
+            limit = np.partition(best, len(best) - k)[len(best) - k]
             s[s < limit - 1e-9 * (1 + abs(limit))] = -np.inf
         near = np.flatnonzero(s > -np.inf)
         exact = (c[near] * q[i]).sum(axis=1)
-        first = np.argsort(-exact, kind="stable")[:k]
+        first = np.argsort(-exact, kind="stable")
+        first = first[np.sort(np.unique(c_ids[near[first]], return_index=True)[1])[:k]]
         found.append(c_ids[near[first]])
         scores.append(exact[first])
     queries = np.repeat(q_ids, [len(f) for f in found])
@@ -217,7 +220,9 @@ def search(
     placed = written(rows.mapInArrow(assign, "id long, v binary, part int"), "vectors")
     held = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}  # one number per part
     parts = max(held) + 1
-    counts = np.array([held.get(p, 0) for p in range(parts if router is None else router.weights[3].size)])
+    # Each id counts in one part, so that repeated ids don't stand for different candidates.
+    ids = {r["part"]: r["count"] for r in placed.groupBy("id").agg(F.min("part").alias("part")).groupBy("part").count().collect()}
+    counts = np.array([ids.get(p, 0) for p in range(parts if router is None else router.weights[3].size)])
 
     def route(batches):
         model = shared.value

@@ -49,6 +49,16 @@ def test_fewer_candidates_than_asked_and_empty(spark):
     assert op.search(df.filter("vec_id = 0")).collect() == []
 
 
+def test_repeated_rows_take_no_place(spark):
+    rnd = np.random.default_rng(3)
+    rows = 2 * [(i, rnd.normal(size=5).round(2).tolist()) for i in range(100)]
+    rows += 30 * [(200, rows[20][1])] + [(200 + i, rows[20][1]) for i in range(1, 4)]
+    got, want = rows_of(op.search(spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA))), brute(rows, 20, 20)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]] and len(got[q]) == 20, q
+
+
 def test_recall_with_parts_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(op, "SMALL", 500)
     monkeypatch.setattr(op, "PART", 200)
