@@ -40,8 +40,8 @@ def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], li
     components; in a larger one, the open nodes become leaders in turn (first about LEADERS at a time, then four times
     as many in each round), until each is in the leader's component or has been compared with the whole bucket.
     Pairs whose distances to the bucket's leader differ by more than the limit are left out: by the triangle
-    inequality they are further apart than it. So the components are those of all passing pairs, but for pairs of nodes that both joined a class of their
-    own through other buckets.
+    inequality they are further apart than it. So the components are those of all passing pairs. The links are not
+    all passing pairs: those between two nodes that other links have put into one component are mostly not asked.
     """
     asked = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
     judged = written(judge(_pairs(asked)), "judged")
