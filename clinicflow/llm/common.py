@@ -48,12 +48,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     anew; a lost executor loses nothing of it. The folder is removed when the
     application ends.
     """
+    return written_at(df, tag)[0]
+
+
+def written_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """As ``written``, and the path, for ``discard`` once no plan reads it."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
     schema = df.schema
     df.write.mode("error").option("compression", "zstd").parquet(path)
     discard_at_exit(spark, path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -67,6 +72,13 @@ def discard_at_exit(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written table that no plan reads any more."""
+    sc = spark.sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def id_crc(column: str):
     """crc32 of an id written as decimal text: the folds of the labelled operators."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

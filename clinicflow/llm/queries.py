@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clinicflow.llm import (
+    bounded_codes,
     dart_minhash,
     html_wrappers,
     learned_partitions,
@@ -18,7 +19,10 @@ from clinicflow.llm import (
     ppm_language,
     quality_classifier,
     quality_rules,
+    secret_models,
     sentencepiece_bpe,
+    sql,
+    va_file,
     warc,
 )
 from clinicflow.llm.common import table
@@ -69,6 +73,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_secret_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_models.digest(secret_models.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op12_bounded_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bounded_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op13_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_learned_partitions": op2_learned_partitions,
@@ -80,6 +96,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
+    "op11_secret_models": op11_secret_models,
+    "op12_bounded_codes": op12_bounded_codes,
+    "op13_va_file": op13_va_file,
 }
 
 ORACLE: dict[str, str] = {
@@ -138,4 +157,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN o.origin <> d.page_id THEN o.origin END AS refers_to
         FROM d LEFT JOIN o ON o.digest = d.digest AND d.n >= 1000
     """,
+    "op11_secret_models": sql.SECRETS,
+    "op12_bounded_codes": sql.CODES,
+    "op13_va_file": sql.CENTROIDS,
 }
