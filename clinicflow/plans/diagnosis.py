@@ -1,8 +1,8 @@
 """Diagnosis (ICD-10) rows and the code x gender summary.
 
 Plan: pruned scan (status, deleted flag and the -7 h shifted range pushed
-down as literals) -> JSON array read element by element and fanned out with
-``explode`` (empty / NULL / non-array drop the row; the report counts them) -> NULL codes dropped ->
+down as literals) -> JSON array parsed once, fanned out with ``explode`` (empty /
+NULL / non-array drop the row; the report counts them), each element parsed once -> NULL codes dropped ->
 Bangkok date text. The summary enriches rows with the patient's gender (left
 join) and groups by code with conditional counts and ``min_by`` for the name
 of the first row in print order: partial aggregation, no row collection.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clinicflow.functions.dates import fmt_date, to_report_tz
 from clinicflow.functions.expr import gender_normalise
-from clinicflow.functions.jsonx import diagnosis_elements, is_rejected
+from clinicflow.functions.jsonx import diagnosis_elements, element_fields, is_rejected, object_texts
 from clinicflow.functions.labels import NAME_DIAGNOSIS, STATUS_COMPLETED
 from clinicflow.operators.joins import enrich_patient
 from clinicflow.params import not_deleted, prune_partitions, shifted
@@ -44,7 +44,8 @@ def diagnosis_rejected(t: Tables, start, end, shift_hours: int = 7) -> DataFrame
 
 
 def diagnosis_rows(t: Tables, start, end, shift_hours: int = 7) -> DataFrame:
-    dx = diagnosis_visits(t, start, end, shift_hours).select("hn", "created_at", F.explode(diagnosis_elements("diagnosis")).alias("dx"))
+    items = diagnosis_visits(t, start, end, shift_hours).select("hn", "created_at", F.explode(object_texts("diagnosis")).alias("item"))
+    dx = items.select("hn", "created_at", element_fields("item").alias("dx"))
     return dx.where(F.col("dx.code").isNotNull()).select(
         "hn",
         F.col("dx.code").alias("diagnosis_code"),

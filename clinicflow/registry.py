@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from clinicflow.functions import dates as D
 from clinicflow.functions import expr as X
-from clinicflow.functions.jsonx import diagnosis_elements
+from clinicflow.functions.jsonx import element_fields, object_texts
 from clinicflow.functions.labels import REPORT_TZ, SCHEME_KEYS_TH
 from clinicflow.operators.arrays import explode_keep_empty, membership_join
 from clinicflow.operators.history import first_visits, flag_new_inner, flag_new_no_earlier
@@ -445,7 +445,7 @@ def q_diagnosis_rows(spark, sf_dir):
 def q_json_explode_diagnosis(spark, sf_dir):
     """Every diagnosis element with a code, over all visits."""
     v = _dx(spark, sf_dir).visit
-    dx = v.select("vn", F.explode(diagnosis_elements("diagnosis")).alias("dx"))
+    dx = v.select("vn", F.explode(object_texts("diagnosis")).alias("item")).select("vn", element_fields("item").alias("dx"))
     return dx.where(F.col("dx.code").isNotNull()).select(
         "vn", F.col("dx.code").alias("diagnosis_code"), F.col("dx.display").alias("diagnosis_name")
     )
