@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIELDS = "code string, display string"
+ITEM = "struct<code: string, display: string>"
 # A JSON string that could be taken for an object once its quotes are gone: "{ or the same with an escaped brace.
 _QUOTED_BRACE = r'"(\{|\\u007[bB])'
 
@@ -30,8 +30,8 @@ def object_texts(col) -> Column:
 
 
 def element_fields(item) -> Column:
-    """``{code, display}`` of one element's JSON text, as ``->>`` gives them (numbers as text, objects as JSON text)."""
-    return F.from_json(_c(item), FIELDS)
+    """``{code, display}`` of one element's JSON text, as ``->>`` gives them: numbers as text, objects as JSON text."""
+    return F.from_json(_c(item), ITEM)
 
 
 def diagnosis_elements(col) -> Column:

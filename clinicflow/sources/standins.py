@@ -179,9 +179,9 @@ def dx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits with a ``diagnosis`` JSON array, one per event (row-wise): NULL,
     ``[]``, some malformed texts, arrays with elements that are no objects, or one / two ``{code, display}`` items from ``props.k``; a code is
     JSON null when its number is a multiple of 10."""
-    e = _read(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    number = F.get_json_object("props", "$.k").cast("bigint")
+    e = _read(spark, sf_dir, "events").withColumn("k", number)  # read once per row
+    eid, k = F.col("event_id"), F.col("k")
     j = (k * 7 + eid) % 100
 
     def item(n):
