@@ -2,71 +2,106 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicflow.operators.lineage import materialize
+# Rows of the sketch per bucket; buckets then differ in size by about its inverse square root.
+SKETCH_PER_BUCKET = 100
+MOST_SKETCH_ROWS = 100_000
 
 
-def _sort_key(c) -> Column:
-    """Ascending, NULLS LAST (PostgreSQL's default for ASC)."""
-    if isinstance(c, str):
-        return F.col(c).asc_nulls_last()
-    return c
+def _order_key(columns: list[str]) -> Column:
+    """One comparable value per row: the columns ascending, NULLS LAST (PostgreSQL's default for ASC)."""
+    parts = []
+    for i, c in enumerate(columns):
+        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"k{i}")]
+    return F.struct(*parts)
+
+
+def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list:
+    """Order keys that cut the rows into about ``buckets`` even ranges; fewer where keys are equal.
+
+    A quantile sketch: the keys with the smallest hashes, a uniform sample of the
+    distinct keys that merges from task to task (each sends no more rows than the
+    sketch holds) and is the same on every run, however the rows are dealt.
+    """
+    size = min(SKETCH_PER_BUCKET * buckets, MOST_SKETCH_ROWS)
+    keys = df.select(_order_key(columns).alias("key"), F.xxhash64(*columns).alias("hash"))
+    rows = sorted((_comparable(r.key), r.key) for r in keys.orderBy("hash", "key").limit(size).collect())
+    cuts = [rows[len(rows) * i // buckets] for i in range(1, buckets)] if rows else []
+    return [key for i, (order, key) in enumerate(cuts) if i == 0 or order != cuts[i - 1][0]]
+
+
+def _comparable(key) -> tuple:
+    """Spark's order of a key in Python: NULL last (its flag is compared first), text as UTF-8."""
+    return tuple((0,) if v is None else (1, v.encode() if isinstance(v, str) else v) for v in key)
+
+
+def _literal(key, schema) -> Column:
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, schema.fields)])
+
+
+def _bucket(key: Column, cuts: Column | None, n: int) -> Column:
+    """How many of the ``n`` ascending ``cuts`` are not above ``key``: a binary search, as many steps as ``n`` has digits."""
+    if not n:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    step = lambda at, by: F.when((at + by <= n) & (F.get(cuts, at + by - 1) <= key), at + by).otherwise(at)
+    return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
 
 
 def global_row_number(
     df: DataFrame,
-    order_by: list,
+    order_by: list[str],
     tiebreak: list[str],
     out: str = "seq_no",
     num_partitions: int | None = None,
     keep_position: bool = False,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """W1 ``ROW_NUMBER() OVER (ORDER BY ...)`` without a single-partition window.
 
-    1. range-partition on (order keys, unique tie-break) and sort each
-       partition; the tie-break makes the split even even when a third of the
-       rows share one timestamp;
-    2. tag rows with their partition id and in-partition position
-       (``monotonically_increasing_id`` = partition id << 33 | position) and
-       write them once as a Parquet table in the shared checkpoint folder, so
-       the ids stay fixed if a task is retried or an executor is lost, and
-       the counting pass reads that table instead of recomputing the input;
-    3. count rows per partition (one row per partition), prefix-sum the counts
-       (bounded by the partition count, hence broadcast) and add the offset.
-
-    ``keep_position`` keeps the fixed ``_pid`` / ``_mid`` columns so a subset
-    of the rows can be renumbered later without a new sort (``renumber_kept``).
+    1. cut points over (order keys, tie-break) from a quantile sketch
+       (``cut_points``) become literals; with a unique tie-break the ranges
+       are even although a third of the rows share one timestamp;
+    2. rows are shuffled once, by the number of their range, and numbered
+       within it;
+    3. rows per range are counted on the same shuffle (one row per range),
+       prefix-summed and broadcast as offsets.
+
+    Nothing is cached or written, and building the plan runs the sketch alone.
+    The number of a row depends on its keys and the cut points only, so a task
+    that runs again gives the same numbers (rows equal in all keys may change
+    places). ``sketch`` is a cheaper frame with about the same spread of keys
+    (missing columns count as NULL), where ``df`` itself is dear.
+
+    ``keep_position`` keeps the range ``_pid`` and the place in it, ``_mid``, so a
+    subset of the rows can be renumbered later without a new sort (``renumber_kept``).
     """
-    keys = [_sort_key(c) for c in order_by] + [F.col(t).asc_nulls_last() for t in tiebreak]
-    # The range bounds are sampled from the input and the shuffle then reads
-    # it again: keep the input (memory, spilling to disk) for that one write,
-    # so it is computed once. A lost block is recomputed from its lineage.
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Without a given count AQE sizes the range partitions by data volume.
-        ranged_input = staged.repartitionByRange(num_partitions, *keys) if num_partitions else staged.repartitionByRange(*keys)
-        ranged = materialize(
-            ranged_input.sortWithinPartitions(*keys)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_mid", F.monotonically_increasing_id()),
-            "rownum",
-        )
-    finally:
-        staged.unpersist()
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    numbered = ranged.join(F.broadcast(_partition_offsets(ranged)), "_pid").withColumn(
-        out, F.col("_off") + pos + F.lit(1)
+    keys = list(dict.fromkeys([*order_by, *tiebreak]))
+    spark = df.sparkSession
+    buckets = num_partitions or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    source = df if sketch is None else sketch.select(
+        *[F.col(c) if c in sketch.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in keys]
     )
-    numbered = numbered.drop("_off")
+    cuts = cut_points(source, keys, buckets)
+    schema = df.select(_order_key(keys).alias("key")).schema["key"].dataType
+    points = F.array(*[_literal(k, schema) for k in cuts]) if cuts else None
+    ranged = df.withColumn("_pid", _bucket(_order_key(keys), points, len(cuts))).repartition("_pid")
+    place = Window.partitionBy("_pid").orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    numbered = ranged.withColumn("_mid", F.row_number().over(place).cast("bigint")).where(_whole_row(ranged))
+    numbered = numbered.join(F.broadcast(_partition_offsets(ranged)), "_pid").withColumn(out, F.col("_off") + F.col("_mid")).drop("_off")
     return numbered if keep_position else numbered.drop("_pid", "_mid")
 
 
+def _whole_row(df: DataFrame) -> Column:
+    """True for every row, but needs all columns: numbers and counts then read the same columns, so Spark runs their shuffle once."""
+    return F.xxhash64(*df.columns).bitwiseAND(F.lit(0)) == 0
+
+
 def _partition_offsets(ranged: DataFrame) -> DataFrame:
-    """Rows before each range partition: one row per partition (bounded)."""
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    """Rows before each range: one row per range (bounded), counted on the shuffle of the rows."""
+    counts = ranged.groupBy("_pid").agg(F.count_if(_whole_row(ranged)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
 
@@ -75,10 +110,9 @@ def renumber_kept(df: DataFrame, out: str) -> DataFrame:
     """Number the rows of ``df`` 1..n in their existing global order, for a
     frame that still carries ``_pid`` / ``_mid`` from ``global_row_number``.
 
-    The range partitions are balanced and their ids fixed, so a running count
-    within each partition (one partition per window group) plus the per-
-    partition offsets renumbers a subset without sampling, sorting or writing
-    the data again.
+    The ranges are even, so a running count within each (one window group per
+    range) plus the offsets of the ranges renumbers a subset without a new
+    sketch or shuffle.
     """
     within = Window.partitionBy("_pid").orderBy("_mid")
     ranked = df.withColumn("_pos", F.row_number().over(within))
@@ -93,8 +127,8 @@ def mark_runs(df: DataFrame, seq: str, key: str, out: str = "new_run") -> DataFr
     """``new_run`` = this row's key differs (null-safe) from the previous row's.
 
     For rows from ``global_row_number(..., keep_position=True)`` the previous row
-    is the one before it in its range partition, or the last one of the range
-    partition before (one row per partition): one pass, no join of the rows.
+    is the one before it in its range, or the last one of the range before (one
+    row per range): one pass, no join of the rows.
     Other rows find it by an equi self-join on ``seq - 1``, not by a global
     ``lag``. The first row compares with NULL, so a NULL key on it starts no
     run, as in the template loop.
@@ -115,7 +149,7 @@ def collapse_runs(df: DataFrame, seq: str, key: str, out: str = "display_index")
     """Keep the first row of each run of equal consecutive keys and renumber.
 
     When ``df`` comes from ``global_row_number(..., keep_position=True)`` the
-    kept rows are renumbered inside the existing range partitions.
+    kept rows are renumbered inside the existing ranges.
     """
     kept = mark_runs(df, seq, key).where("new_run").drop("new_run")
     if "_pid" in kept.columns and "_mid" in kept.columns:

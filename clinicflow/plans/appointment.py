@@ -32,9 +32,13 @@ CONTENT_COLS = [
 ]
 
 
+def appointment_scan(t: Tables, start, end) -> DataFrame:
+    return prune_partitions(t.appointment, start, end).where(not_deleted() & half_open("start", start, end))
+
+
 def appointment_rows(t: Tables, start, end) -> DataFrame:
     """Rows before numbering, with the order key ``start`` and, where the table has one, ``id``."""
-    a = prune_partitions(t.appointment, start, end).where(not_deleted() & half_open("start", start, end))
+    a = appointment_scan(t, start, end)
     a = lookup(a, "clinic_id", t.clinic, "id", {"name": "clinic_name"})
     a = lookup(a, "practitioner_id", t.practitioner, "id", {"display": "doctor_name"})
     local = to_report_tz("start")
@@ -56,7 +60,8 @@ def appointment_content(t: Tables, start, end, tiebreak=("id", "hn", "clinic_nam
     rows = appointment_rows(t, start, end)
     tiebreak = [c for c in tiebreak if c in rows.columns]
     tiebreak = tiebreak[:1] if tiebreak[:1] == ["id"] else tiebreak  # unique on its own
-    numbered = global_row_number(rows, ["start"], list(tiebreak), out="seq_no")
+    scan = appointment_scan(t, start, end).withColumnRenamed("patient_hn", "hn")
+    numbered = global_row_number(rows, ["start"], list(tiebreak), out="seq_no", sketch=scan)
     return numbered.select(*CONTENT_COLS)
 
 

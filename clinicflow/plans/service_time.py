@@ -25,13 +25,17 @@ from clinicflow.sources.tables import Tables
 CONTENT_COLS = ["seq_no", "hn", "register_time", "screening_time", "doctor_time", "completed_time", "tat_minutes"]
 
 
-def service_rows(t: Tables, start, end) -> DataFrame:
-    """One row per (visit, encounter, queue call), before numbering."""
+def service_visits(t: Tables, start, end) -> DataFrame:
+    """The completed visits of the range."""
     v = prune_partitions(t.visit, start, end).where(
         (F.col("latest_status_code") == STATUS_COMPLETED) & half_open("created_at", start, end)
-    ).select(
-        "vn", "hn", "created_at"
     )
+    return v.select("vn", "hn", "created_at")
+
+
+def service_rows(t: Tables, start, end) -> DataFrame:
+    """One row per (visit, encounter, queue call), before numbering."""
+    v = service_visits(t, start, end)
     e = t.encounter.where(not_deleted()).select(
         "vn", "en", F.col("created_at").alias("enc_created_at"), "completed_at"
     )
@@ -54,9 +58,10 @@ def service_rows(t: Tables, start, end) -> DataFrame:
 
 def service_numbered(t: Tables, start, end) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY created_at)``; ties broken by (vn, en,
-    called_at). Keeps the range-partition position for ``service_runs``."""
-    rows = service_rows(t, start, end)
-    return global_row_number(rows, ["created_at"], ["vn", "en", "called_at"], out="seq_no", keep_position=True)
+    called_at). Keeps the place in its range for ``service_runs``. The sketch
+    reads the visits alone, without the joins."""
+    rows, visits = service_rows(t, start, end), service_visits(t, start, end)
+    return global_row_number(rows, ["created_at"], ["vn", "en", "called_at"], out="seq_no", keep_position=True, sketch=visits)
 
 
 def service_content(t: Tables, start, end) -> DataFrame:

@@ -57,3 +57,41 @@ def test_collapse_runs_in_place_matches_fresh_numbering(spark):
     in_place = sorted((r.display_index, r.seq) for r in collapse_runs(numbered, "seq", "hn").collect())
     fresh = sorted((r.display_index, r.seq) for r in collapse_runs(numbered.drop("_pid", "_mid"), "seq", "hn").collect())
     assert in_place == fresh and len(in_place) > 0
+
+
+def test_numbers_do_not_depend_on_how_rows_are_dealt(spark):
+    """A task that runs again, or another deal of the rows, gives every row the same number."""
+    df = spark.range(4000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("ก")).when(F.col("id") % 7 != 0, F.concat(F.lit("é"), F.col("id") % 40)).alias("name"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 50 / 7)).alias("score"),
+    )
+    runs = [
+        {r.id: (r.rn, r._pid, r._mid) for r in global_row_number(d, ["name", "score"], ["id"], out="rn", num_partitions=9, keep_position=True).collect()}
+        for d in (df, df.repartition(13, "score"), df.coalesce(1), df.repartition(3))
+    ]
+    assert runs[0] == runs[1] == runs[2] == runs[3]
+    order = sorted(df.collect(), key=lambda r: (r.name is None, (r.name or "").encode(), r.score is None, r.score or 0, r.id))
+    assert {k: v[0] for k, v in runs[0].items()} == {r.id: i + 1 for i, r in enumerate(order)}
+    sizes = {}
+    for _, pid, _ in runs[0].values():
+        sizes[pid] = sizes.get(pid, 0) + 1
+    assert len(sizes) == 9 and max(sizes.values()) < 2 * 4000 / 9  # even although a third of the rows share a name
+
+
+def test_sketch_of_another_frame_keeps_the_numbers(spark):
+    df = spark.range(2000).select(F.col("id"), (F.col("id") * 37 % 100).alias("t"))
+    want = {r.id: r.rn for r in global_row_number(df, ["t"], ["id"], out="rn").collect()}
+    for sketch in (df.select("t").where("id % 10 = 0"), df.limit(0), df.select((F.col("t") + 1000).alias("t"))):
+        assert {r.id: r.rn for r in global_row_number(df, ["t"], ["id"], out="rn", sketch=sketch).collect()} == want
+
+
+def test_building_the_numbering_runs_the_sketch_only(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 9).alias("t"))
+    jobs = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: jobs.append(self.columns) or collect(self))
+    global_row_number(df, ["t"], ["id"], out="rn")
+    assert jobs == [["key", "hash"]]
