@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 # Rows of the sketch per bucket; buckets then differ in size by about its inverse square root.
 SKETCH_PER_BUCKET = 100
 MOST_SKETCH_ROWS = 100_000
 
 
-def _order_key(columns: list[str]) -> Column:
-    """One comparable value per row: the columns ascending, NULLS LAST (PostgreSQL's default for ASC)."""
+def _order_key(df: DataFrame, columns: list[str]) -> Column:
+    """One comparable value per row: the columns ascending, NULLS LAST (PostgreSQL's default for ASC). Instants count as microseconds."""
     parts = []
     for i, c in enumerate(columns):
-        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"k{i}")]
+        value = F.unix_micros(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(c)
+        parts += [F.col(c).isNull().alias(f"n{i}"), value.alias(f"k{i}")]
     return F.struct(*parts)
 
 
@@ -26,19 +30,21 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list:
     sketch holds) and is the same on every run, however the rows are dealt.
     """
     size = min(SKETCH_PER_BUCKET * buckets, MOST_SKETCH_ROWS)
-    keys = df.select(_order_key(columns).alias("key"), F.xxhash64(*columns).alias("hash"))
+    keys = df.select(_order_key(df, columns).alias("key"), F.xxhash64(*columns).alias("hash"))
     rows = sorted((_comparable(r.key), r.key) for r in keys.orderBy("hash", "key").limit(size).collect())
     cuts = [rows[len(rows) * i // buckets] for i in range(1, buckets)] if rows else []
     return [key for i, (order, key) in enumerate(cuts) if i == 0 or order != cuts[i - 1][0]]
 
 
 def _comparable(key) -> tuple:
-    """Spark's order of a key in Python: NULL last (its flag is compared first), text as UTF-8."""
-    return tuple((0,) if v is None else (1, v.encode() if isinstance(v, str) else v) for v in key)
+    """Spark's order of a key in Python: NULL last (its flag is compared first), NaN above all numbers, text as UTF-8."""
+    return tuple((0,) if v is None else (2,) if v != v else (1, v.encode() if isinstance(v, str) else v) for v in key)
 
 
 def _literal(key, schema) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, schema.fields)])
+    """The key as a literal; wall clocks as text, which no zone shifts."""
+    plain = lambda v: str(v) if isinstance(v, dt.datetime) else v
+    return F.struct(*[F.lit(plain(v)).cast(f.dataType).alias(f.name) for v, f in zip(key, schema.fields)])
 
 
 def _bucket(key: Column, cuts: Column | None, n: int) -> Column:
@@ -85,9 +91,9 @@ def global_row_number(
         *[F.col(c) if c in sketch.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in keys]
     )
     cuts = cut_points(source, keys, buckets)
-    schema = df.select(_order_key(keys).alias("key")).schema["key"].dataType
+    schema = df.select(_order_key(df, keys).alias("key")).schema["key"].dataType
     points = F.array(*[_literal(k, schema) for k in cuts]) if cuts else None
-    ranged = df.withColumn("_pid", _bucket(_order_key(keys), points, len(cuts))).repartition("_pid")
+    ranged = df.withColumn("_pid", _bucket(_order_key(df, keys), points, len(cuts))).repartition("_pid")
     place = Window.partitionBy("_pid").orderBy(*[F.col(c).asc_nulls_last() for c in keys])
     numbered = ranged.withColumn("_mid", F.row_number().over(place).cast("bigint")).where(_whole_row(ranged))
     numbered = numbered.join(F.broadcast(_partition_offsets(ranged)), "_pid").withColumn(out, F.col("_off") + F.col("_mid")).drop("_off")

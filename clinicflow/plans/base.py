@@ -15,7 +15,8 @@ from clinicflow.params import ts_lit
 class Report:
     """``meta``: one row; ``content``: the rows, lazily planned.
 
-    ``order``: the row order of the printed document (sort keys of content);
+    ``order``: the row order of the printed document (content columns, ascending, NULLS LAST);
+    ``empty``: the content of a document without rows, ``null`` or ``[]`` (S8);
     ``keys``: column -> presentation key; if given, only these columns are written, under these keys;
     ``extras``: further named outputs (e.g. the department list of R2);
     ``meta_fn``: meta computed from a content frame, for meta fields that
@@ -25,7 +26,8 @@ class Report:
 
     meta: DataFrame
     content: DataFrame
-    order: tuple = ()
+    order: tuple[str, ...] = ()
+    empty: str = "null"
     extras: dict = field(default_factory=dict)
     keys: dict = field(default_factory=dict)
     meta_fn: Callable[[DataFrame], DataFrame] | None = None

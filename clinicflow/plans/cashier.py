@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from clinicflow.functions.expr import fmt_number
 from clinicflow.functions.labels import CASHIER_PATIENT_TYPES, CASHIER_VISIT_TIMES
 from clinicflow.operators.rollup import subtotal_rollup
+from clinicflow.params import closed
 from clinicflow.plans.base import Report, bound, meta_row
+from clinicflow.sources.tables import Tables
 
 
 def cashier_detail(content: DataFrame) -> DataFrame:
@@ -51,3 +53,13 @@ def cashier_report(content: DataFrame, start=None, end=None) -> Report:
         order=("patient_type", "visit_time", "insurance_name"),
         extras={"rollup": cashier_rollup(content)},
     )
+
+
+def cashier_of(t: Tables, start, end) -> Report:
+    """R9 from the optional table ``cashier`` of content rows; those of the range, if they carry a ``created_at``."""
+    content = t.optional("cashier")
+    if content is None:
+        raise ValueError("the cashier report needs a table 'cashier' of its content rows")
+    if "created_at" in content.columns:
+        content = content.where(closed("created_at", start, end))
+    return cashier_report(content, start, end)

@@ -14,6 +14,7 @@ from zoneinfo import ZoneInfo
 from clinicflow.functions.labels import REPORT_TZ, STORAGE_TZ
 from clinicflow.plans import (
     appointment,
+    cashier,
     clinic_type,
     completed_visits,
     department,
@@ -34,8 +35,8 @@ REPORTS = {
     "service_time": service_time.service_time_report,
     "completed_visits": completed_visits.completed_report,
     "plan_summary": plan_summary.plan_report,
+    "cashier": cashier.cashier_of,
 }
-# The cashier report starts from its content rows: see plans.cashier.
 
 # --- fixed values: parameter spellings used by the report registry ----------
 START_KEYS = ("p_start", "p_start_datetime", "p_start_ts", "start_time", "start")

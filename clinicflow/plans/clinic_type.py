@@ -80,4 +80,4 @@ def clinic_report(t: Tables, start, end, hospital_name: str | None = None) -> Re
         },
         generated_at=False,
     )
-    return Report(meta=meta, content=clinic_content(t, start, end), order=("sort_order", "clinic_name"))
+    return Report(meta=meta, content=clinic_content(t, start, end), order=("sort_order", "clinic_name"), empty="[]")

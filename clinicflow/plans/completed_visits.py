@@ -54,7 +54,7 @@ def completed_report(t: Tables, start, end, hospital_name: str | None = None, en
         )
 
     content = enrich_patient(rows, t.patient, "hn", ("gender",)) if enrich and t.patient is not None else rows
-    return Report(meta=meta_for(rows), content=content, order=("clinic_id", "hn"), meta_fn=meta_for)
+    return Report(meta=meta_for(rows), content=content, order=("clinic_id", "hn"), empty="[]", meta_fn=meta_for)
 
 
 def clinic_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ def department_report(t: Tables, start, end, patient_category=None, dept_name=No
     return Report(
         meta=meta_for(content),
         content=content,
-        order=(F.col("department").asc_nulls_last(),),
+        order=("department",),
         extras={"departments": departments},
         meta_fn=meta_for,
     )

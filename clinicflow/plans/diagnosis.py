@@ -71,7 +71,7 @@ def diagnosis_report(t: Tables, start, end, shift_hours: int = 7, enrich: bool =
         )
 
     # O1: hn, then the DD/MM/YYYY *text* (lexicographic), NULLS LAST.
-    order = (F.col("hn").asc_nulls_last(), F.col("visit_date").asc_nulls_last())
+    order = ("hn", "visit_date")
     extras = {"rejected": diagnosis_rejected(t, start, end, shift_hours)}
     return Report(meta=meta_for(rows), content=content, order=order, extras=extras, meta_fn=meta_for)
 

@@ -39,9 +39,10 @@ def service_rows(t: Tables, start, end) -> DataFrame:
     e = t.encounter.where(not_deleted()).select(
         "vn", "en", F.col("created_at").alias("enc_created_at"), "completed_at"
     )
-    q = t.queue.select("en", "called_at")
     # One pass: visits of the window meet their encounters, and these their queue calls.
-    j = v.join(e, "vn", "inner").join(q, "en", "left")
+    # Calls stored with their visit lie with it (``layout.write_co_located``): no shuffle.
+    on = ["vn", "en"] if "vn" in t.queue.columns else ["en"]
+    j = v.join(e, "vn", "inner").join(t.queue.select(*on, "called_at"), on, "left")
     return j.select(
         "vn",
         "en",

@@ -28,6 +28,7 @@ from clinicflow.params import closed, half_open, is_true, not_deleted, shifted,
 from clinicflow.plans import (
     appointment,
     cashier,
+    catalog,
     clinic_type,
     completed_visits,
     department,
@@ -36,8 +37,9 @@ from clinicflow.plans import (
     scheme,
     service_time,
 )
-from clinicflow.sources import standins
+from clinicflow.sources import layout, standins
 from clinicflow.sources.sinks import json_rows, ordered_json_array
+from clinicflow.sources.tables import Tables
 
 # Report windows covering all test rows.
 VISIT_START, VISIT_END = "1995-01-01 00:00:00", "2002-01-01 00:00:00"
@@ -523,6 +525,28 @@ def q_service_time_run_count(spark, sf_dir):
     return service_time.service_run_count(_r6(spark, sf_dir))
 
 
+def _co_located(spark, sf_dir, names):
+    t = _t(spark, sf_dir)
+    few = Tables(**{n: t.history() if n == "visit_history" else getattr(t, n) for n in names})
+    return layout.scratch_database(spark, int(spark.conf.get("spark.sql.shuffle.partitions")), few, names)
+
+
+@register("service_time_co_located")
+def q_service_time_co_located(spark, sf_dir):
+    """J13 over facts bucketed by visit: joins without a shuffle."""
+    t = _co_located(spark, sf_dir, ("visit", "encounter", "queue"))
+    rows = service_time.service_rows(t, VISIT_START, VISIT_END)
+    return rows.select("vn", "en", "hn", "register_time", "screening_time", "doctor_time", "completed_time", "tat_minutes")
+
+
+@register("first_visit_co_located")
+def q_first_visit_co_located(spark, sf_dir):
+    """J12/A6 over a history bucketed by patient: grouped and joined without a shuffle."""
+    h = _co_located(spark, sf_dir, ("visit_history",)).history()
+    fv = first_visits(h, h.where(half_open("created_at", VISIT_START, VISIT_END)))
+    return fv.select("hn", _ts_text("first_created_at").alias("first_created_at"))
+
+
 @register("turnaround_minutes")
 def q_turnaround_minutes(spark, sf_dir):
     """Rounded minutes from visit creation to encounter completion."""
@@ -626,6 +650,15 @@ def q_cashier_detail(spark, sf_dir):
     return d.select("patient_type", "visit_time", "insurance_name", _dbl("amount"), "amount_text")
 
 
+@register("cashier_by_name")
+def q_cashier_by_name(spark, sf_dir):
+    """The cashier listing and its subtotals through the report catalog, in one frame."""
+    r = catalog.run_report(_t(spark, sf_dir), "cashier", {"p-start": "1995-01-01", "p-end": "2001-12-31"})
+    listing = r.content.select(F.lit("listing").alias("kind"), "patient_type", "visit_time", _dbl("amount"))
+    totals = r.extras["rollup"].select(F.col("level").alias("kind"), "patient_type", "visit_time", F.col("total").cast("double").alias("amount"))
+    return listing.unionByName(totals)
+
+
 @register("cashier_rollup")
 def q_cashier_rollup(spark, sf_dir):
     r = cashier.cashier_rollup(standins.cashier(spark, sf_dir))

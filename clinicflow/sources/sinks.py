@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType, TimestampNTZType, TimestampType
 
 from clinicflow.functions.dates import iso_instant_text
 from clinicflow.functions.labels import REPORT_TZ
+from clinicflow.operators.lineage import materialize
+from clinicflow.operators.ordering import global_row_number
 
 JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -52,9 +56,10 @@ def meta_json(meta: DataFrame, tz: str = REPORT_TZ) -> DataFrame:
     return meta.select(F.to_json(F.struct(*cols), JSON_OPTS).alias("json"))
 
 
-def json_document(meta: DataFrame, content_json: DataFrame) -> DataFrame:
-    """``{"meta": {...}, "content": [...]}`` for bounded reports (one row)."""
-    c = F.coalesce(content_json.select("json").scalar(), F.lit("null"))
+def json_document(meta: DataFrame, content_json: DataFrame, empty: str = "null") -> DataFrame:
+    """``{"meta": {...}, "content": [...]}`` for bounded reports (one row); ``empty``: the content of a report without rows."""
+    json_text = content_json.select("json").scalar()
+    c = F.when(json_text.isNull() | (json_text == "[]"), F.lit(empty)).otherwise(json_text)
     doc = F.concat(F.lit('{"meta":'), F.col("json"), F.lit(',"content":'), c, F.lit("}"))
     return meta_json(meta).select(doc.alias("document"))
 
@@ -65,15 +70,20 @@ def write_json_lines(df: DataFrame, path: str, order: tuple = (), mode: str = "o
     out.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def _printed(report) -> dict[str, str]:
+    """Content column -> key of the printed row."""
+    return report.keys or {c: c for c in report.content.columns if c != "sort_order"}
+
+
 def write_report(report, path: str, mode: str = "overwrite") -> None:
     """``path/content`` (JSON lines), ``path/<name>`` for each further output, and ``path/meta`` (one JSON line).
 
     Rows carry the report's presentation keys and no sort column. Content is written first; meta that depends on the rows is computed from
     the written content (``report.meta_fn``), so the fact pipeline runs once.
     """
-    content = report.content.orderBy(*report.order) if report.order else report.content
-    names = report.keys or {c: c for c in content.columns if c != "sort_order"}
-    content = content.select(*[F.col(c).alias(k) for c, k in names.items()])
+    order = [F.col(c).asc_nulls_last() for c in report.order]
+    content = report.content.orderBy(*order) if order else report.content
+    content = content.select(*[F.col(c).alias(k) for c, k in _printed(report).items()])
     write_json_lines(content, f"{path}/content", (), mode)
     for name, rows in report.extras.items():
         write_json_lines(rows, f"{path}/{name}", (), mode)
@@ -83,3 +93,49 @@ def write_report(report, path: str, mode: str = "overwrite") -> None:
         written = spark.read.schema(content.schema).json(f"{path}/content")
         meta = report.meta_fn(written)
     meta_json(meta).coalesce(1).write.mode(mode).text(f"{path}/meta")
+
+
+def write_document(report, path: str, mode: str = "overwrite", parts: int | None = None) -> list[str]:
+    """One valid JSON document ``{"meta": {...}, "content": [...]}``, written in parts by many tasks.
+
+    ``path/manifest`` (one JSON line) lists the files in order with their sizes;
+    their bytes one after the other are the document. The content is computed
+    once, written as typed rows for the meta that depends on them, and numbered
+    in the report's order over even ranges (``global_row_number``); each range is
+    a part, written in order by the task that holds it. A row's comma stands
+    before it, on all rows but number 1, so a part needs to know nothing of
+    the others. No rows give ``report.empty`` (S8). Rows that tie in the report's order
+    are ordered by their other columns. Returns the files in order.
+    """
+    spark = report.content.sparkSession
+    rows = materialize(report.content, "document")
+    order = list(report.order)
+    ties = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (ArrayType, BinaryType, MapType, StructType))]
+    numbered = global_row_number(rows, order, [c for c in ties if c not in order], "_seq", parts, keep_position=True)
+    line = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in _printed(report).items()]), JSON_OPTS)
+    text = F.concat(F.when(F.col("_seq") > 1, ",").otherwise(""), line)
+    ordered = numbered.select(F.col("_pid").alias("part"), "_mid", text.alias("value")).sortWithinPartitions("part", "_mid")
+    ordered.drop("_mid").write.mode(mode).partitionBy("part").text(f"{path}/parts")
+    written = _files(spark, f"{path}/parts")
+    meta = meta_json(report.meta_fn(rows) if report.meta_fn is not None else report.meta).first()["json"]
+    head, tail = ("[", "]}") if written else (report.empty, "}")
+    for name, value in (("head", f'{{"meta":{meta},"content":{head}'), ("tail", tail)):
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode(mode).text(f"{path}/{name}")
+    files = [*_files(spark, f"{path}/head"), *written, *_files(spark, f"{path}/tail")]
+    manifest = json.dumps({"files": [{"path": p, "bytes": n} for p, n in files]})
+    spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode(mode).text(f"{path}/manifest")
+    return [p for p, _ in files]
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """The data files below a written folder with their sizes, by number of the part, then by name."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, at = [], fs.listFiles(folder, True)
+    while at.hasNext():
+        status = at.next()
+        name, parent = status.getPath().getName(), status.getPath().getParent().getName()
+        if name.startswith("part-") and status.getLen():
+            number = int(parent.removeprefix("part=")) if parent.startswith("part=") else 0
+            found.append((number, name, status.getPath().toString(), status.getLen()))
+    return [(p, n) for _, _, p, n in sorted(found)]

@@ -293,6 +293,7 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
         practitioner=lambda: practitioner(spark, sf_dir),
         insurance_plan=lambda: insurance_plan(spark),
         patient=lambda: patient(spark, sf_dir),
+        cashier=lambda: cashier(spark, sf_dir),
     )
 
 

@@ -15,6 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clinicflow.sources.jdbc import time_slices
+
 LOGICAL_TABLES = (
     "visit",
     "encounter",
@@ -29,7 +31,8 @@ LOGICAL_TABLES = (
 # Optional tables a deployment may keep (else derived from ``visit``):
 # ``visit_history`` (hn, created_at) and ``first_visit`` (hn, first_created_at),
 # the earliest visit per patient, maintained with operators.history.merge_first_visits.
-OPTIONAL_TABLES = ("visit_history", "first_visit")
+# ``cashier``: content rows of the cashier report.
+OPTIONAL_TABLES = ("visit_history", "first_visit", "cashier")
 
 
 class Tables:
@@ -53,14 +56,21 @@ class Tables:
             return self._get(name)
         raise AttributeError(name)
 
+    def has(self, name: str) -> bool:
+        return self._src.get(name) is not None
+
+    def optional(self, name: str) -> DataFrame | None:
+        """An optional table, None where the deployment has none."""
+        return self._get(name) if name in self._src else None
+
     def history(self) -> DataFrame:
         """``(hn, created_at)`` of *all* visits: the new/returning history."""
-        h = self._get("visit_history") if "visit_history" in self._src else None
+        h = self.optional("visit_history")
         return h if h is not None else self.visit.select("hn", "created_at")
 
     def first_visit_table(self) -> DataFrame | None:
         """The maintained ``(hn, first_created_at)`` table, if the deployment has one."""
-        return self._get("first_visit") if "first_visit" in self._src else None
+        return self.optional("first_visit")
 
     @staticmethod
     def from_parquet(spark: SparkSession, root: str, names=LOGICAL_TABLES) -> "Tables":
@@ -73,6 +83,18 @@ class Tables:
         found = [n for n in OPTIONAL_TABLES if n not in names and _exists(spark, f"{base}/{n}")]
         return Tables(**{n: (lambda n=n: _read_utc(spark, f"{base}/{n}")) for n in (*names, *found)})
 
+    @staticmethod
+    def from_catalog(spark: SparkSession, database: str, names=LOGICAL_TABLES) -> "Tables":
+        """Tables of a catalog database, as ``layout.write_co_located`` writes them: bucketed
+        facts keep their layout, so joins on the bucket keys need no shuffle.
+
+        Spark asks for buckets by *all* join keys unless
+        ``spark.sql.requireAllClusterKeysForCoPartition`` is false; set it for the
+        session where queue calls join on (vn, en). Results don't depend on it.
+        """
+        there = [n for n in (*names, *OPTIONAL_TABLES) if spark.catalog.tableExists(f"{database}.{n}")]
+        return Tables(**{n: (lambda n=n: spark.table(f"{database}.{n}")) for n in there})
+
     @staticmethod
     def from_jdbc(
         spark: SparkSession,
@@ -81,23 +103,31 @@ class Tables:
         names=LOGICAL_TABLES,
         partitioning: dict | None = None,
         schema: str = "public",
+        slices: dict | None = None,
     ) -> "Tables":
         """Logical tables read over JDBC (e.g. the PostgreSQL tables the reports
         were written against; the JDBC driver jar must be on the classpath).
 
-        Tables are read on first use. ``partitioning`` maps a table to
-        ``(column, lower, upper, num_partitions)`` for parallel reads of large
-        facts (Spark splits the numeric column range into ``num_partitions``
-        queries). Predicates on columns that aren't instants are pushed to the
-        database by Spark; ranges of instants are not, as they are converted first. Instants (``timestamptz``) become UTC wall-clock
-        ``timestamp_ntz`` (the plans' time model); see ``utc_wall_clock``.
+        Tables are read on first use. ``slices`` maps a fact to ``(column, start,
+        end, n)`` or ``(column, start, end, n, closed)`` for a report's range on an
+        instant column: ``n`` tasks read a slice of the time each, by predicates on
+        the raw column (``jdbc.time_slices``), so only rows of the range leave the
+        database. ``partitioning`` maps a table to ``(column, lower, upper,
+        num_partitions)`` for parallel reads of whole facts (Spark splits the numeric
+        column range into ``num_partitions`` queries). Other predicates on columns that
+        aren't instants are pushed by Spark itself. Instants (``timestamptz``) become
+        UTC wall-clock ``timestamp_ntz`` (the plans' time model); see ``utc_wall_clock``.
         """
-        partitioning = partitioning or {}
+        partitioning, slices = partitioning or {}, slices or {}
 
         def reader(name: str):
             table = f"{schema}.{name}" if schema else name
             opts = dict(properties)
-            if name in partitioning:
+            if name in slices:
+                column, start, end, n, *closed = slices[name]
+                predicates = time_slices(column, start, end, n, closed=bool(closed and closed[0]))
+                df = spark.read.jdbc(url, table, predicates=predicates, properties=opts)
+            elif name in partitioning:
                 col, lo, hi, n = partitioning[name]
                 df = spark.read.jdbc(url, table, column=col, lowerBound=lo, upperBound=hi, numPartitions=n, properties=opts)
             else:
