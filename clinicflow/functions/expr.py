@@ -78,3 +78,9 @@ def pct_half_up(part, whole) -> Column:
         .otherwise(F.lit(0))
         .cast("decimal(20,2)")
     )
+
+
+def name_order(col: str, collation: str | None = None) -> Column:
+    """O3: a text column in the order of a collation (``th``, ``UNICODE_CI``, ...), binary if None; NULLS LAST."""
+    c = F.col(col) if collation is None else F.collate(F.col(col), collation)
+    return c.asc_nulls_last()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicflow.functions.expr import pct_half_up
+from clinicflow.functions.expr import name_order, pct_half_up
 
 
 def pct_of_total(df: DataFrame, value_col: str, out: str = "percent", total_col: str | None = None) -> DataFrame:
@@ -22,13 +22,14 @@ def pct_of_total(df: DataFrame, value_col: str, out: str = "percent", total_col:
     return out_df
 
 
-def cumulative(df: DataFrame, value_col: str, order_col: str, out: str) -> DataFrame:
+def cumulative(df: DataFrame, value_col: str, order_col: str, out: str, collation: str | None = None) -> DataFrame:
     """W2 ``SUM(v) OVER (ORDER BY k)`` with the default RANGE frame: rows with
-    equal ``k`` share the peer total; NULL keys sort last (PostgreSQL order).
+    equal ``k`` (by ``collation``, if given) share the peer total; NULL keys sort
+    last (PostgreSQL order).
 
     Runs on an aggregated result (one row per department / plan); an
     un-partitioned window gathers those rows into one task, which is bounded
     by the dimension size, never by the fact table.
     """
-    w = Window.orderBy(F.col(order_col).asc_nulls_last())
+    w = Window.orderBy(name_order(order_col, collation))
     return df.withColumn(out, F.sum(value_col).over(w))

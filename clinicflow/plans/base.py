@@ -16,6 +16,7 @@ class Report:
     """``meta``: one row; ``content``: the rows, lazily planned.
 
     ``order``: the row order of the printed document (content columns, ascending, NULLS LAST);
+    ``collation``: that of the text columns in ``order``, binary if None (O3);
     ``empty``: the content of a document without rows, ``null`` or ``[]`` (S8);
     ``keys``: column -> presentation key; if given, only these columns are written, under these keys;
     ``extras``: further named outputs (e.g. the department list of R2);
@@ -27,6 +28,7 @@ class Report:
     meta: DataFrame
     content: DataFrame
     order: tuple[str, ...] = ()
+    collation: str | None = None
     empty: str = "null"
     extras: dict = field(default_factory=dict)
     keys: dict = field(default_factory=dict)

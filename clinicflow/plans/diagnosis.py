@@ -76,16 +76,22 @@ def diagnosis_report(t: Tables, start, end, shift_hours: int = 7, enrich: bool =
     return Report(meta=meta_for(rows), content=content, order=order, extras=extras, meta_fn=meta_for)
 
 
-def diagnosis_by_gender(rows: DataFrame, patient: DataFrame) -> DataFrame:
+def diagnosis_by_gender(rows: DataFrame, patient: DataFrame, collation: str | None = None) -> DataFrame:
     """Per code (sorted), male / female counts, total = male + female
-    (unknown gender excluded), name of the first row in (hn, visit_date) order."""
+    (unknown gender excluded), name of the first row in (hn, visit_date) order.
+
+    ``collation`` (``UTF8_LCASE`` as the template groups) makes codes one group that
+    it holds for equal; the group shows the code of its first row.
+    """
     # content that is already enriched (report content) keeps its patient struct
     e = rows if "patient" in rows.columns else enrich_patient(rows, patient, "hn", ("gender",))
     e = e.withColumn("g", gender_normalise(F.col("patient.gender")))
-    first_key = F.struct(F.col("hn").isNull(), "hn", F.col("visit_date").isNull(), "visit_date", "diagnosis_name")
-    out = e.groupBy("diagnosis_code").agg(
+    first_key = F.struct(F.col("hn").isNull(), "hn", F.col("visit_date").isNull(), "visit_date", "diagnosis_name", "diagnosis_code")
+    group = F.col("diagnosis_code") if collation is None else F.collate(F.col("diagnosis_code"), collation)
+    out = e.groupBy(group.alias("_group")).agg(
+        F.min_by("diagnosis_code", first_key).alias("diagnosis_code"),
         F.min_by("diagnosis_name", first_key).alias("diagnosis_name"),
         F.count_if(F.col("g") == "male").alias("male"),
         F.count_if(F.col("g") == "female").alias("female"),
     )
-    return out.withColumn("total", F.col("male") + F.col("female"))
+    return out.drop("_group").withColumn("total", F.col("male") + F.col("female"))

@@ -85,6 +85,12 @@ def _spec():
     }
 
 
+def scheme_counts(t: Tables, visits: DataFrame, start, end) -> DataFrame:
+    """What ``visits`` add to each day's counts: the contribution that ``increments.apply_batch`` takes back or adds."""
+    rows = scheme_visit_rows(t.with_tables(visit=visits), start, end)
+    return conditional_counts(rows, ["visit_date"], _spec(), weight=F.col("weight"))
+
+
 def scheme_daily(t: Tables, start, end, patient_category=None, dept_name=None, tz: str = STORAGE_TZ) -> DataFrame:
     """One row per calendar day of the range: visit_date, ucs, sss, ofc, cash."""
     rows = scheme_visit_rows(t, start, end, patient_category, dept_name, tz)
@@ -93,6 +99,11 @@ def scheme_daily(t: Tables, start, end, patient_category=None, dept_name=None, t
     return fill_spine(spine, per_day, "visit_date", COUNT_COLS)
 
 
+def scheme_daily_of(t: Tables, counts: DataFrame, start, end) -> DataFrame:
+    """``scheme_daily`` from kept daily counts."""
+    return fill_spine(date_spine(t.visit.sparkSession, start, end, "visit_date", STORAGE_TZ), counts, "visit_date", COUNT_COLS)
+
+
 def scheme_total(daily: DataFrame) -> DataFrame:
     """The total row, one row also when there are no days."""
     return daily.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNT_COLS])

@@ -21,9 +21,11 @@ from clinicflow.functions.jsonx import element_fields, object_texts
 from clinicflow.functions.labels import REPORT_TZ, SCHEME_KEYS_TH
 from clinicflow.operators.arrays import explode_keep_empty, membership_join
 from clinicflow.operators.history import first_visits, flag_new_inner, flag_new_no_earlier
+from clinicflow.operators.increments import apply_batch
 from clinicflow.operators.joins import enrich_patient, lookup
 from clinicflow.operators.ordering import global_row_number
 from clinicflow.operators.spine import date_spine, fill_spine
+from clinicflow.operators.states import number_keys
 from clinicflow.params import closed, half_open, is_true, not_deleted, shifted, ts_lit
 from clinicflow.plans import (
     appointment,
@@ -85,6 +87,40 @@ def q_diagnosis_rejected(spark, sf_dir):
     return diagnosis.diagnosis_rejected(_dx(spark, sf_dir), EVENT_START, EVENT_END)
 
 
+def visit_batches(visit):
+    """Three loads of the visits, each row with its ``version``: a third of the visits comes late; a seventh comes first
+    with another status, deletion, plan and day, and is corrected later, some only with the last load."""
+    late, wrong = F.col("vn") % 3 == 2, F.col("vn") % 7 == 0
+    first = visit.where(~late | wrong).select(
+        "vn",
+        F.when(wrong, F.col("created_at") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("created_at")).alias("created_at"),
+        (F.col("active") | wrong).alias("active"),
+        F.when(~wrong, F.col("deleted_at")).alias("deleted_at"),
+        F.when(wrong, "completed").otherwise(F.col("latest_status_code")).alias("latest_status_code"),
+        F.when(wrong, F.array(F.lit(1).cast("bigint"))).otherwise(F.col("insurance_plan_ids")).alias("insurance_plan_ids"),
+        "department_ids",
+        F.lit(1).alias("version"),
+    )
+    columns = [c for c in first.columns if c != "version"]
+    second = visit.where(late | (wrong & (F.col("vn") % 2 == 0))).select(*columns, F.lit(2).alias("version"))
+    third = visit.where(wrong).select(*columns, F.lit(3).alias("version"))
+    # the last load also brings rows of the first one again, which change nothing
+    return first, second, third.unionByName(first.where(F.col("vn") % 5 == 0))
+
+
+@register("scheme_daily_maintained")
+def q_scheme_daily_maintained(spark, sf_dir):
+    """R1's days from counts kept current over three load batches with late corrections."""
+    t = _t(spark, sf_dir)
+    batches = visit_batches(t.visit)
+    contribution = lambda visits: scheme.scheme_counts(t, visits, "1990-01-01 00:00:00", VISIT_END)
+    current, counts = batches[0].limit(0), contribution(batches[0].limit(0))
+    for batch in batches:
+        current, counts = apply_batch(current, counts, batch, "vn", "version", contribution, ["visit_date"], scheme.COUNT_COLS)
+    daily = scheme.scheme_daily_of(t, counts, VISIT_START, VISIT_END)
+    return daily.select(D.fmt_iso_date("visit_date").alias("visit_date"), *_counts())
+
+
 @register("scheme_total")
 def q_scheme_total(spark, sf_dir):
     d = scheme.scheme_daily(_t(spark, sf_dir), VISIT_START, VISIT_END)
@@ -309,6 +345,18 @@ def q_distinct_conditional(spark, sf_dir):
     )
 
 
+@register("distinct_by_states")
+def q_distinct_by_states(spark, sf_dir):
+    """The distinct people of the window, merged from the bitmap states of its two halves."""
+    t = _t(spark, sf_dir)
+    numbers = number_keys(t.history(), "hn")
+    half = "1998-06-01 12:00:00"
+    states = department.department_states(t, VISIT_START, half, numbers)
+    states = states.unionByName(department.department_states(t, "1998-06-01 12:00:00.000001", VISIT_END, numbers))
+    s = department.department_summary_of(t, states)
+    return s.select("department", "new_patients", "old_patients", "total_patients", "total_visits")
+
+
 @register("new_old_by_history")
 def q_new_old_by_history(spark, sf_dir):
     """NEW when no earlier visit of the same patient exists (full history)."""
@@ -460,6 +508,16 @@ def q_diagnosis_by_gender(spark, sf_dir):
     return diagnosis.diagnosis_by_gender(rows, t.patient)
 
 
+@register("diagnosis_by_folded_code")
+def q_diagnosis_by_folded_code(spark, sf_dir):
+    """Codes written in either case counted as one, as the template groups them."""
+    t = _dx(spark, sf_dir)
+    rows = diagnosis.diagnosis_rows(t, EVENT_START, EVENT_END)
+    mixed = F.when(F.col("hn") % 2 == 0, F.lower("diagnosis_code")).otherwise(F.col("diagnosis_code"))
+    out = diagnosis.diagnosis_by_gender(rows.withColumn("diagnosis_code", mixed), t.patient, "UTF8_LCASE")
+    return out.select(F.upper("diagnosis_code").alias("diagnosis_code"), "male", "female", "total")
+
+
 @register("sort_text_date")
 def q_sort_text_date(spark, sf_dir):
     """O1: position in (hn, DD/MM/YYYY text) order, text compared as text."""

@@ -6,9 +6,10 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, TimestampNTZType, TimestampType
 
 from clinicflow.functions.dates import iso_instant_text
+from clinicflow.functions.expr import name_order
 from clinicflow.functions.labels import REPORT_TZ
 from clinicflow.operators.lineage import materialize
 from clinicflow.operators.ordering import global_row_number
@@ -81,7 +82,8 @@ def write_report(report, path: str, mode: str = "overwrite") -> None:
     Rows carry the report's presentation keys and no sort column. Content is written first; meta that depends on the rows is computed from
     the written content (``report.meta_fn``), so the fact pipeline runs once.
     """
-    order = [F.col(c).asc_nulls_last() for c in report.order]
+    text = {f.name for f in report.content.schema.fields if isinstance(f.dataType, StringType)}
+    order = [name_order(c, report.collation if c in text else None) for c in report.order]
     content = report.content.orderBy(*order) if order else report.content
     content = content.select(*[F.col(c).alias(k) for c, k in _printed(report).items()])
     write_json_lines(content, f"{path}/content", (), mode)
@@ -105,8 +107,11 @@ def write_document(report, path: str, mode: str = "overwrite", parts: int | None
     a part, written in order by the task that holds it. A row's comma stands
     before it, on all rows but number 1, so a part needs to know nothing of
     the others. No rows give ``report.empty`` (S8). Rows that tie in the report's order
-    are ordered by their other columns. Returns the files in order.
+    are ordered by their other columns. Returns the files in order. The order
+    is binary: a report with a collation (bounded by its names) goes through ``write_report``.
     """
+    if report.collation is not None:
+        raise ValueError("documents in parts are ordered by binary text; use write_report for a collation")
     spark = report.content.sparkSession
     rows = materialize(report.content, "document")
     order = list(report.order)
