@@ -7,11 +7,14 @@ room). A small network learns how the neighbours of a vector are spread over the
 parts. It puts every vector of the table into its most probable part, and sends
 each query to as many of its most probable parts as hold ``COVER`` of the
 probability (and enough vectors). There all vectors are ranked by their exact
-inner product in double precision.
+inner product in double precision. There are ``PARTS`` parts whatever the size of the
+table (fewer only where the sample is too small for them).
 
 Parts are searched in blocks of about ``BLOCK`` vectors and ``BLOCK`` queries, so a part
-that holds many copies is split over tasks; the best of each block are merged
-by query. With fewer than ``SMALL`` vectors there is one part, and the result is exact.
+that holds many copies is split over tasks. A query asks its blocks in turns, the most
+probable first, ``GROWTH`` times as many in each turn as in all before. It takes its
+k-th best score so far along, and a block returns only what reaches it; so each turn
+returns a few times k rows a query, however many blocks it asks.
 
 Vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part; nor do null ids. Rows that repeat an id count
@@ -33,9 +36,9 @@ NEIGHBOURS = 20
 EVERY = 20
 SAMPLE = 4000
 GRAPH = 20
-PART = 800
-MOST_PARTS = 64
-SMALL = 2000
+PARTS = 64
+FIRST = 2
+GROWTH = 8
 COVER = 0.95
 BLOCK = 2000
 SLACK = 1.15
@@ -133,10 +136,10 @@ class Router:
         return self._softmax(np.maximum(z @ self.weights[0] + self.weights[1], 0) @ self.weights[2] + self.weights[3])
 
 
-def fit(sample: np.ndarray, n_vectors: int) -> Router | None:
-    """The router of a table of ``n_vectors``, from a sample of it; None where one part is enough."""
-    parts = int(min(MOST_PARTS, n_vectors // PART, len(sample) // (2 * GRAPH)))
-    if n_vectors < SMALL or parts < 2:
+def fit(sample: np.ndarray) -> Router | None:
+    """The router of a table, from a sample of it; None where the sample has no room for two parts."""
+    parts = min(PARTS, len(sample) // (2 * GRAPH))
+    if parts < 2:
         return None
     graph = neighbour_graph(sample, GRAPH)
     part = balanced_parts(sample, graph, parts)
@@ -164,20 +167,27 @@ def _vectors(packed) -> np.ndarray:
     return np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), -1)
 
 
-def best_of_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
-    """The k best candidate ids of each query, each by its best row; ties to the smaller id; scores are summed alike for equal vectors."""
+def best_of_block(q_ids, q, c_ids, c, k: int, least: np.ndarray | None = None) -> pd.DataFrame:
+    """The k best candidate ids of each query, each by its best row; ties to the smaller id; scores are summed alike for equal vectors.
+
+    ``least``: the score that a candidate must reach, for each query.
+    """
+    least = np.full(len(q_ids), -np.inf) if least is None else least
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
     starts = np.flatnonzero(np.r_[True, c_ids[1:] != c_ids[:-1]])
     found, scores = [], []
     for i, s in enumerate(q @ c.T):
         s[c_ids == q_ids[i]] = -np.inf
+        if least[i] > -np.inf:
+            s[s < least[i] - 1e-9 * (1 + abs(least[i]))] = -np.inf
         if len(starts) > k:
             best = np.maximum.reduceat(s, starts)
             limit = np.partition(best, len(best) - k)[len(best) - k]
             s[s < limit - 1e-9 * (1 + abs(limit))] = -np.inf
         near = np.flatnonzero(s > -np.inf)
         exact = (c[near] * q[i]).sum(axis=1)
+        near, exact = near[exact >= least[i]], exact[exact >= least[i]]
         first = np.argsort(-exact, kind="stable")
         first = first[np.sort(np.unique(c_ids[near[first]], return_index=True)[1])[:k]]
         found.append(c_ids[near[first]])
@@ -204,9 +214,10 @@ def search(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("v") == lengths["n"])
     total = lengths["count"]
-    share = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.filter(share < SAMPLE / total).select("v").limit(2 * SAMPLE).toPandas()["v"]
-    router = fit(np.array(drawn.tolist()), total) if len(drawn) else None
+    # The sample holds an id once, however often its rows repeat.
+    draw = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.filter(draw < 2 * SAMPLE / total).groupBy("id").agg(F.min("v").alias("v")).orderBy(draw, "id").limit(SAMPLE).toPandas()
+    router = fit(np.array(drawn["v"].tolist())) if len(drawn) else None
     shared = spark.sparkContext.broadcast(router)  # a few hundred kB
 
     def assign(batches):
@@ -224,40 +235,51 @@ def search(
     ids = {r["part"]: r["count"] for r in placed.groupBy("id").agg(F.min("part").alias("part")).groupBy("part").count().collect()}
     counts = np.array([ids.get(p, 0) for p in range(parts if router is None else router.weights[3].size)])
 
+    blocks = [-(-held.get(p, 0) // BLOCK) for p in range(len(counts))]
+
     def route(batches):
         model = shared.value
         for batch in batches:
             v = _vectors(batch.column(1))
             to = routes(model.probabilities(v), counts, 4 * k) if model else [np.zeros(1, np.int64)] * len(v)
-            lists = pa.array([t.astype(np.int32).tolist() for t in to], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "v", "parts"])
-
-    asked = placed.filter(F.col("id") % every == 0).select("id", "v").mapInArrow(route, "id long, v binary, parts array<int>")
-    asked = written(asked.select("id", "v", F.explode("parts").alias("part")), "queries")
-    asking = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}
-    blocks = F.create_map(*[F.lit(x) for p, n in held.items() for x in (p, -(-n // BLOCK))])
-    chunks = F.create_map(*[F.lit(x) for p in held for x in (p, -(-asking.get(p, 0) // BLOCK))])
-    of = lambda n: F.sequence(F.lit(0), n.cast("int") - 1)
-    block = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), n.cast("long")).cast("int")
-    candidates = (
-        placed.filter(chunks[F.col("part")] > 0)
-        .withColumn("block", block(blocks[F.col("part")]))
-        .withColumn("chunk", F.explode(of(chunks[F.col("part")])))
-    )
-    queries = (
-        asked.filter(blocks[F.col("part")] > 0)
-        .withColumn("chunk", block(chunks[F.col("part")]))
-        .withColumn("block", F.explode(of(blocks[F.col("part")])))
-    )
+            visits = [[{"part": int(p), "block": b} for p in t for b in range(blocks[p])] for t in to]
+            kind = pa.list_(pa.struct([("part", pa.int32()), ("block", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(visits, kind)], names=["id", "v", "visits"])
+
+    asked = placed.filter(F.col("id") % every == 0).select("id", "v")
+    asked = asked.mapInArrow(route, "id long, v binary, visits array<struct<part:int,block:int>>")
+    asked = written(asked.select("id", "v", F.posexplode("visits").alias("turn", "visit")).select("id", "v", "turn", "visit.*"), "queries")
+    last = asked.agg(F.max("turn")).first()[0]
+    number = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), n.cast("long")).cast("int")
+    in_part = F.create_map(*[F.lit(x) for p, n in enumerate(blocks) for x in (p, max(n, 1))])
+    stored = placed.withColumn("block", number("block", in_part[F.col("part")]))
 
     def rank(left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+        least = left["least"].fillna(-np.inf).to_numpy(np.float64)
         q, c = _vectors(list(left["v"])), _vectors(list(right["v"]))
-        return best_of_block(left["id"].to_numpy(), q, right["id"].to_numpy(), c, k)
+        return best_of_block(left["id"].to_numpy(), q, right["id"].to_numpy(), c, k, least)
 
     keys = ["part", "block", "chunk"]
-    ranked = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(rank, "query_id long, vec_id long, score double")
-    once = ranked.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return once.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found, begin, end = None, 0, FIRST
+    while last is not None and begin <= last:
+        turn = asked.filter((F.col("turn") >= begin) & (F.col("turn") < end)).drop("turn")
+        if found is None:
+            turn = turn.withColumn("least", F.lit(None).cast("double"))
+        else:
+            reached = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+            turn = turn.join(reached, "id", "left")
+        # Queries of a block are dealt into chunks; the block goes to each of them.
+        chunks = F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")
+        sizes = written(turn.groupBy("part", "block").agg(chunks), "chunks")
+        queries = turn.join(sizes, ["part", "block"]).withColumn("chunk", number("chunk", F.col("chunks"))).drop("chunks")
+        candidates = stored.join(sizes, ["part", "block"])
+        candidates = candidates.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+        ranked = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(rank, "query_id long, vec_id long, score double")
+        both = ranked if found is None else ranked.unionByName(found.drop("rank"))
+        once = both.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        found = written(once.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+        begin, end = end, end * GROWTH
+    return found if found is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

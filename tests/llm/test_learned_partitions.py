@@ -29,7 +29,9 @@ def rows_of(df):
     return out
 
 
-def test_small_table_is_exact_with_ties_and_unusable_rows(spark):
+def test_one_part_is_exact_with_ties_and_unusable_rows(spark, monkeypatch):
+    monkeypatch.setattr(op, "PARTS", 1)  # every vector is ranked: what is left out can only come from the ranking
+    monkeypatch.setattr(op, "BLOCK", 40)
     rnd = np.random.default_rng(1)
     rows = [(i, rnd.normal(size=5).round(2).tolist()) for i in range(150)]
     rows += [(200 + i, rows[3][1]) for i in range(30)] + [(40, rows[40][1])]
@@ -49,7 +51,8 @@ def test_fewer_candidates_than_asked_and_empty(spark):
     assert op.search(df.filter("vec_id = 0")).collect() == []
 
 
-def test_repeated_rows_take_no_place(spark):
+def test_repeated_rows_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(op, "PARTS", 1)
     rnd = np.random.default_rng(3)
     rows = 2 * [(i, rnd.normal(size=5).round(2).tolist()) for i in range(100)]
     rows += 30 * [(200, rows[20][1])] + [(200 + i, rows[20][1]) for i in range(1, 4)]
@@ -60,8 +63,7 @@ def test_repeated_rows_take_no_place(spark):
 
 
 def test_recall_with_parts_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(op, "SMALL", 500)
-    monkeypatch.setattr(op, "PART", 200)
+    monkeypatch.setattr(op, "PARTS", 6)
     monkeypatch.setattr(op, "BLOCK", 90)
     rnd = np.random.default_rng(2)
     centres = rnd.normal(size=(12, 16))
@@ -83,3 +85,27 @@ def test_recall_of_the_query(spark):
     want = brute(rows, 20, 20)
     assert got.keys() == want.keys()
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_recall_at_fifty_thousand_vectors():
+    """Parts asked as the query does, against brute force, on an even sphere, on clusters and with many copies."""
+    rnd = np.random.default_rng(5)
+    sphere = lambda n: (x := rnd.normal(size=(n, 64))) / np.linalg.norm(x, axis=1, keepdims=True)
+    even = sphere(50_000)
+    clustered = sphere(300)[rnd.integers(0, 300, 50_000)] + 0.05 * rnd.normal(size=(50_000, 64))
+    copied = sphere(50_000)
+    copied[::3] = copied[0]
+    for name, x in (("even", even), ("clustered", clustered), ("copied", copied)):
+        router = op.fit(x[rnd.choice(len(x), op.SAMPLE, replace=False)])
+        part = router.probabilities(x).argmax(axis=1)
+        counts = np.bincount(part, minlength=op.PARTS)
+        asked = rnd.choice(len(x), 150, replace=False)
+        recall = []
+        for q, to in zip(asked, op.routes(router.probabilities(x[asked]), counts, 80)):
+            s = x @ x[q]
+            s[q] = -np.inf
+            limit = np.partition(s, -20)[-20]
+            near = s >= limit - 1e-12
+            seen = np.isin(part, to)
+            recall.append(min(20, (near & seen).sum()) / 20)
+        assert np.mean(recall) >= 0.9, (name, np.mean(recall))
