@@ -1,104 +1,174 @@
-"""Links inside buckets of candidates, without all pairs of a large bucket."""
+"""Links inside buckets of candidate sets, without all pairs of a large bucket."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinicflow.llm.common import written
 from clinicflow.llm.components import connected_components
 
-SMALL_BUCKET = 32
-LEADERS = 8
+STAR_ROUNDS = 3
+SIZE_STEP = 1.05
 ROUNDING = 1e-9
 
 
 def with_leaders(members: DataFrame) -> DataFrame:
     """``members`` (bucket, node; distinct) of buckets with several nodes, with size n, score and leader.
 
-    A node's score is the sum of its buckets' sizes; a bucket's leader is its node of highest score. The original
-    of a group of near copies shares more with the rest than the copies do, so it leads its buckets.
+    A node's score is the sum of its buckets' sizes. The original of a group of near copies shares more with the
+    rest than the copies do, so it has the highest score of its buckets. A bucket of copies without the original
+    is led by it too: its own node of highest score names the best node that it shares a bucket with.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = written(members.join(sizes, "bucket").select("bucket", "node", "n"), "members")
     scores = members.groupBy("node").agg(F.sum("n").alias("score"))
     members = members.join(scores, "node")
-    leaders = members.groupBy("bucket").agg(F.max_by("node", F.struct("score", "node")).alias("leader"))
+    best = members.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("best"))
+    above = members.join(best, "bucket").groupBy("node").agg(F.max("best").alias("above"))
+    leaders = best.join(above, best["best.node"] == above["node"]).select("bucket", F.col("above.node").alias("leader"))
     return members.join(leaders, "bucket").select("bucket", "node", "leader", "n", "score")
 
 
-def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], limit: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (``u``, ``v``; u > v) of nodes in a common bucket at a distance of at most ``limit``, and their components (node, component).
+def shared_cells(left: bytes, right: bytes) -> int:
+    """How many cells two sorted lists of distinct 64-bit cells share."""
+    both = np.concatenate([np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
 
-    ``members``: from ``with_leaders``, written. ``judge`` gets distinct pairs (u, v; u > v) and returns them with their distance
-    ``d``, which must be a metric; it may leave out pairs beyond the limit.
 
-    Every node is compared with its bucket's leader. A node that is then in another component than the leader is
-    open in this bucket. In a bucket of at most SMALL_BUCKET nodes it is compared with all others of other
-    components; in a larger one, the open nodes become leaders in turn (first about LEADERS at a time, then four times
-    as many in each round), until each is in the leader's component or has been compared with the whole bucket.
-    Pairs whose distances to the bucket's leader differ by more than the limit are left out: by the triangle
-    inequality they are further apart than it. So the components are those of all passing pairs. The links are not
-    all passing pairs: those between two nodes that other links have put into one component are mostly not asked.
+def bucket_links(members: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (``u``, ``v``; u > v) of nodes in a common bucket with a Jaccard similarity of ``threshold`` or more, and their components (node, component).
+
+    ``members``: from ``with_leaders``, written. ``sets``: (node, cells), sorted distinct 64-bit cells as binary.
+
+    1. Every node is compared with its bucket's leader. A node that is then in
+       another component than the leader is *open* in this bucket.
+    2. Stars: the open node of highest score leads the other open nodes, while that
+       links some, STAR_ROUNDS times at most.
+    3. What is still open meets other members only where the two can be similar.
+       Write x and y for the sets, b for the leader's, a = t / (1 + t): x and y
+       are similar if they share a (|x| + |y|) cells. Of those in b they share no
+       more than the smaller of |x & b| and |y & b|. Either this is enough
+       (then both have nearly all their cells in b: they meet by size classes),
+       or they share cells outside of b, at least the difference: then they share one
+       of the first few of their cells outside of b, in any fixed order (prefix
+       filter). Near copies that were changed independently share no such cells.
+
+    So the components are those of all passing pairs, whatever the size of a bucket. The links are not all passing pairs:
+    those between two nodes that other links have put into one component are mostly not asked.
     """
-    asked = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    judged = written(judge(_pairs(asked)), "judged")
-    links = judged.filter(F.col("d") <= limit).select("u", "v")
-    members = written(_with_distance(members, judged), "distances")
+    t = threshold
+    known = written(_measured(members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")), sets), "measured")
+    links = _passing(known, t)
     component = connected_components(links, "bucket-components")
-    marked = written(_marked(members, component), "marked")
-    open_ = marked.filter("c <> leader_c")
-    unclear = marked.filter(F.col("n") <= SMALL_BUCKET).join(open_.select("bucket").distinct(), "bucket", "left_semi")
-    left = unclear.filter("c <> leader_c").select("bucket", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("dl").alias("du"))
-    right = unclear.filter("node <> leader").select("bucket", F.col("node").alias("v"), F.col("c").alias("cv"), F.col("dl").alias("dv"))
-    near = F.coalesce(F.abs(F.col("du") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
-    few = left.join(right, "bucket").filter((F.col("cu") != F.col("cv")) & near).select("u", "v")
-    more = written(_passing(judge(_pairs(few)), limit), "judged")
-    large = members.filter(F.col("n") > SMALL_BUCKET)
-    used, parts = None, LEADERS
-    while True:
-        if not more.isEmpty():
-            links = written(links.unionByName(more).distinct(), "links")
-            # The new links join components: nodes are replaced by what they already belong to.
-            between = _moved(_moved(more, component, "u"), component, "v")
-            joined = connected_components(between, "bucket-components")
-            component = written(_joined(component, joined), "bucket-components")
-            marked = written(_marked(large, component), "marked")
-        else:
-            marked = marked.filter(F.col("n") > SMALL_BUCKET)
+    for _ in range(STAR_ROUNDS):
+        marked = written(_marked(members, component), "marked")
         open_ = marked.filter("c <> leader_c")
-        if used is not None:
-            open_ = open_.join(used, ["bucket", "node"], "left_anti")
-        part = F.pmod(F.xxhash64("node"), F.lit(parts))  # alike in all buckets, so that a pair is asked once
-        leaders = open_.groupBy("bucket", part.alias("part")).agg(F.max_by("node", F.struct("score", "node")).alias("node"))
-        leaders = leaders.join(open_.select("bucket", "node", F.col("c").alias("cv"), F.col("dl").alias("dv")), ["bucket", "node"])
-        leaders = leaders.select("bucket", F.col("node").alias("v"), "cv", "dv")
-        leaders = written(leaders, "leaders")
-        if leaders.isEmpty():
-            return links, component
-        near = F.coalesce(F.abs(F.col("dl") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
-        asked = marked.filter("node <> leader").join(leaders, "bucket").filter((F.col("c") != F.col("cv")) & near)
-        more = written(_passing(judge(_pairs(asked.select(F.col("node").alias("u"), "v"))), limit), "judged")
-        mine = leaders.select("bucket", F.col("v").alias("node"))
-        used = mine if used is None else written(used.unionByName(mine), "used")
-        parts *= 4
-
-
-def _pairs(asked: DataFrame) -> DataFrame:
-    return asked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-
-def _passing(judged: DataFrame, limit: float) -> DataFrame:
-    return judged.filter(F.col("d") <= limit).select("u", "v")
-
-
-def _with_distance(members: DataFrame, judged: DataFrame) -> DataFrame:
-    """``members`` with the distance to the bucket's leader (dl; null where the judge left the pair out)."""
-    known = judged.select(F.col("u").alias("x"), F.col("v").alias("y"), "d")
-    out = members.withColumn("x", F.greatest("node", "leader")).withColumn("y", F.least("node", "leader"))
-    return out.join(known, ["x", "y"], "left").withColumnRenamed("d", "dl").drop("x", "y")
+        star = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "c"), F.struct("score", "node")).alias("head"))
+        asked = open_.join(star, "bucket").filter(F.col("c") != F.col("head.c")).select(F.col("node").alias("u"), F.col("head.node").alias("v"))
+        more = written(_passing(_measured(asked, sets), t), "star-links")
+        if more.isEmpty():
+            break
+        links, component = _with_links(links, component, more)
+    marked = written(_marked(members, component), "marked")
+    pairs = _meeting(marked, known, sets, t)
+    more = written(_passing(_measured(pairs, sets), t), "met-links")
+    if not more.isEmpty():
+        links, component = _with_links(links, component, more)
+    return links, component
+
+
+def _measured(asked: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs (u, v; u > v) with their sizes ``nu``, ``nv`` and the number of ``shared`` cells."""
+    pairs = asked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("cells").alias("a")), "u")
+    both = with_u.join(sets.select(F.col("node").alias("v"), F.col("cells").alias("b")), "v")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(2), batch.column(3)
+            shared = [shared_cells(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)]
+            sizes = [pa.array([x.as_buffer().size // 8 for x in c], pa.int64()) for c in (a, b)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *sizes, pa.array(shared, pa.int64())], names=["u", "v", "nu", "nv", "shared"]
+            )
+
+    return both.select("u", "v", "a", "b").mapInArrow(measure, "u long, v long, nu long, nv long, shared long")
+
+
+def similar(shared: Column, nu: Column, nv: Column, threshold: float) -> Column:
+    return shared / F.greatest(nu + nv - shared, F.lit(1)) >= threshold
+
+
+def _passing(measured: DataFrame, threshold: float) -> DataFrame:
+    return measured.filter(similar(F.col("shared"), F.col("nu"), F.col("nv"), threshold)).select("u", "v")
+
+
+def _meeting(marked: DataFrame, known: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """Pairs (u, v) of an open node and a member of the same leader in another component that can be similar."""
+    groups = marked.filter("node <> leader").select("leader", "node", "c", (F.col("c") != F.col("leader_c")).alias("open")).distinct()
+    groups = groups.join(groups.filter("open").select("leader").distinct(), "leader", "left_semi")
+    of = known.select(F.col("u").alias("x"), F.col("v").alias("y"), "nu", "nv", "shared")
+    groups = groups.withColumn("x", F.greatest("node", "leader")).withColumn("y", F.least("node", "leader")).join(of, ["x", "y"])
+    size = F.when(F.col("node") == F.col("x"), F.col("nu")).otherwise(F.col("nv")).alias("size")
+    groups = written(groups.select("leader", "node", "c", "open", size, "shared"), "open-groups")
+    return _by_size(groups, t).unionByName(_by_cells(groups, sets, t)).distinct()
+
+
+def _by_size(groups: DataFrame, t: float) -> DataFrame:
+    """Pairs whose cells in the leader's set can be enough: (1 + t) min(|x & b|, |y & b|) >= t (|x| + |y|)."""
+    most = (F.col("shared") * (1 + t) / t - F.col("size") + ROUNDING).alias("most")  # the greatest size of a partner
+    able = groups.select("leader", "node", "c", "open", "size", most).filter(F.col("most") >= t * F.col("size") - ROUNDING)
+    step = lambda size: F.floor(F.log(size) / math.log(SIZE_STEP)).cast("int")
+    first, last = step(F.greatest(t * F.col("size") - ROUNDING, F.lit(1.0))), step(F.greatest(F.least(F.col("most"), F.col("size") / t + ROUNDING), F.lit(1.0)))
+    left = able.filter("open").withColumn("step", F.explode(F.sequence(first, F.greatest(first, last))))
+    left = left.select("leader", "step", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("size").alias("su"), F.col("most").alias("mu"))
+    right = able.select("leader", step(F.col("size").cast("double")).alias("step"), F.col("node").alias("v"), "c", "size", "most")
+    fits = (F.col("size") <= F.col("mu")) & (F.col("su") <= F.col("most")) & (F.col("c") != F.col("cu"))
+    return left.join(right, ["leader", "step"]).filter(fits).select("u", "v")
+
+
+def _by_cells(groups: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """Pairs that share one of their first cells outside of the leader's set.
+
+    A partner has t |x| cells or more, so x shares at least t |x| - |x & b| cells outside of b with it, and at
+    least one: all but so many less one of its cells there can be left out, from the end of a fixed order.
+    """
+    least = F.greatest(F.lit(1), F.ceil(t * F.col("size") - F.col("shared") - ROUNDING)).cast("int").alias("least")
+    wanted = groups.select("leader", "node", least).join(sets.select("node", F.col("cells").alias("a")), "node")
+    wanted = wanted.join(sets.select(F.col("node").alias("leader"), F.col("cells").alias("b")), "leader")
+
+    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = []
+            for a, b, least in zip(batch.column(3), batch.column(4), batch.column(2).to_pylist()):
+                cells = np.setdiff1d(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), assume_unique=True)
+                own.append(cells[: max(0, len(cells) - least + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["leader", "node", "own"])
+
+    own = wanted.select("leader", "node", "least", "a", "b").mapInArrow(outside, "leader long, node long, own array<long>")
+    own = own.join(groups.select("leader", "node", "c", "open"), ["leader", "node"])
+    own = written(own.select("leader", "node", "c", "open", F.explode("own").alias("cell")), "own-cells")
+    # Most such cells stand in one set only: these go before the sets meet.
+    met = own.groupBy("leader", "cell").agg(F.count("*").alias("n"), F.bool_or("open").alias("any"), F.min("c").alias("c1"), F.max("c").alias("c2"))
+    met = met.filter("n > 1 and any and c1 <> c2").select("leader", "cell")
+    own = own.join(met, ["leader", "cell"], "left_semi")
+    left = own.filter("open").select("leader", "cell", F.col("node").alias("u"), F.col("c").alias("cu"))
+    right = own.select("leader", "cell", F.col("node").alias("v"), "c")
+    return left.join(right, ["leader", "cell"]).filter("c <> cu").select("u", "v")
+
+
+def _with_links(links: DataFrame, component: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components with more links: nodes are replaced by what they already belong to, and these joined."""
+    between = _moved(_moved(more, component, "u"), component, "v")
+    joined = connected_components(between, "bucket-components")
+    return written(links.unionByName(more).distinct(), "links"), written(_joined(component, joined), "bucket-components")
 
 
 def _moved(pairs: DataFrame, component: DataFrame, end: str) -> DataFrame:

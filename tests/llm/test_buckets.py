@@ -1,0 +1,103 @@
+"""Components of large buckets against all pairs, and how few pairs they need."""
+
+import random
+
+import numpy as np
+import pytest
+
+from clinicflow.llm import buckets as op
+from clinicflow.llm.common import written
+
+
+def packed(cells):
+    return np.sort(np.array(sorted(cells), np.uint64)).tobytes()
+
+
+def frames(spark, sets, buckets):
+    members = spark.createDataFrame([(b, i) for b, nodes in enumerate(buckets) for i in nodes], "bucket long, node long")
+    table = spark.createDataFrame([(i, bytearray(packed(c))) for i, c in enumerate(sets)], "node long, cells binary")
+    return written(op.with_leaders(members), "test-members"), written(table, "test-sets")
+
+
+def all_pairs(sets, buckets, t):
+    """The component (smallest node) of each linked node, by comparing all pairs of every bucket."""
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for nodes in buckets:
+        for i in nodes:
+            for j in nodes:
+                if j < i and len(sets[i] & sets[j]) / max(len(sets[i] | sets[j]), 1) >= t:
+                    a, b = sorted((find(i), find(j)))
+                    parent[b] = a
+    groups = {}
+    for i in range(len(sets)):
+        groups.setdefault(find(i), []).append(i)
+    return {i: min(g) for g in groups.values() if len(g) > 1 for i in g}
+
+
+def changed(rnd, base, replaced, dropped=0):
+    out = set(base)
+    for c in rnd.sample(sorted(out), min(len(out) - 1, replaced + dropped)):
+        out.discard(c)
+    return out | {rnd.getrandbits(63) for _ in range(replaced)}
+
+
+def corpora():
+    return list(_corpora())
+
+
+def _corpora():
+    rnd = random.Random(11)
+    base = {rnd.getrandbits(63) for _ in range(140)}
+    yield "independent changes", [base] + [changed(rnd, base, rnd.choice([0, 2, 8, 14, 17, 25, 40, 70])) for _ in range(220)]
+    second = changed(rnd, base, 40)
+    third = changed(rnd, second, 30)
+    mixed = [changed(rnd, b, rnd.choice([1, 9, 15, 22])) for b in (base, second, third) for _ in range(60)]
+    yield "groups around other centres", [base, *mixed, second, third]
+    yield "shortened", [base] + [changed(rnd, base, rnd.choice([0, 3]), rnd.choice([0, 10, 25, 40, 60, 90])) for _ in range(150)]
+    chain = [base]
+    for _ in range(60):
+        chain.append(changed(rnd, chain[-1], 14))
+    yield "a chain", chain
+    yield "tiny sets", [{rnd.randrange(6) for _ in range(rnd.choice([1, 2, 4, 5]))} for _ in range(80)]
+    yield "repeated and empty", [base, set(base), set(), set(), {1}, {1}] + [changed(rnd, base, 30)] * 3
+
+
+@pytest.mark.parametrize("name, sets", corpora(), ids=lambda x: x if isinstance(x, str) else "")
+def test_components_equal_all_pairs(spark, name, sets):
+    rnd = random.Random(12)
+    everyone = list(range(len(sets)))
+    buckets = [everyone, rnd.sample(everyone, len(sets) // 2), rnd.sample(everyone, len(sets) // 3), everyone[:2], [0]]
+    members, table = frames(spark, sets, buckets)
+    links, component = op.bucket_links(members, table, 0.8)
+    assert {r.node: r.component for r in component.collect()} == all_pairs(sets, buckets, 0.8)
+    for r in links.collect():
+        assert len(sets[r.u] & sets[r.v]) / len(sets[r.u] | sets[r.v]) >= 0.8 and r.u > r.v
+
+
+def test_independent_changes_ask_few_pairs(spark):
+    """A group of near copies led by their original, half of them too far from it: pairs grow with the group at most."""
+    rnd = random.Random(13)
+    base = {rnd.getrandbits(63) for _ in range(140)}
+    counts = []
+    for n in (100, 400):
+        sets = [base] + [changed(rnd, base, rnd.choice([3, 10, 20, 35, 60])) for _ in range(n)]
+        members, table = frames(spark, sets, [list(range(n + 1)), [0, 1, 2], [0, 3, 4]])
+        members = members.filter("bucket = 0")
+        known = written(op._measured(members.filter("node <> leader").selectExpr("node AS u", "leader AS v"), table), "test-known")
+        component = op.connected_components(op._passing(known, 0.8))
+        marked = written(op._marked(members, component), "test-marked")
+        assert known.count() == n and marked.filter("c <> leader_c").count() > n / 2
+        counts.append(op._meeting(marked, known, table, 0.8).count())
+    assert counts[1] <= 4 * counts[0] + 20, counts
+
+
+def test_a_bucket_without_the_original_is_led_by_it(spark):
+    members = spark.createDataFrame([(0, i) for i in range(6)] + [(1, 0), (1, 7), (4, 0), (4, 6), (2, 3), (2, 4), (3, 8), (3, 9)], "bucket long, node long")
+    leaders = {(r.bucket, r.leader) for r in op.with_leaders(members).collect()}
+    assert leaders == {(0, 0), (1, 0), (2, 0), (3, 9), (4, 0)}
