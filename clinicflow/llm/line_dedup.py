@@ -167,13 +167,18 @@ def _names() -> list[Column]:
 def _links(lines: DataFrame, threshold: int) -> DataFrame:
     """Verified pairs (u, v; u > v) of different lines."""
     line, n = F.col("line"), F.col("n")
-    indexed = lines.select("node", "n", F.explode(index_keys(line, n, threshold)).alias("key"))
-    probing = lines.select(F.col("node").alias("other"), F.explode(probe_keys(line, n, threshold)).alias("key"))
+    indexed = lines.select("node", F.explode(index_keys(line, n, threshold)).alias("key"))
     hot = written(indexed.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > HOT).select("key"), "hot-segments")
+    # Lines that hold a hot segment find each other in the crowd: here they only meet the other lines.
+    holders = written(indexed.join(hot, "key", "left_semi").select("node").distinct(), "hot-holders")
+    marked = lines.join(holders.withColumn("crowd", F.lit(True)), "node", "left").withColumn("crowd", F.coalesce("crowd", F.lit(False)))
+    indexed = marked.select("node", "crowd", F.explode(index_keys(line, n, threshold)).alias("key"))
+    probing = marked.select(F.col("node").alias("other"), F.col("crowd").alias("other_crowd"), F.explode(probe_keys(line, n, threshold)).alias("key"))
     # Where a segment isn't hot, a probe meets at most HOT lines; a hot one is met once, as CROWD.
     # Lines probe their own segments too, so all lines that hold a hot segment meet it.
-    held = indexed.join(hot, "key", "left_anti").select("key", "node").unionByName(hot.select("key", F.lit(CROWD).cast("long").alias("node")))
-    met = held.join(probing, "key").filter("node <> other")
+    crowd = hot.select("key", F.lit(CROWD).cast("long").alias("node"), F.lit(False).alias("crowd"))
+    held = indexed.join(hot, "key", "left_anti").select("key", "node", "crowd").unionByName(crowd)
+    met = held.join(probing, "key").filter((F.col("node") != F.col("other")) & ~(F.col("crowd") & F.col("other_crowd")))
     met = written(met.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct(), "line-pairs")
     pairs, touched = met.filter(F.col("v") != CROWD), met.filter(F.col("v") == CROWD).select(F.col("u").alias("node"))
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -227,8 +232,23 @@ def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     return _near(both.filter(F.abs(F.char_length("a") - F.char_length("b")) <= threshold), threshold)
 
 
+def plausible(left: Column, right: Column, threshold: int) -> Column:
+    """True for every pair of lines within ``threshold`` edits, and few others.
+
+    The shorter line is cut into 2 * threshold + 1 pieces; an edit touches one of them at most, so
+    threshold + 1 pieces or more stand unchanged somewhere in the longer line.
+    """
+    short = F.when(F.char_length(left) <= F.char_length(right), left).otherwise(right)
+    long = F.when(F.char_length(left) <= F.char_length(right), right).otherwise(left)
+    n, parts = F.char_length(short), 2 * threshold + 1
+    cut = [F.floor(n * i / parts).cast("int") for i in range(parts + 1)]
+    found = [F.contains(long, short.substr(a + 1, b - a)).cast("int") for a, b in zip(cut, cut[1:])]
+    return sum(found[1:], found[0]) > threshold
+
+
 def _near(both: DataFrame, threshold: int) -> DataFrame:
     """The pairs (u, v) of (u, v, a, b) whose lines a and b are near."""
+    both = both.filter(plausible(F.col("a"), F.col("b"), threshold))
     both = both.select("u", "v", code_points(F.col("a")).alias("a"), code_points(F.col("b")).alias("b"))
     # A row or none: a filter would be pushed below the code points and take them apart again at every step.
     near = within_distance(F.col("a"), F.col("b"), threshold)

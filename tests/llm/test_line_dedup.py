@@ -113,6 +113,21 @@ def test_automaton_equals_edit_distance(spark):
             assert r.near == (distance(r.a, r.b) <= threshold), (r, threshold)
 
 
+def test_pieces_lose_no_near_pair(spark):
+    rnd = random.Random(6)
+    pairs = [("", ""), ("a", ""), ("ab", "ba"), ("é" * 9, "é" * 7), ("x" * 40, "y" * 40)]
+    for _ in range(600):
+        a = "".join(rnd.choice("abé ") for _ in range(rnd.randint(0, 40)))
+        pairs.append((a, edited(rnd, a, rnd.randint(0, 4))))
+    unlike = 0
+    for threshold in (1, 2):
+        rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", op.plausible(F.col("a"), F.col("b"), threshold).alias("p")).collect()
+        for r in rows:
+            assert r.p or distance(r.a, r.b) > threshold, (r, threshold)
+            unlike += not r.p
+    assert unlike > 100
+
+
 def test_removed_lines_leave_the_texts(spark):
     long = "this line is long enough to be compared"
     rows = [(1, f"{long}\nown words", "en", 5), (2, f"{long}!\nother words", "en", 5), (3, long, "en", 5), (4, None, "en", 0), (5, "", "en", 0), (6, "a\n\nb", "en", 4)]
