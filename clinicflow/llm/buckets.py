@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicflow.llm.common import written
@@ -57,8 +57,8 @@ def bucket_links(members: DataFrame, sets: DataFrame, threshold: float) -> tuple
        more than the smaller of |x & b| and |y & b|. Either this is enough
        (then both have nearly all their cells in b: they meet by size classes),
        or they share cells outside of b, at least the difference: then they share one
-       of the first few of their cells outside of b, in any fixed order (prefix
-       filter). Near copies that were changed independently share no such cells.
+       of the rarest few of their cells outside of b (prefix filter). Near copies
+       that were changed independently share none.
 
     So the components are those of all passing pairs, whatever the size of a bucket. The links are not all passing pairs:
     those between two nodes that other links have put into one component are mostly not asked.
@@ -135,32 +135,38 @@ def _by_size(groups: DataFrame, t: float) -> DataFrame:
 
 
 def _by_cells(groups: DataFrame, sets: DataFrame, t: float) -> DataFrame:
-    """Pairs that share one of their first cells outside of the leader's set.
+    """Pairs that share one of their rarest cells outside of the leader's set.
 
     A partner has t |x| cells or more, so x shares at least t |x| - |x & b| cells outside of b with it, and at
-    least one: all but so many less one of its cells there can be left out, from the end of a fixed order.
+    least one: all but so many less one of its cells there can be left out, from the end of a fixed order. The
+    order is by how many of the group hold a cell, so cells that many share are left out first, and most of the
+    others stand in one set only.
     """
     least = F.greatest(F.lit(1), F.ceil(t * F.col("size") - F.col("shared") - ROUNDING)).cast("int").alias("least")
-    wanted = groups.select("leader", "node", least).join(sets.select("node", F.col("cells").alias("a")), "node")
+    wanted = groups.filter(F.col("size") > F.col("shared")).select("leader", "node").join(sets.select("node", F.col("cells").alias("a")), "node")
     wanted = wanted.join(sets.select(F.col("node").alias("leader"), F.col("cells").alias("b")), "leader")
 
     def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = []
-            for a, b, least in zip(batch.column(3), batch.column(4), batch.column(2).to_pylist()):
-                cells = np.setdiff1d(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), assume_unique=True)
-                own.append(cells[: max(0, len(cells) - least + 1)].view(np.int64))
+            own = [
+                np.setdiff1d(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), assume_unique=True).view(np.int64)
+                for a, b in zip(batch.column(2), batch.column(3))
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["leader", "node", "own"])
 
-    own = wanted.select("leader", "node", "least", "a", "b").mapInArrow(outside, "leader long, node long, own array<long>")
-    own = own.join(groups.select("leader", "node", "c", "open"), ["leader", "node"])
-    own = written(own.select("leader", "node", "c", "open", F.explode("own").alias("cell")), "own-cells")
-    # Most such cells stand in one set only: these go before the sets meet.
-    met = own.groupBy("leader", "cell").agg(F.count("*").alias("n"), F.bool_or("open").alias("any"), F.min("c").alias("c1"), F.max("c").alias("c2"))
-    met = met.filter("n > 1 and any and c1 <> c2").select("leader", "cell")
-    own = own.join(met, ["leader", "cell"], "left_semi")
-    left = own.filter("open").select("leader", "cell", F.col("node").alias("u"), F.col("c").alias("cu"))
-    right = own.select("leader", "cell", F.col("node").alias("v"), "c")
+    own = written(wanted.select("leader", "node", "a", "b").mapInArrow(outside, "leader long, node long, own array<long>"), "own-cells")
+    # Cells of one set only need no row: the number of them counts in the order, before all others.
+    cells = own.select("leader", "node", F.explode("own").alias("cell"))
+    held = cells.groupBy("leader", "cell").agg(F.count("*").alias("held")).filter("held > 1")
+    common = written(cells.join(held, ["leader", "cell"]), "common-cells")
+    room = own.join(groups.select("leader", "node", "c", "open", least), ["leader", "node"])
+    number = common.groupBy("leader", "node").agg(F.count("*").alias("common"))
+    room = room.join(number, ["leader", "node"]).select("leader", "node", "c", "open", (F.col("common") - F.col("least") + 1).alias("room"))
+    place = F.row_number().over(Window.partitionBy("leader", "node").orderBy("held", "cell"))
+    first = common.withColumn("place", place).join(room, ["leader", "node"]).filter(F.col("place") <= F.col("room"))
+    first = written(first.select("leader", "cell", "node", "c", "open"), "first-cells")
+    left = first.filter("open").select("leader", "cell", F.col("node").alias("u"), F.col("c").alias("cu"))
+    right = first.select("leader", "cell", F.col("node").alias("v"), "c")
     return left.join(right, ["leader", "cell"]).filter("c <> cu").select("u", "v")
 
 
