@@ -179,7 +179,10 @@ def encode(
     spark = vectors.sparkSession
     ship(spark)
     rows, length = whole_vectors(vectors, id_col, vector_col, label_col, parts, scale)
-    first = rows.orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(entries).select("v").collect()
+    # The ids first, so that only the vectors up to the last one of them are sent to the driver.
+    ids = rows.select("vec_id").orderBy(F.col("vec_id").asc_nulls_last()).limit(entries).collect()
+    low = rows.filter(F.col("vec_id") <= F.lit(ids[-1][0])) if len(ids) == entries and ids[-1][0] is not None else rows
+    first = low.orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(entries).select("v").collect()
     id_kind, label_kind = (rows.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
     if not first:
         return spark.createDataFrame([], f"vec_id {id_kind}, code string, error long, label_error long, codebooks_sha256 string")

@@ -135,10 +135,13 @@ def _binary(values: np.ndarray) -> pa.Array:
 def _stored(rows: DataFrame, dims: int, bits: int) -> DataFrame:
     """The vectors with their approximations, written once."""
     spark = rows.sparkSession
-    ends = rows.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    ends = np.array(sorted((r.d, r.a, r.b) for r in ends.collect()), np.int64)  # a row per component
+    ends = rows.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count("*").alias("n"))
+    ends = np.array(sorted((r.d, r.a, r.b, r.n) for r in ends.collect()), np.int64)  # a row per component
+    # A share of the rows by hash, so that the tasks together send the driver few more rows than the sample holds.
     draw = F.xxhash64(F.col("vec_id").cast("string"), F.lit("cells"))
-    sample = np.array([r.v for r in rows.orderBy(draw, "v").limit(SAMPLE).select("v").collect()], np.int64)
+    share = F.pmod(draw, F.lit(1 << 30)) < 2 * SAMPLE / ends[0, 3] * (1 << 30)
+    drawn = rows.filter(F.coalesce(share, F.lit(False))).orderBy(draw, "v").limit(SAMPLE).select("v").collect()
+    sample = np.array([r.v for r in drawn] or [ends[:, 1], ends[:, 2]], np.int64)
     shared = spark.sparkContext.broadcast(Cells(sample, ends[:, 1], ends[:, 2], bits))
 
     def approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
