@@ -26,11 +26,15 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list:
     """Order keys that cut the rows into about ``buckets`` even ranges; fewer where keys are equal.
 
     A quantile sketch: the keys with the smallest hashes, a uniform sample of the
-    distinct keys that merges from task to task (each sends no more rows than the
-    sketch holds) and is the same on every run, however the rows are dealt.
+    distinct keys that merges from task to task and is the same on every run, however
+    the rows are dealt. Only about twice as many rows as it holds, by their hash
+    and the count of rows, leave the tasks, however many tasks there are.
     """
     size = min(SKETCH_PER_BUCKET * buckets, MOST_SKETCH_ROWS)
     keys = df.select(_order_key(df, columns).alias("key"), F.xxhash64(*columns).alias("hash"))
+    share = 2 * size / max(df.count(), 1)
+    if share < 1:
+        keys = keys.where(F.pmod("hash", F.lit(1 << 40)) < int(share * (1 << 40)))
     rows = sorted((_comparable(r.key), r.key) for r in keys.orderBy("hash", "key").limit(size).collect())
     cuts = [rows[len(rows) * i // buckets] for i in range(1, buckets)] if rows else []
     return [key for i, (order, key) in enumerate(cuts) if i == 0 or order != cuts[i - 1][0]]
