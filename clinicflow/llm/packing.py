@@ -8,13 +8,16 @@ region grows with the data, and every region is packed by ``ISLANDS`` population
 * a chromosome is a grouping of the region's pieces into bins; the first ones
   come from best-fit on decreasing and on disturbed orders;
 * crossover injects whole well-filled bins of one parent into the other, removes
-  the bins that then hold a piece twice, and puts their other pieces back by
-  best fit, largest first; fitness is the mean squared filling (Falkenauer);
+  the bins that then hold a piece twice, and puts their other pieces back, first
+  in place of smaller pieces of bins that they fill better, then by best fit,
+  largest first; mutation takes the emptiest bin and a few others apart and does
+  the same; fitness is the mean squared filling (Falkenauer). Generations end at
+  the bound of the sum, or when the best one hasn't improved for ``PATIENCE``;
 * after each epoch the elites of an island migrate to the next island of its region
   (a shuffle), and the islands go on with them.
 
-The best chromosome of each region wins. Bins that are then filled below
-``REPACK_BELOW`` are taken apart, and their pieces are packed again in new
+The best chromosome of each region wins. Bins that are then not full (below
+``REPACK_BELOW``) are taken apart, and their pieces are packed again in new
 regions, so that the loss doesn't grow with the number of regions.
 
 Null text counts as empty: such a document is its end id alone. Repeated rows
@@ -25,6 +28,7 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import zlib
@@ -33,6 +37,7 @@ from array import array
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,23 +45,49 @@ from clinicflow.llm.common import ship, written
 
 CAPACITY = 2048
 END_ID = 0
-REGION = 1500
+REGION = 4000
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 5
-GENERATIONS = 6
+GENERATIONS = 60
+PATIENCE = 12
 ELITES = 2
 INJECTED = 0.4
-REPACK_BELOW = 0.97
+MUTATED = 6
+REPACK_BELOW = 1.0
 CACHE_WORDS = 1_000_000
 
 # ---- tokenizing
 
 
+# Characters that NFC leaves alone and whose lower case is one character wherever they stand.
+_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+_PROBES = ("a b", "It's  12 o'clock,\nisn't it?", " x\n\ny ", "(a) - 'b' ... \u00e9t\u00e9 \u65e5\u672c", "3 4 56")
+
+
+class Remembered(dict):
+    """Ids of short strings, found once by ``find``; emptied when it is full."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.find(key)
+        if len(key) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class CachedTokenizer:
-    """Ids of whole texts from a tokenizers file whose pre-tokenizer never joins across blanks and line ends.
+    """Ids of whole texts from a tokenizers file.
 
-    Texts are cut there; ids of the parts are remembered in a bounded cache.
+    If the file's pre-tokenizer keeps the matches of one pattern and none holds a
+    blank, texts are cut at blanks and line ends, and plain parts into those
+    matches in lower case; ids of both are remembered in bounded caches. Texts go
+    through the library whole if the file is of another kind or the cut ones'
+    ids differ on probes.
     """
 
     def __init__(self, path: str):
@@ -65,22 +96,42 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = re.compile(r"[^ \n]+")
-        self.cache: dict[str, bytes] = {}
+        self.words = Remembered(self._whole_ids)
+        self.cache = Remembered(self._part_ids)
+        self.pattern = self._kept_pattern()
+        self.cuts = self.pattern is not None and all(self._cut_ids(t) == self._whole_ids(t) for t in _PROBES)
+
+    def _kept_pattern(self):
+        """The pattern whose matches are the file's words, if they are found in lower-case NFC text; else None."""
+        file = json.loads(self.tokenizer.to_str())
+        first = file.get("pre_tokenizer") or {}
+        first = (first.get("pretokenizers") or [first])[0]
+        added = [t for t in file.get("added_tokens") or [] if t.get("content")]
+        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or regex.search(r"\s", t["content"]) for t in added):
+            return None
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)", re.IGNORECASE)
+        normal = file.get("normalizer") or {}
+        kinds = {n.get("type") for n in normal.get("normalizers") or [normal]}
+        if first.get("behavior") != "Removed" or not first.get("invert") or kinds - {"NFC", "Replace", "Lowercase"} or "Lowercase" not in kinds:
+            return None
+        pattern = regex.compile((first.get("pattern") or {}).get("Regex") or "")
+        blank = any(regex.search(r"\s", m) for t in _PROBES for m in pattern.findall(t))
+        return None if blank or pattern.groups or pattern.search("") else pattern
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        parts = self.parts.findall(text or "")
-        got = list(map(self.cache.get, parts))
-        if None in got:
-            missing = list({p for p, g in zip(parts, got) if g is None})
-            if len(self.cache) + len(missing) > CACHE_WORDS:
-                self.cache.clear()
-                missing = list(set(parts))
-            encoded = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            fresh = {p: array("I", e.ids).tobytes() for p, e in zip(missing, encoded)}
-            self.cache.update((p, b) for p, b in fresh.items() if len(p) <= 64)
-            got = [fresh[p] if p in fresh else g for p, g in zip(parts, got)]
-        return b"".join(got)
+        return self._cut_ids(text or "") if self.cuts else self._whole_ids(text or "")
+
+    def _whole_ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _cut_ids(self, text: str) -> bytes:
+        return b"".join(map(self.cache.__getitem__, self.parts.findall(text)))
+
+    def _part_ids(self, part: str) -> bytes:
+        if _PLAIN.fullmatch(part) and not self.added.search(part):
+            return b"".join(map(self.words.__getitem__, self.pattern.findall(part.lower())))
+        return self._whole_ids(part)
 
 
 _tokenizers: dict[str, CachedTokenizer] = {}
@@ -177,16 +228,46 @@ def crossover(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, size_list:
     displaced = broken[left] & ~injected
     child = np.where(injected, right + (int(left.max()) + 1), left)
     settled = ~displaced
-    names, compact = np.unique(child[settled], return_inverse=True)
-    out = np.empty(len(left), np.int32)
+    return put_back(child, displaced, sizes, size_list, capacity)
+
+
+def mutate(bins: np.ndarray, sizes: np.ndarray, size_list: list[int], capacity: int, rnd) -> np.ndarray:
+    """The emptiest bin and a few others taken apart; their pieces return."""
+    filled = np.bincount(bins, weights=sizes)
+    held = np.flatnonzero(filled)
+    gone = np.zeros(len(filled), bool)
+    gone[held[np.argsort(filled[held], kind="stable")[:1]]] = True
+    gone[rnd.choice(held, min(len(held), int(rnd.integers(2, 2 + MUTATED))), replace=False)] = True
+    return put_back(bins, gone[bins], sizes, size_list, capacity)
+
+
+def put_back(bins: np.ndarray, displaced: np.ndarray, sizes: np.ndarray, size_list: list[int], capacity: int) -> np.ndarray:
+    """Displaced pieces put back: first in place of smaller ones that they fill a bin better than, the rest by best fit, largest first."""
+    settled = ~displaced
+    names, compact = np.unique(bins[settled], return_inverse=True)
+    out = np.empty(len(bins), np.int32)
     out[settled] = compact
-    room = capacity - np.bincount(compact, weights=sizes[settled], minlength=len(names)).astype(np.int64)
+    room = (capacity - np.bincount(compact, weights=sizes[settled], minlength=len(names))).astype(np.int64).tolist()
+    loose = sorted((size_list[i], int(i)) for i in np.flatnonzero(displaced))
+    if loose:
+        spare = np.array(room, np.int64)
+        kept = np.flatnonzero(settled)
+        least, most = sizes[kept] + 1, sizes[kept] + spare[compact]
+        held = np.array([size for size, _ in loose])
+        # Only pieces that a displaced one can replace, judged before the first exchange, are looked at.
+        for i in kept[np.searchsorted(held, most, side="right") > np.searchsorted(held, least)].tolist():
+            number, size = int(out[i]), size_list[i]
+            k = bisect.bisect_right(loose, (size + room[number], len(size_list))) - 1
+            if k >= 0 and loose[k][0] > size:
+                larger, other = loose.pop(k)
+                out[other] = number
+                room[number] -= larger - size
+                bisect.insort(loose, (size, i))
     space = Space(capacity)
     space.next = len(names)
-    space.rooms = sorted((int(r), b) for b, r in enumerate(room) if r)
-    loose = np.flatnonzero(displaced)
-    for i in loose[np.argsort(-sizes[loose], kind="stable")]:
-        out[i] = space.place(size_list[i])
+    space.rooms = sorted((r, b) for b, r in enumerate(room) if r)
+    for size, i in reversed(loose):
+        out[i] = space.place(size)
     return out
 
 
@@ -205,16 +286,20 @@ def evolve(population: list[np.ndarray], sizes: np.ndarray, capacity: int, rnd,
     least = -(-int(sizes.sum()) // capacity)
     ranked = sorted(((fitness(p, sizes, capacity), k, p) for k, p in enumerate(population)), key=lambda x: (-x[0], x[1]))
     number = len(ranked)
+    idle = 0
     for _ in range(generations):
-        if len(np.unique(ranked[0][2])) <= least:
+        if idle >= PATIENCE or len(np.unique(ranked[0][2])) <= least:
             break
+        before = ranked[0][0]
         for _ in range(max(1, POPULATION // 2)):
             a, b = rnd.choice(len(ranked), 2, replace=len(ranked) < 2)
             a, b = min(a, b), max(a, b)
-            child = crossover(ranked[b][2], ranked[a][2], sizes, size_list, capacity, rnd)
-            ranked.append((fitness(child, sizes, capacity), number, child))
-            number += 1
+            crossed = crossover(ranked[b][2], ranked[a][2], sizes, size_list, capacity, rnd)
+            for child in (crossed, mutate(ranked[a][2], sizes, size_list, capacity, rnd)):
+                ranked.append((fitness(child, sizes, capacity), number, child))
+                number += 1
         ranked = sorted(ranked, key=lambda x: (-x[0], x[1]))[:POPULATION]
+        idle = 0 if ranked[0][0] > before else idle + 1
     return [(f, p) for f, _, p in ranked]
 
 

@@ -24,7 +24,7 @@ def library_ids(library, text):
 
 def test_ids_equal_the_library(library):
     rnd = random.Random(3)
-    bits = [" ", "  ", "\n", "\t", " ", "́", "e", "É", "THE", "don't", "x'S", "12", "!!", "日本", "\U0001f9ff", "<|endoftext|>", "\x1c", "\x85", "ﬁ", "Σ", "σς"]
+    bits = [" ", "  ", "\n", "\t", " ", "́", "e", "É", "THE", "don't", "x'S", "it's,", "('ll", "ÜBER", "straße.", "ÀÉ", "\xa0", "\xad", "İ", "\u0301", "ǅ", "12", "!!", "日本", "\U0001f9ff", "<|endoftext|>", "\x1c", "\x85", "ﬁ", "Σ", "σς"]
     own = op.load(PATH)
     for _ in range(2000):
         text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 20)))
@@ -82,3 +82,71 @@ def test_query_over_the_whole_table(spark, library):
     rows = QUERIES["op6_packing"](spark, "/root/testdata/sf0.001").collect()
     texts = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     check(rows, texts, library, 2048)
+
+
+def triplets(rnd, n):
+    """Pieces that fill ``n`` sequences exactly, three in each: hard for best fit."""
+    first = rnd.integers(op.CAPACITY * 3 // 10, op.CAPACITY // 2, n)
+    second = rnd.integers(op.CAPACITY // 4, np.maximum((op.CAPACITY - first) // 2, op.CAPACITY // 4 + 1))
+    return np.sort(np.concatenate([first, second, op.CAPACITY - first - second]))[::-1]
+
+
+def test_evolution_needs_fewer_than_best_fit():
+    for seed in range(3):
+        sizes = triplets(np.random.default_rng(seed), 200)
+        plain = op.best_fit(sizes.tolist(), range(len(sizes)), op.CAPACITY)
+        best = op.evolve(op.first_population(sizes, op.CAPACITY, np.random.default_rng(1)), sizes, op.CAPACITY, np.random.default_rng(2))[0][1]
+        assert np.bincount(best, weights=sizes).max() <= op.CAPACITY
+        assert len(np.unique(best)) <= 206 < 220 < len(np.unique(plain))
+
+
+def test_mutation_and_exchange_keep_every_piece():
+    rnd = np.random.default_rng(5)
+    for _ in range(50):
+        sizes = rnd.integers(1, op.CAPACITY, int(rnd.integers(1, 60)))
+        bins = op.best_fit(sizes.tolist(), range(len(sizes)), op.CAPACITY)
+        child = op.mutate(bins, sizes, sizes.tolist(), op.CAPACITY, rnd)
+        assert len(child) == len(sizes) and child.min() >= 0
+        assert np.bincount(child, weights=sizes).max() <= op.CAPACITY
+
+
+def packed_sequences(spark, sizes):
+    cut = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = op.pack(cut).select("sequence_id", "offset", "length").collect()
+    assert sorted(r.length for r in rows) == sorted(sizes.tolist())
+    ends = defaultdict(list)
+    for r in rows:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    for places in ends.values():
+        places.sort()
+        assert [a for a, _ in places] == [0] + [b for _, b in places[:-1]] and places[-1][1] <= op.CAPACITY
+    return len(ends)
+
+
+def test_regions_lose_nothing_against_one_best_fit(spark):
+    rnd = np.random.default_rng(9)
+    sizes = np.minimum(rnd.geometric(1 / 500, 9000) + 1, op.CAPACITY - 1)
+    plain = op.best_fit(np.sort(sizes)[::-1].tolist(), range(len(sizes)), op.CAPACITY)
+    assert packed_sequences(spark, sizes) <= len(np.unique(plain))
+
+
+def test_spark_packs_better_than_best_fit(spark):
+    sizes = triplets(np.random.default_rng(3), 300)
+    plain = op.best_fit(sizes.tolist(), range(len(sizes)), op.CAPACITY)
+    assert packed_sequences(spark, sizes) < len(np.unique(plain)) - 20
+
+
+def test_other_tokenizers_go_through_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, other = op.CachedTokenizer(path), Tokenizer.from_file(path)
+    assert not own.cuts and op.load(PATH).cuts
+    for text in ("", "A b  c\n\nd", " it's\t(x) ", "über 日本"):
+        assert array("I", own.ids(text)).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_full_caches_are_emptied(monkeypatch, library):
+    monkeypatch.setattr(op, "CACHE_WORDS", 3)
+    own = op.CachedTokenizer(PATH)
+    text = " ".join(f"Wort{chr(97 + i % 26)}, don't ({i})" for i in range(60)) + " " + "x" * 5000
+    assert array("I", own.ids(text)).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(own.cache) <= 3 and len(own.words) <= 3
