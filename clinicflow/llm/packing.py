@@ -61,7 +61,7 @@ CACHE_WORDS = 1_000_000
 
 
 # Characters that NFC leaves alone and whose lower case is one character wherever they stand.
-_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+_PLAIN = frozenset(map(chr, (*range(0x21, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250))))
 _PROBES = ("a b", "It's  12 o'clock,\nisn't it?", " x\n\ny ", "(a) - 'b' ... \u00e9t\u00e9 \u65e5\u672c", "3 4 56")
 
 
@@ -83,11 +83,11 @@ class Remembered(dict):
 class CachedTokenizer:
     """Ids of whole texts from a tokenizers file.
 
-    If the file's pre-tokenizer keeps the matches of one pattern and none holds a
-    blank, texts are cut at blanks and line ends, and plain parts into those
-    matches in lower case; ids of both are remembered in bounded caches. Texts go
-    through the library whole if the file is of another kind or the cut ones'
-    ids differ on probes.
+    If the file's words are the matches of one pattern in lower case, none with a
+    blank, texts are cut at blanks and line ends, and plain parts into those words,
+    whose ids the library's model gives; ids of parts and words are remembered in
+    bounded caches. Texts go through the library whole if the file is of another
+    kind or the cut ones' ids differ on probes.
     """
 
     def __init__(self, path: str):
@@ -96,7 +96,8 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = re.compile(r"[^ \n]+")
-        self.words = Remembered(self._whole_ids)
+        self.model = self.tokenizer.model
+        self.words = Remembered(self._word_ids)
         self.cache = Remembered(self._part_ids)
         self.pattern = self._kept_pattern()
         self.cuts = self.pattern is not None and all(self._cut_ids(t) == self._whole_ids(t) for t in _PROBES)
@@ -105,18 +106,25 @@ class CachedTokenizer:
         """The pattern whose matches are the file's words, if they are found in lower-case NFC text; else None."""
         file = json.loads(self.tokenizer.to_str())
         first = file.get("pre_tokenizer") or {}
-        first = (first.get("pretokenizers") or [first])[0]
+        first, *others = first.get("pretokenizers") or [first]
+        if any(o.get("type") != "ByteLevel" or o.get("use_regex") or o.get("add_prefix_space") for o in others):
+            return None
         added = [t for t in file.get("added_tokens") or [] if t.get("content")]
         if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or regex.search(r"\s", t["content"]) for t in added):
             return None
-        self.added = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)", re.IGNORECASE)
+        self.added = re.compile("|".join(re.escape(t["content"].lower()) for t in added) or "(?!)")
         normal = file.get("normalizer") or {}
         kinds = {n.get("type") for n in normal.get("normalizers") or [normal]}
         if first.get("behavior") != "Removed" or not first.get("invert") or kinds - {"NFC", "Replace", "Lowercase"} or "Lowercase" not in kinds:
             return None
         pattern = regex.compile((first.get("pattern") or {}).get("Regex") or "")
         blank = any(regex.search(r"\s", m) for t in _PROBES for m in pattern.findall(t))
-        return None if blank or pattern.groups or pattern.search("") else pattern
+        if blank or pattern.groups or pattern.search(""):
+            return None
+        # What the file's byte level makes of each plain character.
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.bytes = {ord(c): "".join(w for w, _ in spell(c)) for c in {c.lower() for c in _PLAIN}}
+        return pattern
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -129,10 +137,14 @@ class CachedTokenizer:
         return b"".join(map(self.cache.__getitem__, self.parts.findall(text)))
 
     def _part_ids(self, part: str) -> bytes:
-        if _PLAIN.fullmatch(part) and not self.added.search(part):
-            return b"".join(map(self.words.__getitem__, self.pattern.findall(part.lower())))
+        low = part.lower()
+        if _PLAIN.issuperset(part) and not self.added.search(low):
+            return b"".join(map(self.words.__getitem__, self.pattern.findall(low)))
         return self._whole_ids(part)
 
+    def _word_ids(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(word.translate(self.bytes))]).tobytes()
+
 
 _tokenizers: dict[str, CachedTokenizer] = {}
 

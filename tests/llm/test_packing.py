@@ -144,6 +144,16 @@ def test_other_tokenizers_go_through_the_library():
         assert array("I", own.ids(text)).tolist() == other.encode(text, add_special_tokens=False).ids
 
 
+def test_every_plain_character_and_word_shape(library):
+    own = op.load(PATH)
+    plain = sorted(op._PLAIN)
+    rnd = random.Random(8)
+    texts = plain + [" ".join("".join(rnd.choices(plain, k=rnd.randint(1, 9))) for _ in range(6)) for _ in range(1500)]
+    texts += ["a\r\n\tb", "x <|ENDOFTEXT|> y", "<|startoftext|>don't", "ab" * 3000]
+    for text in texts:
+        assert array("I", own.ids(text)).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_full_caches_are_emptied(monkeypatch, library):
     monkeypatch.setattr(op, "CACHE_WORDS", 3)
     own = op.CachedTokenizer(PATH)
