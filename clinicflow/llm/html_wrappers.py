@@ -5,22 +5,21 @@ stream is the wrapper; the others are aligned with it one by one. Where labels
 agree, the parts are aligned inside; equal neighbours, alone or in short
 sequences, become a repeated group; what only some pages have becomes optional;
 differing text becomes a text slot. The result is a regular expression without
-unions, as a nested pattern, in which each slot knows whether its text ever
-changed and how much of it is link text.
+unions, as a nested pattern, in which each slot knows the text that most of its pages
+may share (a majority vote that merges) and how much of its texts is link text.
 
 A part of the pattern is boilerplate if its tag or the words of its class, id
 or role say so (menus, headers, footers, sidebars, notices, adverts, forms,
 comments), or if it lies outside the article and is mostly links. A text outside
-the article goes where it equals a text that never changed over ``CONSTANT_PAGES``
-different pages of the fit and that stands in at least ``CONSTANT_SHARE`` of all different
-pages of the host that have a text at its place. Pages are then read along
+the article goes where it equals a text that stands in at least ``CONSTANT_SHARE`` (and
+``CONSTANT_PAGES``) of all different pages of the host that have a text at its place. Pages are then read along
 their host's pattern: parts that match a boilerplate part go, the rest inside
 the article or main element (all of the body if there is none) is the text. A
 part that the pattern doesn't have is judged by its own tag and words.
 
-Wrappers are fitted on at most ``SAMPLE`` different pages per layout of a host, chosen by
-hash (the bound is a parameter). A layout is the set of a page's block tags and their classes; every page is extracted whole. Null html gives empty text,
-null urls share a wrapper. Elements nested deeper than ``DEPTH`` count as children of the one at that depth (texts stay whole and
+Wrappers are fitted on all different pages of a host. Those of a host with more than ``PART`` rows are dealt by
+their hash over parts of about as many pages; each part is fitted by itself, and the patterns are merged, ``PART`` at a
+time, in rounds. Every page is extracted whole. Null html gives empty text, null urls share a wrapper. Elements nested deeper than ``DEPTH`` count as children of the one at that depth (texts stay whole and
 in order); a tag that isn't closed before the next ``<`` is text. Repeated rows are extracted alike; only the id, url and
 html columns are read; an empty table gives no rows.
 """
@@ -29,6 +28,7 @@ from __future__ import annotations
 
 import difflib
 import html as entities
+import itertools
 import json
 import pickle
 import re
@@ -41,13 +41,12 @@ from pyspark.sql import functions as F
 
 from clinicflow.llm.common import ship, written
 
-SAMPLE = 12
+PART = 32
 DEPTH = 100
 CONSTANT_PAGES = 4
 CONSTANT_SHARE = 0.9
 LINK_SHARE = 0.6
 PERIOD = 3
-BROADCAST_KEYS = 200_000
 BROADCAST_CHARS = 16_000_000
 
 # A tag ends at the next < outside of quotes at the latest, so no page is read over and over for one that isn't closed.
@@ -249,8 +248,9 @@ class Pattern:
         self.optional = self.repeated = False
         self.boilerplate = False
         self.main = False
-        self.constant: str | None = None  # a slot's text while it is always the same
-        self.changed = False
+        # A slot's text that can be its most frequent one. It was seen ``votes + lost`` times at most, any other one ``lost`` times.
+        self.constant: str | None = None
+        self.votes = self.lost = 0
         self.seen = 0
         self.chars = self.linked = 0
 
@@ -268,7 +268,7 @@ def pattern_of(node) -> Pattern:
     out = Pattern(node.label)
     out.seen = 1
     if isinstance(node, Text):
-        out.constant = node.value
+        out.constant, out.votes = node.value, 1
         out.chars, out.linked = len(out.constant), node.linked
         return out
     out.boilerplate = element_is_boilerplate(node)
@@ -279,6 +279,8 @@ def pattern_of(node) -> Pattern:
 
 def squashed(items: list[Pattern]) -> list[Pattern]:
     """Equal neighbours and equal short sequences become repeated groups."""
+    if not _repeats(items):
+        return items
     for period in range(1, PERIOD + 1):
         out: list[Pattern] = []
         for item in items:
@@ -303,6 +305,18 @@ def squashed(items: list[Pattern]) -> list[Pattern]:
     return items
 
 
+def _repeats(items: list[Pattern]) -> bool:
+    """Whether a sequence stands twice in a row, or after its own group."""
+    labels = _labels(items)
+    for period in range(1, PERIOD + 1):
+        for k in range(len(labels) - period):
+            if labels[k : k + period] == labels[k + period : k + 2 * period]:
+                return True
+            if period > 1 and labels[k] == "(" + " ".join(labels[k + 1 : k + 1 + period]) + ")":
+                return True
+    return False
+
+
 def _labels(items: list[Pattern]) -> list[str]:
     return [i.label for i in items]
 
@@ -314,15 +328,35 @@ def merged(a: Pattern, b: Pattern) -> Pattern:
     out.boilerplate, out.main = a.boilerplate or b.boilerplate, a.main or b.main
     out.seen = a.seen + b.seen
     out.chars, out.linked = a.chars + b.chars, a.linked + b.linked
-    out.changed = a.changed or b.changed or a.constant != b.constant
-    out.constant = None if out.changed else a.constant
-    if a.label != "#":
+    if a.label == "#":
+        _vote(out, a, b)
+    else:
         out.items = squashed(aligned(a.items, b.items))
     return out
 
 
+def _vote(out: Pattern, a: Pattern, b: Pattern) -> None:
+    """The candidate of two slots: equal ones add their votes, the votes of different ones cancel each other.
+
+    A text on CONSTANT_SHARE of the pages stays the candidate. One with a quarter of the votes or fewer is
+    dropped: it was seen on five eighths of the pages at most.
+    """
+    out.lost = a.lost + b.lost
+    if a.constant == b.constant:
+        out.constant, out.votes = a.constant, a.votes + b.votes
+    else:
+        more, less = (a, b) if a.votes >= b.votes else (b, a)
+        out.constant, out.votes = more.constant, more.votes - less.votes
+        out.lost += less.votes
+    if 4 * out.votes <= out.seen:
+        out.lost += out.votes
+        out.constant, out.votes = None, 0
+
+
 def aligned(left: list[Pattern], right: list[Pattern]) -> list[Pattern]:
     """Matching labels are merged, the rest becomes optional; known groups are recognised on the other side first."""
+    if _labels(left) == _labels(right):
+        return [merged(x, y) for x, y in zip(left, right)]
     left, right = _grouped(left, right), _grouped(right, left)
     out: list[Pattern] = []
     for kind, a0, a1, b0, b1 in difflib.SequenceMatcher(None, _labels(left), _labels(right), autojunk=False).get_opcodes():
@@ -365,19 +399,21 @@ def infer(pages: list[str]) -> Pattern | None:
     """The wrapper of the different pages among ``pages``."""
     wrapper = combined(pattern_of(parse(source)) for source in dict.fromkeys(pages))
     if wrapper is not None:
-        judge(wrapper, len(set(pages)), inside=False, repeated=False)
+        judge(wrapper, wrapper.seen, inside=False, repeated=False)
     return wrapper
 
 
-def judge(pattern: Pattern, pages: int, inside: bool, repeated: bool) -> tuple[int, int]:
-    """Marks boilerplate parts; returns the characters and link characters below."""
+def judge(pattern: Pattern, around: int, inside: bool, repeated: bool) -> tuple[int, int]:
+    """Marks boilerplate parts; returns the characters and link characters below. ``around``: how often the part around it was seen."""
     repeated = repeated or pattern.repeated
     if pattern.label == "#":
-        same = not pattern.changed and pages >= CONSTANT_PAGES and pattern.seen >= CONSTANT_PAGES
-        pattern.boilerplate = same and not repeated and not pattern.optional and not inside
+        # Necessary for a text on CONSTANT_SHARE of the pages; the pages are counted exactly by place afterwards.
+        same = pattern.constant is not None and pattern.votes + pattern.lost >= CONSTANT_SHARE * pattern.seen
+        mostly = pattern.seen >= CONSTANT_PAGES and pattern.seen >= CONSTANT_SHARE * around
+        pattern.boilerplate = same and mostly and not repeated and not inside
         return pattern.chars, pattern.linked
     inside = inside or pattern.main
-    sums = [judge(item, pages, inside, repeated) for item in pattern.items]
+    sums = [judge(item, pattern.seen, inside, repeated) for item in pattern.items]
     chars, linked = sum(s[0] for s in sums), sum(s[1] for s in sums)
     holds_main = _has_main(pattern)
     if not inside and not holds_main and chars and linked > LINK_SHARE * chars and pattern.label != "html":
@@ -517,48 +553,48 @@ def host_of(url):
     return F.regexp_replace(host, r"^[^@]*@|:\d+$", "")
 
 
-def layout_of(html):
-    """A hash of the different block tags of a page with their classes; digits don't count, as in labels."""
-    tag = lambda t: F.lower(F.regexp_extract(t, r"^<([a-zA-Z][^\s/>]*)", 1))
-    named = lambda t: F.lower(F.regexp_extract(t, r"""(?i)\sclass\s*=\s*["']?([^"'>]*)""", 1))
-    blocks = F.filter(F.regexp_extract_all(html, F.lit("<[a-zA-Z][^>]*>"), F.lit(0)), lambda t: ~tag(t).isin(*sorted(INLINE | VOID | RAW)))
-    return F.xxhash64(F.array_sort(F.array_distinct(F.transform(blocks, lambda t: F.regexp_replace(F.concat_ws(".", tag(t), named(t)), r"\d+", "0")))))
-
-
-def wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """(host, wrapper): one inferred wrapper per host, from ``sample`` different pages of each of its layouts."""
+def wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", part: int = PART) -> DataFrame:
+    """(host, wrapper): one inferred wrapper per host, from all of its different pages, fitted in parts of about ``part`` pages."""
     ship(pages.sparkSession)
-    keys = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("k"), host_of(F.col(url_col)).alias("host"), F.col(url_col).alias("u"), F.sha2(html_col, 256).alias("page"), layout_of(F.col(html_col)).alias("layout"))
-    # One row for each different page of a host, combined in every task before the shuffle.
-    keys = keys.groupBy("host", "layout", "page").agg(F.min(F.struct(F.xxhash64("k", "u").alias("h"), "k", "u")).alias("one")).select("host", "layout", "one.*")
-    # The sample is chosen on narrow rows; row_number <= n is limited in every task before the shuffle.
-    place = F.row_number().over(Window.partitionBy("host", "layout").orderBy("h", "k"))
-    chosen = keys.withColumn("place", place).filter(F.col("place") <= sample).select("k", "u").distinct()
-    # Few keys, counted, are broadcast, so that the pages aren't shuffled; more are joined by shuffling.
-    chosen = written(chosen, "page-sample")
-    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_KEYS else chosen
-    own = pages.select(F.col(id_col).alias("k"), F.col(url_col).alias("u"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    sampled = own.join(chosen, own["k"].eqNullSafe(chosen["k"]) & own["u"].eqNullSafe(chosen["u"]), "left_semi").select("host", "html").distinct().withColumn("layout", layout_of(F.col("html")))
-
-    def fit(key, pdf):
-        sources = sorted(h for h in pdf["html"] if h is not None)
-        pattern = combined(pattern_of(parse(source)) for source in sources)
-        return pd.DataFrame({"host": [key[0]], "layout": [key[1]], "pages": [len(sources)], "pattern": [pickle.dumps(pattern)]})
+    own = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    # Hosts of several parts: one in ``part`` rows at most, so their list is broadcast.
+    large = written(own.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > part).select("host", F.ceil(F.col("n") / part).alias("parts")), "large-hosts")
+    most = large.agg(F.max("parts")).first()[0] or 1
+    own = own.filter(F.col("html").isNotNull())
+    number = F.coalesce(F.pmod(F.xxhash64("html"), F.col("parts")), F.lit(0))
+    # Copies have one number: a part holds each page once, combined in every task before the shuffle.
+    parts = own.join(F.broadcast(large), "host", "left").groupBy("host", number.alias("part")).agg(F.collect_set("html").alias("pages"))
+    parts = parts.select("host", "part", F.explode(F.array_sort("pages")).alias("html"))
+
+    def fit(batches):
+        # The pages of a part come one after the other.
+        rows = (row for batch in batches for row in zip(*batch.columns))
+        for (host, number), same in itertools.groupby(rows, lambda r: (r[0].as_py(), r[1].as_py())):
+            pattern = combined(pattern_of(parse(source.as_py())) for _, _, source in same)
+            yield pa.RecordBatch.from_arrays([pa.array([host]), pa.array([number], pa.int64()), pa.array([pickle.dumps(pattern)], pa.binary())], names=["host", "part", "pattern"])
 
     def join(key, pdf):
-        pdf = pdf.sort_values("layout")
-        wrapper = combined(p for p in map(pickle.loads, pdf["pattern"]) if p is not None)
-        if wrapper is not None:
-            judge(wrapper, int(pdf["pages"].sum()), inside=False, repeated=False)
-        fixed = wrapper is not None and has_constants(wrapper)
-        return pd.DataFrame({"host": [key[0]], "wrapper": [dumped(wrapper) if wrapper else None], "fixed": [fixed]})
-
-    layouts = sampled.groupBy("host", "layout").applyInPandas(fit, "host string, layout long, pages long, pattern binary")
-    fitted = written(layouts.groupBy("host").applyInPandas(join, "host string, wrapper string, fixed boolean"), "fitted")
+        pdf = pdf.sort_values("part")
+        return pd.DataFrame({"host": [key[0]], "part": [key[1]], "pattern": [pickle.dumps(combined(map(pickle.loads, pdf["pattern"])))]})
+
+    def finish(batches):
+        for pdf in batches:
+            found = []
+            for wrapper in map(pickle.loads, pdf["pattern"]):
+                judge(wrapper, wrapper.seen, inside=False, repeated=False)
+                found.append((dumped(wrapper), has_constants(wrapper)))
+            yield pd.DataFrame({"host": pdf["host"], "wrapper": [w for w, _ in found], "fixed": [f for _, f in found]})
+
+    patterns = written(parts.mapInArrow(fit, "host string, part long, pattern binary"), "parts")
+    while most > 1:
+        above = F.floor(F.col("part") / part).alias("above")
+        patterns = written(patterns.groupBy("host", above).applyInPandas(join, "host string, part long, pattern binary"), "parts")
+        most = -(-most // part)
+    fitted = written(patterns.select("host", "pattern").mapInPandas(finish, "host string, wrapper string, fixed boolean"), "fitted")
     fixed = fitted.filter("fixed").select("host", "wrapper")
     if fixed.isEmpty():
         return fitted.select("host", "wrapper")
-    rejected = _changing(own.filter(F.col("html").isNotNull()), fixed).groupBy("host").agg(F.collect_set("place").alias("rejected"))
+    rejected = _changing(own, fixed).groupBy("host").agg(F.collect_set("place").alias("rejected"))
 
     def settle(batches):
         for pdf in batches:

@@ -75,6 +75,45 @@ def test_rare_layouts_enter_the_wrapper(spark):
     assert "div.y" in "".join(r.wrapper for r in op.wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
 
 
+def test_all_pages_enter_the_wrapper(spark):
+    """A block on a few of many pages of one layout is known; merging in rounds counts every page once."""
+    common = lambda n: f"<div class=a><div class=b><p>Body {n}</p></div><div class=c><p>Foot</p></div></div>"
+    swapped = lambda n: f"<div class=a><div class=c><p>Foot</p></div><div class=b><p>Body {n}</p><div class=c><p>Rare {n}</p></div></div></div>"
+    rows = [(i, f"http://h.org/{i}", swapped(i) if i % 150 == 0 else common(i)) for i in range(600)]
+    pages = spark.createDataFrame(rows + rows[:200], "page_id long, url string, html string")
+    for part in (4, 32):
+        [found] = op.wrappers(pages, part=part).collect()
+        known = op.loaded(found.wrapper)
+        assert "div.c" in known["div.a"][1]["div.b"][1]
+        assert op.extract(swapped(7), known) == "Body 7 Rare 7" and op.extract(common(7), known) == "Body 7"
+
+
+def test_a_constant_text_survives_a_few_other_pages(spark):
+    make = lambda n: f"<div class=x><p>{'Other' if n % 20 == 0 else 'Fixed'}</p></div><div class=y><p>{'One' if n % 5 else 'Two'}</p></div><div class=b><p>Body {n}</p></div>"
+    rows = [(i, f"http://h.org/{i}", make(i)) for i in range(400)]
+    for part in (3, 32):
+        [found] = op.wrappers(spark.createDataFrame(rows, "page_id long, url string, html string"), part=part).collect()
+        known = op.loaded(found.wrapper)
+        assert [op.extract(make(n), known) for n in (1, 5, 20)] == ["One Body 1", "Two Body 5", "Other Two Body 20"]
+
+
+def test_votes_never_lose_a_frequent_text():
+    import random
+
+    rnd = random.Random(5)
+    for _ in range(300):
+        texts = [f"t{rnd.randrange(1, 5)}" if rnd.random() < rnd.choice([0.05, 0.1, 0.5]) else "t0" for _ in range(rnd.randint(1, 60))]
+        slots = [op.pattern_of(op.parse(t)).items[0] for t in texts]
+        while len(slots) > 1:
+            k = rnd.randrange(len(slots) - 1)
+            slots[k : k + 2] = [op.merged(slots[k], slots[k + 1])]
+        for t in set(texts):
+            assert texts.count(t) <= slots[0].lost + (slots[0].votes if slots[0].constant == t else 0)
+        top = max(set(texts), key=texts.count)
+        if texts.count(top) >= 0.9 * len(texts):
+            assert slots[0].constant == top
+
+
 def test_odd_sources():
     for source, want in [(None, ""), ("", ""), ("plain  text", "plain text"), ("a < b <3", "a < b <3"), ("<p>open <b>x", "open x"), ("<!-- a --><p>1<!-- b -->2", "12"), ("<script>no", ""), ("<p>a</div></p>b", "a b"), ("<p hidden>no</p>yes", "yes"), ("<td>1<td>2", "1 2")]:
         assert op.extract(source, {}) == want, source
