@@ -51,39 +51,47 @@ LINE_ROOM = 1 << 31
 # ---- segments
 
 
-def _segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of a segment of a line of ``length``: the last ones hold what doesn't divide."""
-    parts = threshold + 1
-    base, short = F.floor(length / parts).cast("int"), parts - length % parts
-    start = base * number + F.greatest(F.lit(0), number - short)
-    return start.cast("int"), (base + (F.lit(number) >= short).cast("int")).cast("int")
+def own_places(threshold: int) -> list[tuple[int, int, int]]:
+    """(gap, number, shift) of the segments of a line itself."""
+    return [(0, i, 0) for i in range(threshold + 1)]
 
 
-def _key(length: Column, number: int, content: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(number), content)
+def moved_places(threshold: int) -> list[tuple[int, int, int]]:
+    """(gap, number, shift) of the places at which a segment of a line shorter by ``gap`` can stand, but for ``own_places``."""
+    found = []
+    for gap in range(threshold + 1):
+        for i in range(threshold + 1):
+            low, high = max(-i, gap - (threshold - i)), min(i, gap + (threshold - i))
+            found += [(gap, i, shift) for shift in range(low, high + 1) if gap or shift]
+    return found
 
 
-def index_keys(line: Column, length: Column, threshold: int) -> Column:
-    keys = []
-    for i in range(threshold + 1):
-        start, size = _segment(length, i, threshold)
-        keys.append(_key(length, i, line.substr(start + 1, size)))
-    return F.array(*keys)
+def code_units(line: Column) -> Column:
+    """Four bytes for each code point: a part of it is found without reading what stands before it."""
+    return F.encode(line, "UTF-32")
 
 
-def probe_keys(line: Column, length: Column, threshold: int) -> Column:
-    """Keys of the substrings at which a segment of a line of equal or smaller length can stand."""
-    keys = []
-    for gap in range(threshold + 1):
-        other = length - gap
-        for i in range(threshold + 1):
-            start, size = _segment(other, i, threshold)
-            low, high = max(-i, gap - (threshold - i)), min(i, gap + (threshold - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 0) & (at + size <= length)
-                keys.append(F.when(inside, _key(other, i, line.substr(at + 1, size))))
-    return F.array_compact(F.array(*keys))
+def segment_keys(line: Column, length: Column, threshold: int, places: list[tuple[int, int, int]]) -> Column:
+    """Keys (length, number, content) of the substrings at ``places``; null where one would leave the line.
+
+    Segments are even, the last ones hold what doesn't divide. One small expression runs over the list of places:
+    written out for each of them, the code grows too large for the JVM to compile.
+    """
+    parts = threshold + 1
+    table = F.array(*[F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift")) for gap, i, shift in places])
+
+    def cut(p: Column) -> Column:
+        other = length - p["gap"]
+        base, short = F.floor(other / parts).cast("int"), parts - other % parts
+        at = base * p["i"] + F.greatest(F.lit(0), p["i"] - short) + p["shift"]
+        return F.struct(other.cast("int").alias("other"), p["i"].alias("i"), at.cast("int").alias("at"), (base + (p["i"] >= short).cast("int")).alias("size"))
+
+    def key(units: Column, c: Column) -> Column:
+        inside = (c["at"] >= 0) & (c["at"] + c["size"] <= length)
+        return F.when(inside, F.xxhash64(c["other"], c["i"], units.substr(c["at"] * 4 + 1, c["size"] * 4)))
+
+    # The line is encoded once, as the variable of the outer step.
+    return F.get(F.transform(F.array(code_units(line)), lambda units: F.transform(F.transform(table, cut), lambda c: key(units, c))), F.lit(0))
 
 
 # ---- verification
@@ -137,16 +145,17 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.min("place").alias("first"))
         .select(F.monotonically_increasing_id().alias("node"), "line", F.char_length("line").alias("n"), "first", *_names())
     )
-    lines = written(lines, "lines")
-    links = written(_links(lines.filter(F.col("n") >= MIN_CHARS).select("node", "line", "n"), threshold), "line-links")
+    own = F.when(F.col("n") >= MIN_CHARS, segment_keys(F.col("line"), F.col("n"), threshold, own_places(threshold)))
+    lines = written(lines.withColumn("own", own), "lines")
+    links = written(_links(lines.filter(F.col("n") >= MIN_CHARS).select("node", "line", "n", "own"), threshold), "line-links")
     component = connected_components(links, "line-components")
     degree = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    linked = lines.select("node", "first").join(component, "node")
+    linked = lines.select("node", "first", "h1", "h2").join(component, "node")
     names = linked.groupBy("component").agg(F.min("first").alias("class_first"))
-    linked = linked.join(names, "component").join(degree, "node").select("node", "class_first", "n_links")
-    # Places meet their line by its two hashes, not by its text.
-    known = lines.select("node", "first", "h1", "h2").join(linked, "node", "left")
-    known = known.select("h1", "h2", F.coalesce("class_first", "first").alias("class_first"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    linked = linked.join(names, "component").join(degree, "node").select("h1", "h2", "class_first", "n_links")
+    # Places meet their line by its two hashes, not by its text. The first line of a class is the least of its lines.
+    known = lines.select("h1", "h2", F.col("first").alias("class_first"), F.lit(0).cast("long").alias("n_links")).unionByName(linked)
+    known = known.groupBy("h1", "h2").agg(F.min("class_first").alias("class_first"), F.max("n_links").alias("n_links"))
     mine = spread.select("id", "line_no", "place", *_names()).join(known, ["h1", "h2"])
     class_id = F.expr(f"class_first div {LINE_ROOM}L")
     return mine.select(
@@ -165,15 +174,15 @@ def _names() -> list[Column]:
 
 
 def _links(lines: DataFrame, threshold: int) -> DataFrame:
-    """Verified pairs (u, v; u > v) of different lines."""
-    line, n = F.col("line"), F.col("n")
-    indexed = lines.select("node", F.explode(index_keys(line, n, threshold)).alias("key"))
+    """Verified pairs (u, v; u > v) of different lines (node, line, n, and the keys of their segments, own)."""
+    indexed = lines.select("node", F.explode("own").alias("key"))
     hot = written(indexed.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > HOT).select("key"), "hot-segments")
     # Lines that hold a hot segment find each other in the crowd: here they only meet the other lines.
     holders = written(indexed.join(hot, "key", "left_semi").select("node").distinct(), "hot-holders")
     marked = lines.join(holders.withColumn("crowd", F.lit(True)), "node", "left").withColumn("crowd", F.coalesce("crowd", F.lit(False)))
-    indexed = marked.select("node", "crowd", F.explode(index_keys(line, n, threshold)).alias("key"))
-    probing = marked.select(F.col("node").alias("other"), F.col("crowd").alias("other_crowd"), F.explode(probe_keys(line, n, threshold)).alias("key"))
+    indexed = marked.select("node", "crowd", F.explode("own").alias("key"))
+    probes = F.concat("own", segment_keys(F.col("line"), F.col("n"), threshold, moved_places(threshold)))
+    probing = marked.select(F.col("node").alias("other"), F.col("crowd").alias("other_crowd"), F.explode(probes).alias("key")).filter("key is not null")
     # Where a segment isn't hot, a probe meets at most HOT lines; a hot one is met once, as CROWD.
     # Lines probe their own segments too, so all lines that hold a hot segment meet it.
     crowd = hot.select("key", F.lit(CROWD).cast("long").alias("node"), F.lit(False).alias("crowd"))
@@ -249,6 +258,8 @@ def plausible(left: Column, right: Column, threshold: int) -> Column:
 def _near(both: DataFrame, threshold: int) -> DataFrame:
     """The pairs (u, v) of (u, v, a, b) whose lines a and b are near."""
     both = both.filter(plausible(F.col("a"), F.col("b"), threshold))
+    # Spark's own banded distance takes the far pairs out; the automaton reads the few that are left.
+    both = both.filter(F.levenshtein("a", "b", threshold) >= 0)
     both = both.select("u", "v", code_points(F.col("a")).alias("a"), code_points(F.col("b")).alias("b"))
     # A row or none: a filter would be pushed below the code points and take them apart again at every step.
     near = within_distance(F.col("a"), F.col("b"), threshold)

@@ -142,3 +142,30 @@ def test_removed_lines_leave_the_texts(spark):
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame(corpus(1), "doc_id long, text string")
     assert "Python" not in op.line_classes(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_segment_keys_are_those_of_the_code_points(spark):
+    """Equal segments of lines of any script have one key; places outside of the line have none."""
+    lines = ["abcdefghijklmnopqrstuvwxyz", "\u0e44\u0e15\u0e40\u0e14\u0e47\u0e01" * 5, "a\U0001f9ff\u00e9" * 9, "x"]
+    for threshold in (1, 2):
+        own, moved = op.own_places(threshold), op.moved_places(threshold)
+        assert len(set(own + moved)) == len(own) + len(moved) and (threshold != 2 or len(moved) == 9)
+        keys = lambda places: op.segment_keys(F.col("line"), F.char_length("line"), threshold, places)
+        rows = spark.createDataFrame([(x,) for x in lines], "line string").select("line", keys(own).alias("own"), keys(own + moved).alias("all")).collect()
+        for r in rows:
+            n, parts, seen = len(r.line), threshold + 1, {}
+            for (gap, i, shift), key in zip(own + moved, r["all"]):
+                m = n - gap
+                at = sum(m // parts + (k >= parts - m % parts) for k in range(i)) + shift
+                size = m // parts + (i >= parts - m % parts)
+                assert (key is None) == (at < 0 or at + size > n)
+                assert key is None or seen.setdefault((m, i, r.line[at : at + size]), key) == key
+            assert r["own"] == r["all"][: len(own)] and len({k for k in seen.values()}) == len(seen)
+
+
+def test_lines_meet_marks_and_classes_in_few_joins(spark):
+    """Lines are joined with what is known of them by grouping: no left join of all lines with their class."""
+    docs = spark.createDataFrame([(1, "one line of many words here\nanother line of other words"), (2, "one line of many words hers")], "doc_id long, text string")
+    out = op.line_classes(docs)
+    assert "LeftOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert got_rows(out) == brute([(1, "one line of many words here\nanother line of other words"), (2, "one line of many words hers")])
