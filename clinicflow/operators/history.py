@@ -70,10 +70,13 @@ def join_first_visits(visits: DataFrame, first: DataFrame, key: str, how: str) -
     hot = F.broadcast(_pieces(visits, key))
     spread = F.xxhash64(*visits.columns)
     piece = F.when(F.col(key).isNull(), spread).when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces"))).otherwise(0)
-    dealt = visits.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_piece", piece).drop("_hot", "_pieces")
+    # Key and piece are one value: rows that lie together by the key alone already are dealt anew.
+    at = lambda piece: F.struct(F.col(key).alias("key"), piece.cast("bigint").alias("piece"))
+    dealt = visits.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_at", at(piece)).drop("_hot", "_pieces")
     numbers = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1)).cast("bigint") - 1)
-    copies = first.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_piece", F.explode(numbers))
-    return dealt.join(copies.drop("_hot", "_pieces"), [key, "_piece"], how).drop("_piece")
+    copies = first.where(F.col(key).isNotNull()).join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_piece", F.explode(numbers))
+    copies = copies.withColumn("_at", at(F.col("_piece"))).drop("_hot", "_pieces", "_piece", key)
+    return dealt.join(copies, "_at", how).select(key, *[c for c in [*visits.columns, *first.columns] if c != key])
 
 
 def flag_new_inner(
