@@ -1,4 +1,4 @@
-"""Mergeable exact distinct counts: dense patient numbers per day, as lists or bitmaps, merged for any window."""
+"""Mergeable exact distinct counts: dense patient numbers per day, as rows or bitmaps, merged for any window."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from clinicflow.operators.ordering import global_row_number
 
-# A bucket of a state lists its keys if there are no more than this; a bitmap takes 4 KB a flag, however few they are.
-FEW = 1024
+# A bucket of a state holds a row per key if there are no more than this; a bitmap takes 4 KB a flag, however few they are.
+FEW = 256
 LISTED = "_listed"
 
 
@@ -33,8 +33,8 @@ def distinct_states(
 ) -> DataFrame:
     """Per group and bucket of 32,768 numbers: the keys with each flag, and ``COUNT(column)`` per ``row_count``.
 
-    Up to ``FEW`` keys are listed in ``_listed`` (place in the bucket and flags in one number), more are a bitmap per
-    flag, so a state grows with its keys and not with its days. Rows are reduced to one per group and key before they
+    Up to ``FEW`` keys are a row each (``_listed``: place in the bucket and flags in one number), more are one row with a
+    bitmap per flag, so a state grows with its keys and not with its days. Rows are reduced to one per group and key before they
     meet the numbers, so a hot patient is one row per group there. They are shuffled as rows: bitmaps are made one
     at a time afterwards. Rows with a NULL key lie in the bucket NULL: they count as rows, not as keys.
     """
@@ -51,15 +51,15 @@ def distinct_states(
     entry = F.col("_place") * (1 << len(flags))
     for i, n in enumerate(flags):
         entry = entry + F.coalesce(F.col(f"_f_{n}"), F.lit(0)) * (1 << i)
-    few = placed.where(F.col("_keys") <= FEW).groupBy(*groups, "bucket").agg(F.collect_list(entry).alias(LISTED), *sums)
+    few = placed.where(F.col("_keys") <= FEW).select(*groups, "bucket", entry.alias(LISTED), *[F.col(f"_r_{n}").alias(n) for n in row_count])
     return few.unionByName(many, allowMissingColumns=True)
 
 
 def merge_states(states: DataFrame, groups: list[str], flags: list[str], row_count: list[str] = ()) -> DataFrame:
     """Exact distinct counts of the union of states (days, loads, regions) per ``groups``, and the sums of their row counts."""
-    listed = states.select(*groups, "bucket", F.explode(LISTED).alias("_entry"))
+    listed = states.where(F.col(LISTED).isNotNull())
     bits = [
-        F.expr(f"bitmap_construct_agg(_entry div {1 << len(flags)}) FILTER (WHERE (_entry & {1 << i}) != 0)").alias(n) for i, n in enumerate(flags)
+        F.expr(f"bitmap_construct_agg({LISTED} div {1 << len(flags)}) FILTER (WHERE ({LISTED} & {1 << i}) != 0)").alias(n) for i, n in enumerate(flags)
     ]
     listed = listed.groupBy(*groups, "bucket").agg(*bits)
     both = states.drop(LISTED).unionByName(listed, allowMissingColumns=True)

@@ -39,14 +39,14 @@ def test_states_of_any_days_merge_to_exact_distincts(spark):
 def test_states_of_few_and_many_keys(spark):
     """Buckets on both sides of FEW merge; a day of few keys holds no bitmap."""
     many = spark.range(FEW + 5).selectExpr("1 AS day", "'A' AS g", "id AS hn", "id % 3 = 0 AS new")
-    few = spark.range(0, 4000, 7).selectExpr("2 AS day", "'A' AS g", "id AS hn", "id % 2 = 0 AS new")
+    few = spark.range(0, 1000, 7).selectExpr("2 AS day", "'A' AS g", "id AS hn", "id % 2 = 0 AS new")
     edge = spark.range(FEW).selectExpr("3 AS day", "'B' AS g", "id AS hn", "CAST(NULL AS boolean) AS new")
     none = spark.range(3).selectExpr("4 AS day", "CAST(NULL AS string) AS g", "CAST(NULL AS bigint) AS hn", "true AS new")
     rows = many.union(few).union(edge).union(none)
     states = distinct_states(rows, number_keys(rows, "hn"), ["day", "g"], "hn", {"new": F.col("new"), "people": F.lit(True)}, {"visits": F.lit(1)})
     assert {(r.day, r["new"] is None) for r in states.collect()} == {(1, False), (2, True), (3, True), (4, True)}
     got = {tuple(r) for r in merge_states(states, ["g"], ["new", "people"], ["visits"]).collect()}
-    first, second = set(range(FEW + 5)), set(range(0, 4000, 7))
+    first, second = set(range(FEW + 5)), set(range(0, 1000, 7))
     fresh = {i for i in first if i % 3 == 0} | {i for i in second if i % 2 == 0}
     assert got == {("A", len(fresh), len(first | second), len(first) + len(second)), ("B", 0, FEW, FEW), (None, 0, 0, 3)}
 
