@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinicflow.llm.common import written
@@ -13,6 +13,8 @@ from clinicflow.llm.components import connected_components
 SMALL_BUCKET = 32
 LEADERS = 8
 ROUNDING = 1e-9
+SELDOM = 8
+OUTLINE = ["size", "spare", "inside", "outside"]
 
 
 def with_leaders(members: DataFrame) -> DataFrame:
@@ -29,7 +31,12 @@ def with_leaders(members: DataFrame) -> DataFrame:
     return members.join(leaders, "bucket").select("bucket", "node", "leader", "n", "score")
 
 
-def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], limit: float) -> tuple[DataFrame, DataFrame]:
+def bucket_links(
+    members: DataFrame,
+    judge: Callable[[DataFrame], DataFrame],
+    limit: float,
+    outline: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Pairs (``u``, ``v``; u > v) of nodes in a common bucket at a distance of at most ``limit``, and their components (node, component).
 
     ``members``: from ``with_leaders``, written. ``judge`` gets distinct pairs (u, v; u > v) and returns them with their distance
@@ -42,6 +49,11 @@ def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], li
     Pairs whose distances to the bucket's leader differ by more than the limit are left out: by the triangle
     inequality they are further apart than it. So the components are those of all passing pairs. The links are not
     all passing pairs: those between two nodes that other links have put into one component are mostly not asked.
+
+    ``outline`` is for distances of sets (see ``outlines``). It gets the members of the larger buckets that hold open
+    nodes, and returns them with their outline and the pairs that share a seldom cell. These are asked first; after
+    that, only pairs whose outlines allow a distance within the limit are, and a node that no outline of its
+    bucket allows leads no round.
     """
     asked = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
     judged = written(judge(_pairs(asked)), "judged")
@@ -56,36 +68,111 @@ def bucket_links(members: DataFrame, judge: Callable[[DataFrame], DataFrame], li
     near = F.coalesce(F.abs(F.col("du") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
     few = left.join(right, "bucket").filter((F.col("cu") != F.col("cv")) & near).select("u", "v")
     more = written(_passing(judge(_pairs(few)), limit), "judged")
-    large = members.filter(F.col("n") > SMALL_BUCKET)
+    marked = marked.filter(F.col("n") > SMALL_BUCKET)
+    rank, hopeful, possible = F.struct("score", "node"), F.lit(True), F.lit(True)
+    if outline is not None:
+        crowded = written(marked.join(marked.filter("c <> leader_c").select("bucket").distinct(), "bucket", "left_semi"), "crowded")
+        if crowded.isEmpty():
+            return _advanced(links, component, more, marked)[:2]
+        outlined, close = outline(crowded)
+        marked = written(_with_hope(outlined, limit), "outlined")
+        more = written(more.unionByName(_passing(judge(_pairs(close)), limit)), "judged")
+        rank, hopeful, possible = F.struct((F.col("inside") + F.col("outside")) / F.col("size"), "score", "node"), F.col("hopeful"), _possible(limit)
+        marked = marked.join(marked.filter("c <> leader_c").filter(hopeful).select("bucket").distinct(), "bucket", "left_semi")
+    links, component, marked = _advanced(links, component, more, marked)
     used, parts = None, LEADERS
     while True:
-        if not more.isEmpty():
-            links = written(links.unionByName(more).distinct(), "links")
-            # The new links join components: nodes are replaced by what they already belong to.
-            between = _moved(_moved(more, component, "u"), component, "v")
-            joined = connected_components(between, "bucket-components")
-            component = written(_joined(component, joined), "bucket-components")
-            marked = written(_marked(large, component), "marked")
-        else:
-            marked = marked.filter(F.col("n") > SMALL_BUCKET)
-        open_ = marked.filter("c <> leader_c")
+        open_ = marked.filter("c <> leader_c").filter(hopeful)
         if used is not None:
             open_ = open_.join(used, ["bucket", "node"], "left_anti")
         part = F.pmod(F.xxhash64("node"), F.lit(parts))  # alike in all buckets, so that a pair is asked once
-        leaders = open_.groupBy("bucket", part.alias("part")).agg(F.max_by("node", F.struct("score", "node")).alias("node"))
-        leaders = leaders.join(open_.select("bucket", "node", F.col("c").alias("cv"), F.col("dl").alias("dv")), ["bucket", "node"])
-        leaders = leaders.select("bucket", F.col("node").alias("v"), "cv", "dv")
-        leaders = written(leaders, "leaders")
+        leaders = open_.groupBy("bucket", part.alias("part")).agg(F.max_by("node", rank).alias("node"))
+        kept = [F.col(c).alias(f"{c}_v") for c in OUTLINE if c in open_.columns]
+        leaders = leaders.join(open_.select("bucket", "node", F.col("c").alias("cv"), F.col("dl").alias("dv"), *kept), ["bucket", "node"])
+        leaders = written(leaders.withColumnRenamed("node", "v").drop("part"), "leaders")
         if leaders.isEmpty():
             return links, component
         near = F.coalesce(F.abs(F.col("dl") - F.col("dv")) <= limit + ROUNDING, F.lit(True))
-        asked = marked.filter("node <> leader").join(leaders, "bucket").filter((F.col("c") != F.col("cv")) & near)
+        asked = marked.filter("node <> leader").join(leaders, "bucket").filter((F.col("c") != F.col("cv")) & near & possible)
         more = written(_passing(judge(_pairs(asked.select(F.col("node").alias("u"), "v"))), limit), "judged")
+        # Buckets without an open node are done.
+        marked = marked.join(leaders.select("bucket").distinct(), "bucket", "left_semi")
+        links, component, marked = _advanced(links, component, more, marked)
         mine = leaders.select("bucket", F.col("v").alias("node"))
         used = mine if used is None else written(used.unionByName(mine), "used")
         parts *= 4
 
 
+def _advanced(links: DataFrame, component: DataFrame, more: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links, components and marked members after ``more`` links."""
+    if more.isEmpty():
+        return links, component, marked
+    links = written(links.unionByName(more).distinct(), "links")
+    # The new links join components: nodes are replaced by what they already belong to.
+    between = _moved(_moved(more, component, "u"), component, "v")
+    joined = connected_components(between, "bucket-components")
+    component = written(_joined(component, joined), "bucket-components")
+    return links, component, written(_marked(marked.drop("c", "leader_c"), component), "marked")
+
+
+# ---- outlines
+
+
+def outlines(crowded: DataFrame, cells: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
+    """``crowded`` with the outline of each member, and the pairs (u, v) that share a seldom cell and may be within ``limit``.
+
+    ``crowded``: members (bucket, node, leader, dl, c) with the Jaccard distance to the leader; ``cells``: (node, size, spare,
+    leads, others): how many cells a node has, how many of them repeat another one, whether it leads a bucket, and its
+    distinct cells, without those of one of the leaders unless it leads.
+
+    A cell is seldom if no leader and at most SELDOM nodes hold it. A member's outline is its numbers of other distinct cells
+    inside and outside of the bucket's leader. Two members without a common seldom cell share at most the smaller
+    number inside and the smaller number outside; two with s of them share s more at most (``_possible``).
+    """
+    each = cells.select("node", "leads", F.explode("others").alias("cell"))
+    held = each.groupBy("cell").agg(F.count("*").alias("held"), F.min("node").alias("node"), F.max("leads").alias("leads"))
+    seldom = written(held.filter((F.col("held") <= SELDOM) & ~F.col("leads")).drop("leads"), "seldom-cells")
+    some = seldom.filter("held > 1").select("cell")
+    some = written(each.join(some, "cell").select("node", "cell"), "shared-cells")
+    own = seldom.filter("held = 1").select("node").unionByName(some.select("node")).groupBy("node").agg(F.count("*").alias("seldom"))
+    shape = cells.select("node", "size", "spare").join(own, "node", "left")
+    shape = written(shape.withColumn("seldom", F.coalesce("seldom", F.lit(0))), "shapes")
+    lead = shape.select(F.col("node").alias("leader"), F.col("size").alias("size_l"), F.col("spare").alias("spare_l"))
+    outlined = crowded.join(shape, "node").join(lead, "leader")
+    shared = F.round((F.col("size") + F.col("size_l")) * (1 - F.col("dl")) / (2 - F.col("dl"))) - F.col("spare") - F.col("spare_l")
+    distinct = F.col("size") - F.col("spare")
+    inside = F.when(F.col("node") == F.col("leader"), distinct).otherwise(shared).cast("long")
+    outlined = outlined.withColumn("inside", inside).withColumn("outside", distinct - F.col("seldom") - F.col("inside"))
+
+    ends = crowded.select("node", "c").distinct().join(shape, "node")
+    ends = some.join(ends, "node").withColumn("rest", F.col("size") - F.col("spare") - F.col("seldom"))
+    left = ends.select("cell", F.col("node").alias("u"), *[F.col(x).alias(f"{x}_u") for x in ("c", "size", "spare", "rest")])
+    right = ends.select("cell", F.col("node").alias("v"), *[F.col(x).alias(f"{x}_v") for x in ("c", "size", "spare", "rest")])
+    both = left.join(right, "cell").filter((F.col("u") > F.col("v")) & (F.col("c_u") != F.col("c_v")))
+    most = F.first(F.least("rest_u", "rest_v") + F.col("spare_u") + F.col("spare_v")) + F.count("*")
+    both = both.groupBy("u", "v").agg(most.alias("most"), F.first(F.col("size_u") + F.col("size_v")).alias("sizes"))
+    return outlined.drop("seldom", "size_l", "spare_l"), both.filter(F.col("most") + ROUNDING >= _share(limit) * F.col("sizes")).select("u", "v")
+
+
+def _share(limit: float) -> float:
+    """The part of both sizes together that two sets at the distance ``limit`` share."""
+    return (1 - limit) / (2 - limit)
+
+
+def _possible(limit: float) -> Column:
+    """Whether the outlines of a member and of a leader (with _v) allow a distance within ``limit``. True for unknown ones."""
+    most = F.least("inside", "inside_v") + F.least("outside", "outside_v") + F.col("spare") + F.col("spare_v")
+    return F.coalesce(most + ROUNDING >= _share(limit) * (F.col("size") + F.col("size_v")), F.lit(True))
+
+
+def _with_hope(outlined: DataFrame, limit: float) -> DataFrame:
+    """``outlined`` with ``hopeful``: false if the member has too few cells that aren't seldom for any set of its bucket."""
+    least = outlined.groupBy("bucket").agg(F.min("size").alias("least"), F.max("spare").alias("most_spare"))
+    most = F.col("inside") + F.col("outside") + F.col("spare") + F.col("most_spare")
+    hopeful = F.coalesce(most + ROUNDING >= _share(limit) * (F.col("size") + F.col("least")), F.lit(True))
+    return outlined.join(least, "bucket").withColumn("hopeful", hopeful).drop("least", "most_spare")
+
+
 def _pairs(asked: DataFrame) -> DataFrame:
     return asked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 

@@ -14,7 +14,7 @@ The work is a few darts for each cell, instead of K hashes.
 Equal texts are put together first. Signatures are cut into bands; texts that
 share a bucket (equal band) are compared with the most central text of the bucket,
 so a large group of copies gives a star, never all its pairs; texts that don't get
-into its class that way are compared further (see ``buckets``). A pair counts as a
+into its class that way are compared further, where their seldom cells allow a link (see ``buckets``). A pair counts as a
 link if the exact similarity of its cells reaches ``threshold``. Classes are the
 connected components of the links. A link is missed where two texts share no band
 (chance 0.0002 at 0.8 with 16 bands of 4).
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicflow.llm.buckets import bucket_links, with_leaders
+from clinicflow.llm.buckets import bucket_links, outlines, with_leaders
 from clinicflow.llm.common import ship, written
 
 SHINGLE = 5
@@ -234,7 +234,8 @@ def _components(keyed: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     if members.isEmpty():
         return members.select("node", F.col("leader").alias("component"))
     sets = _candidate_sets(keyed, texts, members)
-    return bucket_links(members, lambda pairs: _judged(pairs, sets), 1.0 - threshold)[1]
+    limit = 1.0 - threshold
+    return bucket_links(members, lambda pairs: _judged(pairs, sets), limit, lambda crowded: outlines(crowded, _other_cells(crowded, sets), limit))[1]
 
 
 def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> DataFrame:
@@ -249,6 +250,33 @@ def _candidate_sets(keyed: DataFrame, texts: DataFrame, rest: DataFrame) -> Data
     return written(found.mapInArrow(_cell_sets, "node long, cells binary").dropDuplicates(["node"]), "cells")
 
 
+def _other_cells(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """The cells of the members that ``outlines`` asks for: leaders' whole sets, and what others have outside of their nearest leader's."""
+    leaders = crowded.select(F.col("leader").alias("node")).distinct()
+    nearest = crowded.filter("node <> leader").groupBy("node").agg(F.min_by("leader", F.struct(F.coalesce("dl", F.lit(2.0)), "leader")).alias("leader"))
+    nearest = nearest.join(leaders, "node", "left_anti").unionByName(leaders.withColumn("leader", F.lit(None).cast("long")))
+    theirs = sets.join(leaders, "node", "left_semi").select(F.col("node").alias("leader"), F.col("cells").alias("b"))
+    both = nearest.join(sets, "node").join(theirs, "leader", "left").select("node", "cells", "b")
+
+    def others(batches):
+        for batch in batches:
+            sizes, spare, leads, found = [], [], [], []
+            for a, b in zip(batch.column(1), batch.column(2)):
+                mine = np.frombuffer(a.as_buffer(), np.uint32)
+                kinds = np.unique(mine)
+                sizes.append(len(mine))
+                spare.append(len(mine) - len(kinds))
+                leads.append(not b.is_valid)
+                rest = kinds if leads[-1] else np.setdiff1d(kinds, np.frombuffer(b.as_buffer(), np.uint32))
+                found.append(rest.view(np.int32))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *found]), pa.int32()))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spare, pa.int64()), pa.array(leads, pa.bool_()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "spare", "leads", "others"])
+
+    return written(both.mapInArrow(others, "node long, size long, spare long, leads boolean, others array<int>"), "other-cells")
+
+
 def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``u``, ``v``) with their exact Jaccard distance ``d``."""
     with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("cells").alias("a")), "u")

@@ -3,7 +3,9 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from clinicflow.llm import buckets
 from clinicflow.llm import dart_minhash as op
 from clinicflow.llm.components import connected_components
 
@@ -80,6 +82,50 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {r.class_id for r in got} == {0} and len(got) == 1500
 
 
+def test_far_copies_of_a_large_group_are_not_all_compared(spark, monkeypatch):
+    rnd = random.Random(6)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(150)]
+    common = [f"c{i}" for i in range(40)]
+    rows = []
+    for i in range(500):
+        copy = list(base)
+        for at in rnd.sample(range(150), rnd.choice([2, 3, 4, 5, 6, 7, 8])):
+            copy[at] = rnd.choice(common) if i % 3 else f"x{rnd.randrange(400)}"
+        rows.append((i, " ".join(copy) + " a a a a a a a" * (i % 50 == 0)))
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 500, 9)]
+    asked, judged = [], op._judged
+    monkeypatch.setattr(op, "_judged", lambda pairs, sets: asked.append(pairs.count()) or judged(pairs, sets))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id) for r in op.near_duplicate_classes(docs).collect()), key=str)
+    assert got == brute_classes(rows)
+    assert sum(asked) < 70 * len(rows), asked
+
+
+def test_outlines_allow_every_near_pair(spark):
+    rnd = random.Random(8)
+    for repeated in (0, 3):  # cells that repeat one of their own set, as hashes cut to 32 bits may
+        common = list(range(60))
+        own = {}
+        for k in range(90):
+            cells = [c for c in common if rnd.random() > rnd.choice([0, 0.05, 0.2])] + [rnd.randrange(100, 400) for _ in range(rnd.randrange(12))]
+            cells += cells[: rnd.randrange(repeated + 1)]
+            own[k] = np.sort(np.array(cells, np.uint32)).tobytes()
+        d = lambda a, b: 1.0 - op.similarity(own[a], own[b])
+        crowded = spark.createDataFrame([(1, k, 0, 90, None if k == 0 else d(k, 0), k) for k in own], "bucket long, node long, leader long, n long, dl double, c long")
+        sets = spark.createDataFrame([(k, bytearray(v)) for k, v in own.items()], "node long, cells binary")
+        outlined, close = buckets.outlines(crowded, op._other_cells(crowded, sets), 0.2)
+        member = {r.node: r for r in buckets._with_hope(outlined, 0.2).collect()}
+        left = buckets._with_hope(outlined, 0.2).withColumnRenamed("node", "u")
+        right = outlined.select(F.col("node").alias("v"), *[F.col(c).alias(f"{c}_v") for c in buckets.OUTLINE])
+        allowed = {(r.u, r.v) for r in left.crossJoin(right).filter(buckets._possible(0.2)).select("u", "v").collect()}
+        allowed |= {tuple(r) for r in close.collect()}
+        near = [(a, b) for a in own for b in own if a > b and d(a, b) <= 0.2]
+        assert len(member) == len(own) and len(near) > 50
+        assert all(p in allowed for p in near)
+        shared = {tuple(r) for r in close.collect()}
+        assert all(member[a].hopeful and member[b].hopeful for a, b in near if (a, b) not in shared)
+
+
 def test_signature_agreement_estimates_weighted_similarity():
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 2**63, 300).astype(np.uint64)
