@@ -130,6 +130,11 @@ class CachedTokenizer:
         """Little-endian unsigned 32-bit ids."""
         return self._cut_ids(text or "") if self.cuts else self._whole_ids(text or "")
 
+    def forget(self) -> None:
+        """Gives back the memory of what is remembered."""
+        self.cache.clear()
+        self.words.clear()
+
     def _whole_ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -155,14 +160,27 @@ def load(path: str) -> CachedTokenizer:
     return _tokenizers[path]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids)."""
+def pieces(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False, keep_words: bool = True
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids).
+
+    ``keep_words``: whether a worker remembers words from one task to the next (up to 400 MB); if other steps follow
+    in the same executors, idle workers would hold them for a minute or more.
+    """
     ship(docs.sparkSession)
     id_type = dict(docs.dtypes)[id_col]
     end = array("I", (END_ID,)).tobytes()
 
     def run(batches):
         tokenizer = load(tokenizer_path)
+        try:
+            yield from cut(tokenizer, batches)
+        finally:
+            if not keep_words:
+                tokenizer.forget()
+
+    def cut(tokenizer, batches):
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):

@@ -37,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the tokenized documents, each with its place in a sequence."""
-    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_words=False))
 
 
 STAGES = [

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -160,3 +161,32 @@ def test_full_caches_are_emptied(monkeypatch, library):
     text = " ".join(f"Wort{chr(97 + i % 26)}, don't ({i})" for i in range(60)) + " " + "x" * 5000
     assert array("I", own.ids(text)).tolist() == library.encode(text, add_special_tokens=False).ids
     assert len(own.cache) <= 3 and len(own.words) <= 3
+
+
+class Captured:
+    """Stands for a table: ``mapInArrow`` gives the function."""
+
+    dtypes = [("doc_id", "bigint")]
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_pipeline_tasks_leave_no_remembered_words(spark, monkeypatch):
+    import corpus_pipeline
+
+    own = op.load(PATH)
+    monkeypatch.setattr(op, "pack", lambda run: run)
+    run = corpus_pipeline.pack_sequences(spark, Captured(spark), "")
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["Some words, some more", None])], names=["doc_id", "text"])
+    first = [x.to_pydict() for x in run(iter([batch]))]
+    assert first[0]["doc_id"] == [1, 2] and not own.cache and not own.words
+    kept = op.pieces(Captured(spark), PATH)
+    assert [x.to_pydict() for x in kept(iter([batch]))] == first and own.cache and own.words
+    assert len([x for x in run(iter([batch]))]) == 1 and not own.cache
