@@ -129,7 +129,7 @@ def outlines(crowded: DataFrame, cells: DataFrame, limit: float) -> tuple[DataFr
     inside and outside of the bucket's leader. Two members without a common seldom cell share at most the smaller
     number inside and the smaller number outside; two with s of them share s more at most (``_possible``).
     """
-    each = cells.select("node", "leads", F.explode("others").alias("cell"))
+    each = written(cells.select("node", "leads", F.explode("others").alias("cell")), "each-cell")
     held = each.groupBy("cell").agg(F.count("*").alias("held"), F.min("node").alias("node"), F.max("leads").alias("leads"))
     seldom = written(held.filter((F.col("held") <= SELDOM) & ~F.col("leads")).drop("leads"), "seldom-cells")
     some = seldom.filter("held > 1").select("cell")
