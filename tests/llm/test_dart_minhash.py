@@ -126,6 +126,22 @@ def test_outlines_allow_every_near_pair(spark):
         assert all(member[a].hopeful and member[b].hopeful for a, b in near if (a, b) not in shared)
 
 
+def test_other_cells_are_a_row_a_text_however_many_buckets_and_leaders(spark):
+    per_text = []
+    for n in (100, 800):
+        rnd = random.Random(9)
+        own = {k: [c for c in range(200) if rnd.random() > 0.1] + [rnd.randrange(10**3, 10**9) for _ in range(30)] for k in range(n)}
+        leaders = range(n // 20)
+        rows = [(b, k, b % len(leaders), rnd.random()) for k in own for b in rnd.sample(range(2 * len(leaders)), min(6, len(leaders)))]
+        crowded = spark.createDataFrame(rows, "bucket long, node long, leader long, dl double")
+        sets = spark.createDataFrame([(k, bytearray(np.sort(np.array(v, np.uint32)).tobytes())) for k, v in own.items()], "node long, cells binary")
+        got = op._other_cells(crowded, sets).collect()
+        assert len({r.node for r in got}) == len(got) == len({r[1] for r in rows})
+        assert all(set(np.array(r.others, np.int32).view(np.uint32).tolist()) <= set(own[r.node]) for r in got)
+        per_text.append(sum(len(r.others) for r in got) / len(got))
+    assert per_text[1] < 1.1 * per_text[0]
+
+
 def test_signature_agreement_estimates_weighted_similarity():
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 2**63, 300).astype(np.uint64)
